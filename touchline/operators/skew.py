@@ -17,12 +17,14 @@ LIGHT_ROWS = 20_000
 def heavy_keys(df: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
     """Heavy keys with ``_pieces``, the number of parts each is cut into; below MAX_HEAVY rows."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    piece = F.greatest(total / F.lit(MAX_HEAVY), F.lit(float(light_rows)))
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    limit = F.greatest(F.col("_total") / F.lit(MAX_HEAVY), F.lit(float(light_rows)))
     return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > piece)
-        .select(*on, F.ceil(F.col("_rows") / piece).cast("int").alias("_pieces"))
+        counted.filter(F.col("_rows") > light_rows)
+        .withColumn("_total", total)
+        .withColumn("_limit", limit)
+        .filter(F.col("_rows") > F.col("_limit"))
+        .select(*on, F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_pieces"))
     )
 
 
