@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions.similarity import token_set_ratio
 from touchline.operators.skew import skew_join
+from touchline.session import materialize
 
 LEAD = 5.0
 # Frequencies are kept for the first repeats of a triple only: names hold a-z and 0-9, so there are at most
@@ -83,7 +84,7 @@ def _cover_pairs(x: DataFrame, y: DataFrame, block: Sequence[str], cover: float)
     common = y_words.groupBy(*block, "word").agg(F.count(F.lit(1)).alias("names_with"))
     x_words = x.withColumn("word", F.explode("words"))
     # words unknown to y can be no shared word, but their width counts
-    ranked = skew_join(x_words, common, [*block, "word"], "left")
+    ranked = materialize(skew_join(x_words, common, [*block, "word"], "left"), "ranked-words")
     rarest = Window.partitionBy(*block, "name").orderBy(F.coalesce("names_with", F.lit(0)), "word")
     left_over = F.sum(F.length("word") + 1).over(rarest.rowsBetween(0, Window.unboundedFollowing)) - 1
     probes = (
@@ -96,6 +97,7 @@ def _cover_pairs(x: DataFrame, y: DataFrame, block: Sequence[str], cover: float)
         .filter(F.col("names_with").isNotNull() & (F.col("left_over") >= F.lit(cover) * F.col("width") - 1e-9))
         .drop("names_with", "left_over")
     )
+    probes = materialize(probes, "probe-words")
     pairs = skew_join(_sided(probes, "x", block, "word"), _sided(y_words, "y", block, "word"), [*block, "word"], "inner", both=True)
     first_hit = ~F.arrays_overlap("earlier_x", "words_y")
     return pairs.filter(first_hit & _covered(F.col("words_x"), F.col("words_y"), F.col("width_x"), cover)).drop(
@@ -127,10 +129,8 @@ def _triple_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], miss:
             .drop("names_with", "place", "nth")
         )
 
-    pairs = skew_join(
-        _sided(rarest(l_all), "x", block, "triple"), _sided(rarest(r_all), "y", block, "triple"), [*block, "triple"],
-        "inner", both=True,
-    )
+    x, y = materialize(rarest(l_all), "left-triples"), materialize(rarest(r_all), "right-triples")
+    pairs = skew_join(_sided(x, "x", block, "triple"), _sided(y, "y", block, "triple"), [*block, "triple"], "inner", both=True)
     shorter, longer = F.least("width_x", "width_y"), F.greatest("width_x", "width_y")
     near = longer <= F.floor(shorter * F.lit((1 + miss) / (1 - miss)) + 1e-9)
     return pairs.filter(near & ~F.arrays_overlap("earlier_x", "earlier_y")).drop("triple", "earlier_x", "earlier_y")
@@ -140,10 +140,11 @@ def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
     """Every pair of names of one block that can reach the threshold, once, as ``block, a, b``.
 
     Both inputs have the block columns and a distinct ``name``; further columns of the right side are carried along.
+    The names and their features are written to the shared folder on the way, as each is used several times.
     """
     block = list(block)
     carried = [c for c in right.columns if c not in (*block, "name")]
-    x, y = _described(left, block), _described(right, block)
+    x, y = materialize(_described(left, block), "left-names"), materialize(_described(right, block), "right-names")
     share = threshold / 100
     cover, miss = share / (2 - share), 1 - share
     wx, wy = F.col("words_x"), F.col("words_y")
@@ -163,7 +164,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
 
 def scored_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
     pairs = candidate_pairs(left, right, block, threshold)
-    return pairs.withColumn("score", token_set_ratio("a", "b")).filter(F.col("score") >= threshold)
+    scored = pairs.withColumn("score", token_set_ratio("a", "b")).filter(F.col("score") >= threshold)
+    return materialize(scored, "scored-pairs")
 
 
 def _best_first(payload: Sequence[str]) -> Column:
@@ -177,7 +179,7 @@ def _label(kind: str) -> Column:
 
 def _with_rows(open_rows: DataFrame, best: DataFrame, on: Sequence[str], payload: Sequence[str], kind: str) -> DataFrame:
     rows = open_rows.select("row_id", *on[:-1], F.col("player_norm").alias("a"))
-    hit = skew_join(rows, best, on, "inner", spread=["row_id"])
+    hit = skew_join(rows, materialize(best, "best-names"), on, "inner", spread=["row_id"])
     return hit.select(
         "row_id", _label(kind).alias("join_method"), "score", *[F.col(f"row.{c}").alias(c) for c in payload]
     )

@@ -14,6 +14,7 @@ from touchline.functions.parse import birth_year, iso_date_or_null
 from touchline.functions.text import club_key, first_last, match_text
 from touchline.operators.fuzzy import similar_in_club, similar_near_year
 from touchline.operators.skew import skew_join, top_rows
+from touchline.session import materialize
 
 # stage -> (key family, year shift on the left side, label); families 21 and 41 accept unique right keys only
 STAGES = [
@@ -146,11 +147,14 @@ def resolve(
     """
     found = exact_matches(left, right, scope, null_safe_year).withColumn("score", F.lit(None).cast("double"))
     if fuzzy:
+        # every step works on what the steps before left open, so each result is written once
+        found = materialize(found, "exact-matches")
         keys = left.select("row_id", *scope, *KEYS)
-        open_rows = keys.join(found.select("row_id"), "row_id", "left_anti")
-        valued = right.select(*scope, *KEYS, *[c for c in PAYLOAD if c not in KEYS])
+        open_rows = materialize(keys.join(found.select("row_id"), "row_id", "left_anti"), "open-rows")
+        valued = materialize(right.select(*scope, *KEYS, *[c for c in PAYLOAD if c not in KEYS]), "roster")
         in_club = similar_in_club(open_rows, valued, PAYLOAD, scope, club_threshold).withColumn("stage", F.lit(CLUB_STAGE))
-        still_open = open_rows.join(in_club.select("row_id"), "row_id", "left_anti")
+        in_club = materialize(in_club, "club-matches")
+        still_open = materialize(open_rows.join(in_club.select("row_id"), "row_id", "left_anti"), "still-open")
         anywhere = similar_near_year(still_open, valued, PAYLOAD, scope, global_threshold).withColumn(
             "stage", F.lit(GLOBAL_STAGE)
         )

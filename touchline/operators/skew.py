@@ -7,24 +7,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is heavy when it holds more than 1/MAX_HEAVY of the rows, so there are fewer than MAX_HEAVY of them:
-# that bound is what makes broadcasting the heavy keys safe at any size.
+# Only the MAX_HEAVY largest keys are cut, so the list of them can be broadcast at any size of the data; a key
+# beyond them holds less than 1/MAX_HEAVY of the rows.
 MAX_HEAVY = 1000
-# Below this many rows a key is no burden for one task.
+MAX_PIECES = 1000
+# Up to this many rows a key is no burden for one task.
 LIGHT_ROWS = 20_000
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
-    """Heavy keys with ``_pieces``, the number of parts each is cut into; below MAX_HEAVY rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = F.greatest(F.col("_total") / F.lit(MAX_HEAVY), F.lit(float(light_rows)))
+    """The largest keys and ``_pieces``, the number of parts each is cut into; at most MAX_HEAVY rows."""
+    pieces = F.least(F.ceil(F.col("_rows") / light_rows), F.lit(MAX_PIECES)).cast("int")
     return (
-        counted.filter(F.col("_rows") > light_rows)
-        .withColumn("_total", total)
-        .withColumn("_limit", limit)
-        .filter(F.col("_rows") > F.col("_limit"))
-        .select(*on, F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_pieces"))
+        df.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > light_rows)
+        .orderBy(F.col("_rows").desc())
+        .limit(MAX_HEAVY)
+        .select(*on, pieces.alias("_pieces"))
     )
 
 
