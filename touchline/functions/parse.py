@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 # Words that count as a missing text, and words that mean true.
 BLANK_WORDS = ["", "nan", "none", "null"]
 TRUE_WORDS = ["true", "1", "t", "yes", "y"]
-THIN_SPACE, HARD_SPACE = " ", " "
+THIN_SPACE, HARD_SPACE = "\u2009", "\u00a0"
 
 # League code -> competition name in the statistics source.
 STAT_LEAGUES = {
@@ -136,7 +136,7 @@ def money_to_eur(c: Column) -> Column:
     for word, by in (("€", ""), ("eur", ""), (THIN_SPACE, ""), ("mill.", "m"), ("mio.", "m")):
         text = F.replace(text, F.lit(word), F.lit(by))
     text = F.regexp_replace(text, r"\bmil\b\.?", "k")
-    text = F.translate(text, "  ", "")
+    text = F.translate(text, " " + HARD_SPACE, "")
     suffix = F.regexp_extract(text, r"(bn|m|k|th\.)$", 1)
     factor = (
         F.when(suffix == "bn", 1e9).when(suffix == "m", 1e6).when(suffix.isin("k", "th."), 1e3).otherwise(1.0)

@@ -108,15 +108,12 @@ def attributions(rows: DataFrame, model: RandomForestRegressionModel, names: Seq
 
     Features are standardised, so the mean is 0. All variants of a row are scored in one pass.
     """
-    variants = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("feature"),
-                F.transform(F.col(features), lambda v, i, at=at: F.when(i == at, F.lit(0.0)).otherwise(v)).alias("changed"),
-            )
-            for at, name in enumerate(names)
-        ]
-    )
+
+
+    def at_mean(at: int) -> Column:
+        return F.transform(F.col(features), lambda v, i: F.when(i == at, F.lit(0.0)).otherwise(v))
+
+    variants = F.array(*[F.struct(F.lit(name).alias("feature"), at_mean(i).alias("changed")) for i, name in enumerate(names)])
     base = predict_values(rows.select(*keys, features), model, features)
     wide = base.select(*keys, "predicted_log", F.explode(variants).alias("v")).select(
         *keys, F.col("predicted_log").alias("_base"), "v.feature", "v.changed"

@@ -1 +1,231 @@
-QUERIES = {}
+"""Features, ranks, nearest players and the value model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchline.operators import features, knn, market
+from touchline.plans import season_build
+from touchline.plans.catalogue.tables import UNION_VIEW, read, rounded
+from touchline.plans.catalogue.screens import _view
+
+
+def rolling_avg(spark, folder):
+    events = read(spark, folder, "events").select("event_id", "user_id", "ts", "value")
+    means = features.moving_average(
+        events, ["user_id"], ["ts", "event_id"], {"value": "mean_of_5"}, 5, F.date_trunc("day", "ts")
+    )
+    return means.select("event_id", "user_id", rounded("mean_of_5").alias("mean_of_5"))
+
+
+def rank_in_group(spark, folder):
+    lines = read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
+    ranked = features.rank_in_group(lines, ["l_returnflag"], "l_extendedprice", prefix="price")
+    return ranked.withColumn("price_percent_rank", rounded("price_percent_rank", 6))
+
+
+def rank_of_counts(spark, folder):
+    """Ranks when few values are shared by many rows."""
+    lines = read(spark, folder, "lineitem").select("l_orderkey", "l_linestatus", "l_linenumber", "l_quantity")
+    return features.rank_in_group(lines, ["l_linestatus", "l_linenumber"], "l_quantity", ascending=True).drop("value_percent_rank")
+
+
+def group_quantiles(spark, folder):
+    events = read(spark, folder, "events")
+    found = features.exact_quantiles(events, ["event_type"], "value", {"q10": 0.1, "q50": 0.5, "q75": 0.75, "q100": 1.0})
+    return found.select("event_type", *[rounded(c).alias(c) for c in ("q10", "q50", "q75", "q100")])
+
+
+def standardise(spark, folder):
+    lines = read(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", F.lit(7.0).alias("constant")
+    )
+    names = ["l_quantity", "l_extendedprice", "constant"]
+    return features.standardise(lines, names).withColumns({c: rounded(c) for c in names})
+
+
+def _stat_table(spark, folder):
+    """Sold lines per part as the season statistics of a player."""
+    return (
+        read(spark, folder, "lineitem")
+        .groupBy(F.col("l_partkey").alias("player_id"))
+        .agg(
+            F.sum("l_quantity").alias("Min"), F.count(F.lit(1)).alias("MatchesPlayed"), F.sum("l_linenumber").alias("Gls"),
+            F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("Shots"), F.max("l_suppkey").alias("Tkl"),
+        )
+        .withColumns({"season_code": F.lit("2024"), "club": F.lit("c")})
+    )
+
+
+_STATS = """stats AS (
+  SELECT l_partkey AS player_id, sum(l_quantity) AS "Min", count(*) AS "MatchesPlayed", sum(l_linenumber) AS "Gls",
+         coalesce(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END), 0) AS "Shots", max(l_suppkey) AS "Tkl" FROM lineitem GROUP BY 1),
+played AS (SELECT * FROM stats WHERE "Min" >= 500),
+moments AS (SELECT avg("Min") AS a0, stddev_pop("Min") AS d0, avg("MatchesPlayed") AS a1, stddev_pop("MatchesPlayed") AS d1, avg("Gls") AS a2, stddev_pop("Gls") AS d2,
+  avg("Shots") AS a3, stddev_pop("Shots") AS d3, avg("Tkl") AS a4, stddev_pop("Tkl") AS d4 FROM played),
+scaled AS (SELECT player_id, ("Min" - a0) / d0 AS f0, ("MatchesPlayed" - a1) / d1 AS f1, ("Gls" - a2) / d2 AS f2, ("Shots" - a3) / d3 AS f3, ("Tkl" - a4) / d4 AS f4
+  FROM played, moments)"""
+
+
+def feature_matrix(spark, folder):
+    matrix = features.feature_matrix(_stat_table(spark, folder), features.FIELD_FEATURES, ["player_id"])
+    return matrix.select("player_id", *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(5)])
+
+
+def knn_players(spark, folder):
+    near = season_build.build_neighbours(_stat_table(spark, folder), features.FIELD_FEATURES, 5)
+    return near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
+
+
+def _points(spark, folder):
+    return read(spark, folder, "embeddings").select(F.col("vec_id").alias("player_id"), F.col("embedding").alias("features"))
+
+
+def knn_exact(spark, folder):
+    near = knn.nearest_neighbours(_points(spark, folder), 10)
+    return near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
+
+
+def knn_one(spark, folder):
+    near = knn.nearest_to(_points(spark, folder), 7, 20)
+    return near.select("neighbour", rounded("distance").alias("distance"))
+
+
+def knn_details(spark, folder):
+    """Five players like number 7 with the facts of all their seasons."""
+    near = knn.nearest_to(_points(spark, folder), 7, 5).withColumn("distance", rounded("distance"))
+    columns = {"player_name": "full_name", "Pos": "primary_position", "season_code": "season_id", "club": "team_name", "latest_mv_eur": "value_eur", "Gls": "Gls"}
+    return knn.with_details(near, _view(spark, folder), columns=columns)
+
+
+_PAIRS = """pairs AS (
+  SELECT a.vec_id AS player_id, b.vec_id AS neighbour, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) ** 2))) AS distance
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id{where})"""
+
+
+def _facts(spark, folder):
+    """Parts as valued players: type as position, brand as club, sold lines as matches."""
+    sold = read(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("MatchesPlayed"))
+    part = read(spark, folder, "part").join(sold, "p_partkey", "left")
+    return part.select(
+        F.col("p_partkey").alias("player_id"), F.col("p_name").alias("player_name"),
+        F.when(F.col("p_type") == "PROMO", "GK").when(F.col("p_type") != "LARGE", F.col("p_type")).alias("pos"),
+        F.lit("c").alias("club"), F.col("p_brand").alias("league_name"), F.lit("2024").alias("season_code"),
+        F.when(F.col("p_partkey") % 17 != 0, F.round(F.col("p_retailprice") * 110)).alias("latest_mv_eur"),
+        F.col("p_size").alias("age"), "MatchesPlayed",
+    )
+
+
+_FACTS = """facts AS (
+  SELECT p_partkey AS player_id, p_name AS player_name, CASE p_type WHEN 'PROMO' THEN 'GK' WHEN 'LARGE' THEN NULL ELSE p_type END AS pos, 'c' AS club, p_brand AS league_name,
+    '2024' AS season_code, CASE WHEN p_partkey % 17 <> 0 THEN round(p_retailprice * 110) END AS latest_mv_eur, p_size AS age, "MatchesPlayed"
+  FROM part LEFT JOIN (SELECT l_partkey, count(*) AS "MatchesPlayed" FROM lineitem GROUP BY 1) ON p_partkey = l_partkey),
+valued AS (SELECT * FROM facts WHERE pos <> 'GK' AND "MatchesPlayed" >= 5 AND latest_mv_eur > 100000)"""
+
+
+def valued_players(spark, folder):
+    return market.valued_players(_facts(spark, folder))
+
+
+def training_rows(spark, folder):
+    matrix = features.feature_matrix(_stat_table(spark, folder), features.FIELD_FEATURES, ["player_id", "season_code", "club"])
+    rows = market.training_rows(matrix, market.valued_players(_facts(spark, folder)))
+    return rows.select("player_id", rounded("label").alias("label"), *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(5)])
+
+
+def _by_group_mean(spark, folder):
+    """The simplest value model: the mean log value of the position and age."""
+    rows = market.valued_players(_facts(spark, folder)).withColumn("label", F.log1p("latest_mv_eur"))
+    means = rows.groupBy("pos", "age").agg(F.avg("label").alias("predicted_log"))
+    return rows.join(means, ["pos", "age"])
+
+
+def value_opportunities_baseline(spark, folder):
+    best = market.undervalued(market.value_gaps(_by_group_mean(spark, folder)))
+    return best.withColumns({c: rounded(c) for c in ("predicted_value_eur", "value_diff_eur", "value_ratio")})
+
+
+def value_rmse(spark, folder):
+    return market.log_rmse(_by_group_mean(spark, folder)).withColumn("rmse", rounded("rmse", 6))
+
+
+_MEANS = """scored AS (SELECT v.*, avg(ln(1 + latest_mv_eur)) OVER (PARTITION BY pos, age) AS predicted_log, ln(1 + latest_mv_eur) AS label FROM valued v),
+gaps AS (SELECT *, latest_mv_eur AS actual_value_eur, exp(predicted_log) - 1 AS predicted_value_eur, exp(predicted_log) - 1 - latest_mv_eur AS value_diff_eur,
+  (exp(predicted_log) - 1) / (latest_mv_eur + 1) AS value_ratio FROM scored)"""
+
+_FEATURES = ["Min", "MatchesPlayed", "Gls", "Shots", "Tkl"]
+
+
+def _training(spark, folder):
+    on = ["player_id", "season_code", "club"]
+    matrix = features.feature_matrix(_stat_table(spark, folder), features.FIELD_FEATURES, on)
+    return market.training_rows(matrix, market.valued_players(_facts(spark, folder)), on)
+
+
+def value_opportunities_in_sample(spark, folder):
+    return season_build.build_opportunities(_facts(spark, folder), _stat_table(spark, folder), mode="in_sample", depth=8)
+
+
+def value_opportunities_out_of_fold(spark, folder):
+    rows = _training(spark, folder)
+    scored = market.predict_out_of_fold(rows, F.col("player_id"), folds=2, depth=5)
+    return market.undervalued(market.value_gaps(scored))
+
+
+def value_importances(spark, folder):
+    return market.importances(spark, market.fit_values(_training(spark, folder), depth=5), _FEATURES)
+
+
+def value_attributions(spark, folder):
+    rows = _training(spark, folder)
+    return market.attributions(rows, market.fit_values(rows, depth=5, trees=20), _FEATURES, ["player_id"])
+
+
+QUERIES = {
+    "rolling_avg": (rolling_avg, """
+SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 4) + 0.0 AS mean_of_5 FROM events"""),
+    "rank_in_group": (rank_in_group, """
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_extendedprice, rank() OVER w AS price_rank, dense_rank() OVER w AS price_dense_rank,
+       round(percent_rank() OVER w, 6) + 0.0 AS price_percent_rank FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC)"""),
+    "rank_of_counts": (rank_of_counts, """
+SELECT l_orderkey, l_linestatus, l_linenumber, l_quantity, rank() OVER w AS value_rank, dense_rank() OVER w AS value_dense_rank
+FROM lineitem WINDOW w AS (PARTITION BY l_linestatus, l_linenumber ORDER BY l_quantity)"""),
+    "group_quantiles": (group_quantiles, """
+SELECT event_type, round(quantile_cont(value, 0.1), 4) + 0.0 AS q10, round(quantile_cont(value, 0.5), 4) + 0.0 AS q50,
+       round(quantile_cont(value, 0.75), 4) + 0.0 AS q75, round(max(value), 4) + 0.0 AS q100 FROM events GROUP BY 1"""),
+    "standardise": (standardise, """
+WITH m AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS b, avg(l_extendedprice) AS c, stddev_pop(l_extendedprice) AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - a) / b, 4) + 0.0 AS l_quantity, round((l_extendedprice - c) / d, 4) + 0.0 AS l_extendedprice, 0.0::DOUBLE AS constant
+FROM lineitem, m"""),
+    "feature_matrix": (feature_matrix, f"""
+WITH {_STATS} SELECT player_id, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2, round(f3, 4) + 0.0 AS f3, round(f4, 4) + 0.0 AS f4 FROM scaled"""),
+    "knn_players": (knn_players, f"""
+WITH {_STATS}, pairs AS (SELECT a.player_id, b.player_id AS neighbour,
+  sqrt((a.f0 - b.f0) ** 2 + (a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS distance
+  FROM scaled a JOIN scaled b ON a.player_id <> b.player_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
+SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 5"""),
+    "knn_exact": (knn_exact, f"""
+WITH {_PAIRS.format(where="")}, r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
+SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 10"""),
+    "knn_one": (knn_one, f"""
+WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")} SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 20"""),
+    "knn_details": (knn_details, f"""
+WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")}, {UNION_VIEW},
+five AS (SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5)
+SELECT neighbour, distance, player_name AS full_name, "Pos" AS primary_position, season_code AS season_id, club AS team_name, latest_mv_eur AS value_eur, "Gls"
+FROM five JOIN player_view ON neighbour = player_id"""),
+    "valued_players": (valued_players, f"WITH {_FACTS} SELECT * FROM valued"),
+    "training_rows": (training_rows, f"""
+WITH {_STATS}, {_FACTS} SELECT player_id, round(ln(1 + latest_mv_eur), 4) + 0.0 AS label, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2,
+  round(f3, 4) + 0.0 AS f3, round(f4, 4) + 0.0 AS f4 FROM valued JOIN scaled USING (player_id)"""),
+    "value_opportunities_baseline": (value_opportunities_baseline, f"""
+WITH {_FACTS}, {_MEANS} SELECT player_id AS player_uuid, player_name AS full_name, pos AS primary_position, club AS team_name, league_name, age, season_code, actual_value_eur,
+  round(predicted_value_eur, 4) + 0.0 AS predicted_value_eur, round(value_diff_eur, 4) + 0.0 AS value_diff_eur, round(value_ratio, 4) + 0.0 AS value_ratio, "MatchesPlayed"
+FROM gaps WHERE gaps.value_diff_eur > 0 ORDER BY gaps.value_diff_eur DESC, player_id LIMIT 200"""),
+    "value_rmse": (value_rmse, f"WITH {_FACTS}, {_MEANS} SELECT round(sqrt(avg((label - predicted_log) ** 2)), 6) + 0.0 AS rmse FROM gaps"),
+    "value_opportunities_in_sample": (value_opportunities_in_sample, None),
+    "value_opportunities_out_of_fold": (value_opportunities_out_of_fold, None),
+    "value_importances": (value_importances, None),
+    "value_attributions": (value_attributions, None),
+}

@@ -1 +1,64 @@
-QUERIES = {}
+"""Data-quality reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchline.operators import quality
+from touchline.plans.catalogue.tables import read, rounded
+
+
+def quality_report(spark, folder):
+    lines = read(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("SoT"), (F.col("l_linenumber") * 6.0).alias("Shots"),
+        F.when(F.col("l_partkey") % 10 != 0, F.col("l_extendedprice")).alias("value"), (F.col("l_suppkey") % 2 == 0).alias("IsGK"),
+        F.when(F.col("l_suppkey") % 3 == 0, F.col("l_tax")).alias("GK_A"), F.when(F.col("l_suppkey") % 5 == 0, F.col("l_tax")).alias("GK_B"),
+        "l_returnflag", "l_suppkey",
+    )
+    return quality.quality_report(
+        lines, keys=["l_orderkey", "l_linenumber"], at_most=[("SoT", "Shots")], not_null=["value", "l_orderkey"],
+        keepers_only=["GK_A", "GK_B"], allowed={"l_returnflag": ["A", "N"]}, distinct=["l_suppkey"],
+    )
+
+
+def duplicate_keys(spark, folder):
+    return quality.duplicate_keys(read(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def fk_orphans(spark, folder):
+    parents = read(spark, folder, "customer").filter(F.col("c_acctbal") > 0)
+    return quality.orphans(read(spark, folder, "orders"), parents, "o_custkey", "c_custkey")
+
+
+def describe(spark, folder):
+    found = quality.describe(read(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    return found.select("column", "n", "nulls", "n_unique", *[rounded(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+def value_counts(spark, folder):
+    return quality.value_counts(read(spark, folder, "orders"), "o_custkey")
+
+
+def top_values(spark, folder):
+    return quality.top_values(read(spark, folder, "part"), "p_retailprice", ["p_partkey", "p_name", "p_brand", "p_retailprice"], ties=["p_partkey"])
+
+
+_DESCRIBED = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS nulls, count(DISTINCT {c} + 0.0) AS n_unique, round(avg({c}), 4) + 0.0 AS mean, round(stddev_samp({c}), 4) + 0.0 AS std,
+  round(min({c}), 4) + 0.0 AS min, round(quantile_cont({c}, 0.25), 4) + 0.0 AS q25, round(quantile_cont({c}, 0.5), 4) + 0.0 AS q50, round(quantile_cont({c}, 0.75), 4) + 0.0 AS q75, round(max({c}), 4) + 0.0 AS max FROM lineitem"""
+    for c in ("l_quantity", "l_extendedprice", "l_discount")
+)
+
+QUERIES = {
+    "quality_report": (quality_report, """
+SELECT count(*) AS n_rows, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_keys, count(*) FILTER (l_quantity > l_linenumber * 6) AS "SoT_above_Shots",
+  count(*) FILTER (l_partkey % 10 = 0) AS null_value, count(*) FILTER (l_orderkey IS NULL) AS "null_l_orderkey",
+  count(*) FILTER (l_suppkey % 2 = 1 AND l_suppkey % 3 = 0) + count(*) FILTER (l_suppkey % 2 = 1 AND l_suppkey % 5 = 0) AS keeper_values_of_others,
+  count(*) FILTER (l_returnflag NOT IN ('A', 'N')) AS bad_l_returnflag, count(DISTINCT l_suppkey) AS distinct_l_suppkey FROM lineitem"""),
+    "duplicate_keys": (duplicate_keys, "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1"),
+    "fk_orphans": (fk_orphans, """
+SELECT o_custkey AS key, count(*) AS n_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1"""),
+    "describe": (describe, _DESCRIBED),
+    "value_counts": (value_counts, "SELECT o_custkey AS value, count(*) AS n_rows FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "top_values": (top_values, "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10"),
+}

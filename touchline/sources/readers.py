@@ -7,10 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from touchline.functions.parse import checked_season_start
+from touchline.functions.parse import all_of, checked_season_start
 from touchline.operators.columns import existing, unique_names
 
-_FILE = r"join_([^_/]+)(?:_([^/]*))?_mv\.csv$"
+_FILE = r"join_([^_/]+)(?:_([^/]*))?_mv\.csv(?:/[^/]*)?$"
 
 
 def read_stat_tables(spark: SparkSession, root: str, kinds: Sequence[str], source: str | None = None) -> dict[str, DataFrame]:
@@ -24,14 +24,14 @@ def read_stat_tables(spark: SparkSession, root: str, kinds: Sequence[str], sourc
 
 def _header(spark: SparkSession, path: str, encoding: str) -> str:
     first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    return first[0][0].lstrip("﻿") if first else ""
+    return first[0][0].lstrip("\ufeff") if first else ""
 
 
 def csv_dialect(spark: SparkSession, path: str) -> tuple[str, str]:
     """Separator by the header line, encoding by whether the text is valid UTF-8."""
     header = _header(spark, path, "UTF-8")
     sep = ";" if header.count(";") > header.count(",") else ","
-    broken = spark.read.text(path).filter(F.contains("value", F.lit("�"))).limit(1).count()
+    broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
     return sep, "ISO-8859-1" if broken else "UTF-8"
 
 
@@ -43,28 +43,29 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: s
     if sep is None or encoding is None:
         found_sep, found_encoding = csv_dialect(spark, path)
         sep, encoding = sep or found_sep, encoding or found_encoding
-    names = [n.strip().strip('"').lstrip("﻿") for n in _header(spark, path, encoding).split(sep)]
+    names = [n.strip().strip('"').lstrip("\ufeff") for n in _header(spark, path, encoding).split(sep)]
     lowered = unique_names([n.lower() for n in names])
     names = [n + low[len(n):] for n, low in zip(names, lowered)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.options(header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", enforceSchema=True, escape='"', multiLine=False)
-    return reader.schema(schema).csv(path)
+    options = {"header": True, "sep": sep, "encoding": encoding, "mode": "PERMISSIVE", "enforceSchema": True, "escape": '"'}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def read_csv_reporting(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the malformed ones with their file, instead of dropping whole files silently."""
-    with_bad = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = (
-        spark.read.options(header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
-        .schema(with_bad)
-        .csv(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
-    )
-    return rows.filter(F.col("_bad").isNull()).drop("_bad", "_file"), rows.filter(F.col("_bad").isNotNull()).select("_file", "_bad")
+    """Good rows, and the rows with a value that does not fit its type: as text, with their file (``_file``).
+
+    The types are checked on the text, since the CSV reader checks only the columns a query happens to use.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = spark.read.options(header=True, sep=sep, escape='"').schema(text).csv(path)
+    misfit = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema.fields]
+    bad = ~all_of([~m for m in misfit])
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return rows.filter(~bad).select(*typed), rows.filter(bad).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
 def file_league(path: Column) -> Column:
-    """``join_bel_2025_2026_mv.csv`` -> ``bel``; null for other names."""
+    """``join_bel_2025_2026_mv.csv`` -> ``bel``; null for other names. Spark's folders of part files count as files."""
     code = F.regexp_extract(F.lower(path), _FILE, 1)
     return F.when(code != "", code)
 

@@ -17,7 +17,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(header=True, sep=sep, escape='"').csv(path)
+    """CSV with header; blanks at the ends of text are kept."""
+    options = {"header": True, "sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
