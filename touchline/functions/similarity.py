@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 
 def common_subsequence(x: str, y: str) -> int:
@@ -43,6 +43,6 @@ def token_set_score(a: str | None, b: str | None) -> float:
     return score
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -6,7 +6,7 @@ import unicodedata
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Letters that have no Unicode decomposition, as usually romanised.
 SINGLE_LETTERS = {"ł": "l", "ø": "o", "đ": "d", "ı": "i", "ħ": "h", "ŧ": "t", "ð": "d", "ĸ": "k"}
@@ -78,12 +78,21 @@ def strip_accents(c: Column) -> Column:
     return F.translate(c, source, target)
 
 
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def romanise(c: Column) -> Column:
-    """Lower-case Latin text: accents removed, letters such as ł, ø, ß spelled out, other scripts dropped."""
-    text = F.translate(F.lower(c), "".join(SINGLE_LETTERS), "".join(SINGLE_LETTERS.values()))
+    """Lower-case Latin text: accents removed, letters such as ł, ø, ß spelled out, other scripts dropped.
+
+    Plain ASCII text, the usual case, is only lower-cased.
+    """
+    source, target = _accent_table()
+    singles = "".join(SINGLE_LETTERS), "".join(SINGLE_LETTERS.values())
+    text = F.translate(F.lower(c), singles[0] + source, singles[1] + target)
     for letter, spelled in DOUBLE_LETTERS.items():
         text = F.replace(text, F.lit(letter), F.lit(spelled))
-    return F.regexp_replace(strip_accents(text), r"[^\x00-\x7F]", "")
+    return F.when(_is_ascii(c), F.lower(c)).otherwise(F.regexp_replace(text, r"[^\x00-\x7F]", ""))
 
 
 def name_key(c: Column, spell_out: bool = True) -> Column:
@@ -99,7 +108,7 @@ def name_key(c: Column, spell_out: bool = True) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def name_key_nfkd(names: pd.Series) -> pd.Series:
     """The same key by full NFKD, for text with ligatures or fractions that ``translate`` cannot expand."""
     printable = names.fillna("").str.strip().map(lambda x: "".join(c for c in x if c.isprintable()))
@@ -110,7 +119,7 @@ def name_key_nfkd(names: pd.Series) -> pd.Series:
 def match_text(c: Column) -> Column:
     """Name or club text for matching: romanised, brackets and "club atletico" / "c.a." removed, words only."""
     text = romanise(F.coalesce(c.cast("string"), F.lit("")))
-    for pattern in (r"\([^)]*\)", r"\bclub\s+atletico\b", r"\bc\.?a\.?\b", r"[^a-z0-9\s]", r"\s+"):
+    for pattern in (r"\([^)]*\)", r"\bclub\s+atletico\b", r"\bc\.?a\.?\b", r"[^a-z0-9]+"):
         text = F.regexp_replace(text, pattern, " ")
     return F.trim(text)
 
@@ -118,11 +127,13 @@ def match_text(c: Column) -> Column:
 def first_last(c: Column) -> Column:
     """First and last word of a normalised name, particles skipped; one word stands alone."""
     words = F.filter(F.split(c, " "), lambda w: ~w.isin(*NAME_PARTICLES) & (w != ""))
-    return (
-        F.when(F.size(words) == 0, c)
-        .when(F.size(words) == 1, F.element_at(words, 1))
-        .otherwise(F.concat_ws(" ", F.element_at(words, 1), F.element_at(words, -1)))
-    )
+
+    def ends(w: Column) -> Column:
+        both = F.concat_ws(" ", F.element_at(w, 1), F.element_at(w, -1))
+        return F.when(F.size(w) == 0, c).when(F.size(w) == 1, F.element_at(w, 1)).otherwise(both)
+
+    # the one-element array binds the word list, so that it is made once per row
+    return F.element_at(F.transform(F.array(words), ends), 1)
 
 
 def _plain_words(text: str) -> str:

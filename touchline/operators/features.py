@@ -19,7 +19,7 @@ KEEPER_FEATURES = [
 ID_COLUMNS = ["player_id", "player_uuid"]
 SEASON_COLUMNS = ["season_code", "season_id", "season"]
 MIN_MINUTES = 500
-_BUCKET_SIDE = 16  # buckets of values are found in two steps of this many comparisons
+_BUCKETS = 256  # a power of two
 
 
 def model_features(df: DataFrame, candidates: Sequence[str]) -> list[str]:
@@ -134,14 +134,13 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str, ascending:
     """
     group = list(group)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_rows"))
-    steps = [i / (_BUCKET_SIDE * _BUCKET_SIDE) for i in range(1, _BUCKET_SIDE * _BUCKET_SIDE)]
-    cut = counts.withColumn("_splits", counts.agg(F.percentile_approx(value, steps, 4096)).scalar())
-    splits = F.col("_splits")
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(_BUCKET_SIDE - 1)), lambda i: splits[i * _BUCKET_SIDE - 1])
-    block = F.size(F.filter(coarse, lambda s: s < F.col(value)))
-    fine = F.slice(splits, block * _BUCKET_SIDE + 1, _BUCKET_SIDE)
-    bucket = block * (_BUCKET_SIDE + 1) + F.size(F.filter(fine, lambda s: s < F.col(value)))
-    bucketed = cut.withColumn("bucket", bucket).drop("_splits")
+    shares = [i / _BUCKETS for i in range(1, _BUCKETS)]
+    bucketed = counts.withColumn("_splits", counts.agg(F.percentile_approx(value, shares, 4096)).scalar())
+    bucketed = bucketed.withColumn("bucket", F.lit(0))
+    for half in (_BUCKETS >> i for i in range(1, _BUCKETS.bit_length())):  # binary search in the sorted splits
+        middle = F.get("_splits", F.col("bucket") + (half - 1))
+        bucketed = bucketed.withColumn("bucket", F.col("bucket") + F.when(middle < F.col(value), half).otherwise(0))
+    bucketed = bucketed.drop("_splits")
     direction = (lambda c: c.asc()) if ascending else (lambda c: c.desc())
     totals = bucketed.groupBy(*group, "bucket").agg(F.sum("n_rows").alias("b_rows"), F.count(F.lit(1)).alias("b_values"))
     before = Window.partitionBy(*group).orderBy(direction(F.col("bucket"))).rowsBetween(Window.unboundedPreceding, -1)
@@ -181,17 +180,18 @@ def rank_in_group(
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Exact quantiles per group, linear between neighbouring rows."""
-    places = value_positions(df, group, value)
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q")) for name, q in shares.items()])
-    )
-    hits = places.select("*", wanted.alias("w")).withColumn("at", F.col("w.q") * (F.col("group_rows") - 1))
-    low, high = F.floor("at"), F.ceil("at")
-    inside = lambda at: (at >= F.col("below")) & (at < F.col("below") + F.col("n_rows"))
-    at_low, at_high = F.when(inside(low), F.col(value)), F.when(inside(high), F.col(value))
-    lower, upper, part = F.max(at_low), F.max(at_high), F.max(F.col("at") - F.floor("at"))
-    found = hits.filter(inside(low) | inside(high)).groupBy(*group, F.col("w.name").alias("name"))
-    long = found.agg((lower + (upper - lower) * part).alias("quantile"))
-    return long.groupBy(*group).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(name) for name in shares]
-    )
+    return quantiles_at(value_positions(df, group, value), group, value, shares)
+
+
+def quantiles_at(places: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Quantiles from the output of ``value_positions``: the values at the wanted positions, by one aggregation."""
+    picks, results = [], []
+    for name, share in shares.items():
+        at = F.lit(float(share)) * (F.col("group_rows") - 1)
+        for end, place in (("low", F.floor(at)), ("high", F.ceil(at))):
+            holds = (place >= F.col("below")) & (place < F.col("below") + F.col("n_rows"))
+            picks.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}_{end}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"_{name}_part"))
+        low, high, part = (F.col(f"_{name}_{x}") for x in ("low", "high", "part"))
+        results.append((low + (high - low) * part).alias(name))
+    return places.groupBy(*group).agg(*picks).select(*group, *results)

@@ -18,8 +18,9 @@ from touchline.operators.serving import check_similar_count
 from touchline.operators.skew import skew_join, top_rows
 from touchline.session import materialize
 
-MAX_PIVOTS = 512
+MAX_PIVOTS = 2048
 BLOCK_ROWS = 1024
+HEAVY_BLOCKS = 256
 _SLACK = 1e-7
 
 
@@ -85,7 +86,6 @@ def _assign(pivots: np.ndarray):
 
 def _probe(pivots: np.ndarray, radius: np.ndarray):
     """Which other cells a block must look into, given each row's distance to its k-th neighbour so far."""
-    between = _distances(pivots, pivots)
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -93,8 +93,9 @@ def _probe(pivots: np.ndarray, radius: np.ndarray):
                 x = _matrix(row.x)
                 far = _distances(x, pivots)
                 own = far[:, row.cell][:, None]
+                between = _distances(pivots[row.cell][None, :], pivots)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = np.nan_to_num((far**2 - own**2) / (2 * between[row.cell])[None, :], nan=0.0, posinf=0.0, neginf=0.0)
+                    plane = np.nan_to_num((far**2 - own**2) / (2 * between), nan=0.0, posinf=0.0, neginf=0.0)
                 least = np.maximum(far - radius[None, :], plane)
                 limit = np.asarray(row.limit, dtype="float64")
                 scale = _SLACK * (1 + np.abs(x).max(initial=0) + np.abs(pivots).max(initial=0)) * np.sqrt(x.shape[1])
@@ -134,20 +135,22 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
     placed = vectors.withColumn("p", _assign(pivots)("vec")).select("vec", "ids", "p.cell", "p.radius")
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("radius"))
     sizes = {r.cell: r for r in cells.collect()}  # at most MAX_PIVOTS rows
-    chunks_of = [int(np.ceil(sizes[c].n / BLOCK_ROWS)) if c in sizes else 0 for c in range(len(pivots))]
     radius = np.array([sizes[c].radius if c in sizes else -1.0 for c in range(len(pivots))])
-    chunk_count = lambda cell: F.element_at(F.array(*[F.lit(c) for c in chunks_of]), cell + 1)
+    chunks = F.broadcast(
+        spark.createDataFrame([(c, int(np.ceil(r.n / BLOCK_ROWS))) for c, r in sizes.items()], "target int, chunks int")
+    )
 
     member = F.struct("vec", "ids")
     blocks = materialize(
-        placed.withColumn("chunk", F.pmod(F.xxhash64("vec"), chunk_count(F.col("cell"))).cast("int"))
+        placed.join(chunks.withColumnRenamed("target", "cell"), "cell")
+        .withColumn("chunk", F.pmod(F.xxhash64("vec"), F.col("chunks")).cast("int"))
         .groupBy("cell", "chunk")
         .agg(F.sort_array(F.collect_list(member)).alias("members"))
         .select("cell", "chunk", F.col("members.vec").alias("x"), F.col("members.ids").alias("ids")),
         "knn-blocks",
     )
     offered = blocks.select(F.col("cell").alias("target"), F.col("chunk").alias("part"), F.col("x").alias("y"), "ids")
-    parts = F.explode(F.sequence(F.lit(0), chunk_count(F.col("target")) - 1)).alias("part")
+    parts = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part")
     asked = ["cell", "chunk", "at", "x", "limit", "y", "ids"]
     near_schema = T.StructType(
         [T.StructField(c, T.IntegerType()) for c in ("cell", "chunk", "at")]
@@ -160,8 +163,9 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
     )
 
     def searched(questions: DataFrame) -> DataFrame:
-        by_part = questions.select("*", parts)
-        pairs = by_part.join(offered, ["target", "part"])
+        by_part = questions.join(chunks, "target").select(*questions.columns, parts)
+        # one row is a whole block, so a key with few hundred rows is heavy already
+        pairs = skew_join(by_part, offered, ["target", "part"], "inner", spread=["cell", "chunk"], light_rows=HEAVY_BLOCKS)
         return pairs.select(*asked).mapInPandas(_compare(k + 1), near_schema)
 
     def nearest(found: DataFrame) -> DataFrame:
@@ -178,6 +182,7 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
         _probe(pivots, radius),
         "cell int, chunk int, target int, at array<int>, x array<array<double>>, limit array<double>",
     )
+    more = materialize(more, "knn-probes")
     found = first.select("cell", "chunk", "at", F.explode("near").alias("n")).select("cell", "chunk", "at", "n.id", "n.distance")
     final = nearest(found.unionByName(searched(more)))
     by_vector = blocks.select("cell", "chunk", F.posexplode("x").alias("at", "vec")).join(final, ["cell", "chunk", "at"])

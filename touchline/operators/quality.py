@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.operators.columns import col
-from touchline.operators.features import exact_quantiles
+from touchline.operators.features import quantiles_at, value_positions
 
 
 def key_columns(keys: Sequence[str]) -> Column:
@@ -57,19 +57,30 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per numeric column: count, nulls, distinct values, mean, deviation, minimum, exact quartiles, maximum."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(F.explode(pairs).alias("p")).select("p.column", "p.value")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.count_if(F.col("value").isNull()).alias("nulls"),
-        F.count_distinct("value").alias("n_unique"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    values = {c: col(c).cast("double") for c in columns}
+    one_row = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(v).alias("n"),
+                F.count_if(v.isNull()).alias("nulls"),
+                F.avg(v).alias("mean"),
+                F.stddev_samp(v).alias("std"),
+                F.min(v).alias("min"),
+                F.max(v).alias("max"),
+            ).alias(f"c{i}")
+            for i, (c, v) in enumerate(values.items())
+        ]
     )
-    quartiles = exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return moments.join(quartiles, "column", "left")
+    moments = one_row.select(F.explode(F.array(*[f"c{i}" for i in range(len(values))])).alias("m")).select("m.*")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()])
+    long = df.select(F.explode(pairs).alias("p")).select("p.column", "p.value")
+    places = value_positions(long, ["column"], "value")
+    unique = F.max("distinct_below") + 1
+    found = places.groupBy("column").agg(unique.alias("n_unique"))
+    quartiles = quantiles_at(places, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    # at most one row per described column
+    return moments.join(F.broadcast(found.join(quartiles, "column")), "column", "left")
 
 
 def value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:

@@ -36,7 +36,7 @@ def _supplier_tables(spark, folder):
     nation = read(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name"), F.col("n_regionkey"))
     base = (
         read(spark, folder, "supplier")
-        .join(F.broadcast(nation), "s_nationkey")
+        .join(nation, "s_nationkey")
         .select("s_suppkey", "s_name", "s_acctbal", "n_name", F.col("n_regionkey").cast("string").alias("league"), F.lit("2024").alias("season"))
     )
     lines = read(spark, folder, "lineitem").join(base, F.col("l_suppkey") == F.col("s_suppkey"))

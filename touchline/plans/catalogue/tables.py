@@ -46,7 +46,7 @@ def consolidated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         .select("n_nationkey", F.col("n_name").alias("club"), F.col("r_name").alias("league_name"))
     )
     customer, supplier = read(spark, folder, "customer"), read(spark, folder, "supplier")
-    field = customer.join(F.broadcast(clubs), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    field = customer.join(clubs, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("player_id"),
         F.col("c_name").alias("player_name"),
         "club",
@@ -56,7 +56,7 @@ def consolidated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         (2020 + F.col("c_custkey") % 4).cast("string").alias("season_code"),
         (F.col("c_custkey") % 30).alias("Gls"),
     )
-    keepers = supplier.join(F.broadcast(clubs), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    keepers = supplier.join(clubs, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("player_id"),
         F.col("s_name").alias("player_name"),
         "club",
