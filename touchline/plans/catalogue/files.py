@@ -42,13 +42,12 @@ def csv_roundtrip(spark, folder):
 
 
 def joined_files(spark, folder):
-    """Files named by league and season: the names become columns, other names are skipped."""
+    """One file per order status, named by league and season: the names become columns, other names are skipped."""
     root = scratch_path(spark, "joined")
-    orders = _orders_by_season(spark, folder).filter(F.col("season_code").isin("1996", "1997"))
-    named = {"join_f_1996_1997_mv.csv": ("f", "1996"), "join_o_1997_mv.csv": ("o", "1997"), "join_f_1996_1997.csv": ("p", "1996")}
-    for name, (league, season) in named.items():
-        part = orders.filter((F.col("league_code") == league) & (F.col("season_code") == season))
-        _single_file(part.select("o_orderkey", "o_totalprice"), root, name)
+    orders = _orders_by_season(spark, folder)
+    named = {"join_f_1995_2001_mv.csv": "f", "join_o_1995_mv.csv": "o", "join_p_2001_mv.csv": "p", "join_p_2001.csv": "p"}
+    for name, league in named.items():
+        _single_file(orders.filter(F.col("league_code") == league).select("o_orderkey", "o_totalprice"), root, name)
     return readers.read_joined_files(spark, root).select(
         F.col("o_orderkey").try_cast("long").alias("o_orderkey"), "league_code", "season_code", league_title(F.col("league_code")).alias("league_name")
     )
@@ -202,8 +201,8 @@ FROM orders_by_season WHERE NOT (league_code = 'f' AND season_code = '1998')""")
     "csv_roundtrip": (csv_roundtrip, """
 SELECT doc_id, md5(trim(regexp_replace(text, '[^\\x20-\\x7E\\x{00A0}-\\x{00FF}]', ' ', 'g'))) AS text_md5, lang, 'a;"b' AS "Note" FROM documents"""),
     "joined_files": (joined_files, f"""
-WITH {_ORDERS} SELECT o_orderkey, league_code, CASE league_code WHEN 'f' THEN '1996-1997' ELSE '1997' END AS season_code, upper(league_code) AS league_name
-FROM orders_by_season WHERE (league_code = 'f' AND season_code = '1996') OR (league_code = 'o' AND season_code = '1997')"""),
+WITH {_ORDERS} SELECT o_orderkey, league_code, CASE league_code WHEN 'f' THEN '1995-2001' WHEN 'o' THEN '1995' ELSE '2001' END AS season_code, upper(league_code) AS league_name
+FROM orders_by_season"""),
     "raw_zone": (raw_zone, f"""
 WITH {_ORDERS} SELECT kind, league_code AS league, CAST(season_code AS INTEGER) AS season, count(*) AS n_rows FROM orders_by_season, (VALUES ('stats'), ('misc')) k(kind)
 WHERE o_orderkey % 2 = 0 AND (kind = 'stats' OR league_code = 'f') GROUP BY ALL"""),

@@ -72,7 +72,7 @@ def gk_left_merge(spark, folder):
     keepers = lines.select(
         F.col("l_partkey").alias("Player"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("Squad"),
         F.col("l_extendedprice").alias("GK_Saves"), F.col("l_quantity").alias("GK_SoTA"),
-    ).filter(F.col("Player") % 3 == 0)
+    ).filter(F.col("GK_SoTA") > 25)
     return merge.attach_keepers(players, keepers)
 
 
@@ -160,7 +160,7 @@ FROM base LEFT JOIN sums USING (s_suppkey)"""),
     "gk_left_merge": (gk_left_merge, """
 WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_partkey AS "Player", CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS "Squad" FROM lineitem),
 k AS (SELECT * FROM (SELECT "Player", "Squad", l_extendedprice AS "GK_Saves", l_quantity AS "GK_SoTA",
-  row_number() OVER (PARTITION BY "Player", "Squad" ORDER BY l_extendedprice, l_quantity) AS place FROM p WHERE "Player" % 3 = 0) WHERE place = 1)
+  row_number() OVER (PARTITION BY "Player", "Squad" ORDER BY l_extendedprice, l_quantity) AS place FROM p WHERE l_quantity > 25) WHERE place = 1)
 SELECT p.*, "GK_Saves", "GK_SoTA" FROM p LEFT JOIN k ON p."Player" = k."Player" AND p."Squad" IS NOT DISTINCT FROM k."Squad" """),
     "derived_metrics": (derived_metrics, """
 WITH b AS (SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice, CASE l_suppkey % 3 WHEN 0 THEN 'GK' WHEN 1 THEN 'DF' END AS "Pos", l_quantity AS "PassCmp",

@@ -134,10 +134,10 @@ def training_rows(spark, folder):
 
 
 def _by_group_mean(spark, folder):
-    """The simplest value model: the mean log value of the position and age."""
+    """The simplest value model: the mean log value of the position."""
     rows = market.valued_players(_facts(spark, folder)).withColumn("label", F.log1p("latest_mv_eur"))
-    means = rows.groupBy("pos", "age").agg(F.avg("label").alias("predicted_log"))
-    return rows.join(means, ["pos", "age"])
+    means = rows.groupBy("pos").agg(F.avg("label").alias("predicted_log"))
+    return rows.join(means, "pos")
 
 
 def value_opportunities_baseline(spark, folder):
@@ -149,7 +149,7 @@ def value_rmse(spark, folder):
     return market.log_rmse(_by_group_mean(spark, folder)).withColumn("rmse", rounded("rmse", 6))
 
 
-_MEANS = """scored AS (SELECT v.*, avg(ln(1 + latest_mv_eur)) OVER (PARTITION BY pos, age) AS predicted_log, ln(1 + latest_mv_eur) AS label FROM valued v),
+_MEANS = """scored AS (SELECT v.*, avg(ln(1 + latest_mv_eur)) OVER (PARTITION BY pos) AS predicted_log, ln(1 + latest_mv_eur) AS label FROM valued v),
 gaps AS (SELECT *, latest_mv_eur AS actual_value_eur, exp(predicted_log) - 1 AS predicted_value_eur, exp(predicted_log) - 1 - latest_mv_eur AS value_diff_eur,
   (exp(predicted_log) - 1) / (latest_mv_eur + 1) AS value_ratio FROM scored)"""
 
