@@ -40,7 +40,7 @@ def test_heavy_key_is_cut(sides):
     left, right = sides
     heavy = {r.k: r._pieces for r in skew.heavy_keys(left, ["k"], 50).collect()}
     assert set(heavy) == {1} and heavy[1] >= 2
-    marked = skew._mark(left, skew.heavy_keys(left, ["k"], 10), ["k"], "_n")
+    marked = skew._join_pieces(left, skew.heavy_keys(left, ["k"], 10), ["k"], "_n")
     per_piece = marked.groupBy("k", skew._own_piece(["id"], "_n").alias("p")).count().agg(F.max("count")).first()[0]
     assert per_piece < left.filter("k = 1").count() / 4
 

@@ -62,8 +62,10 @@ def backfill(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[st
     """
     filled = [F.when(~is_blank(col(c)), F.struct(*[col(o) for o in order], col(c).alias("_value"))) for c in columns]
     blank = reduce(lambda a, b: a | b, [is_blank(col(c)) for c in columns])
-    firsts = df.groupBy(key).agg(*[F.min(f)["_value"].alias(f"_first_{i}") for i, f in enumerate(filled)])
-    joined = skew_join(df.filter(blank), firsts, [key], "left")
+    firsts = df.groupBy(key).agg(
+        *[F.min(f)["_value"].alias(f"_first_{i}") for i, f in enumerate(filled)], F.count_if(blank).alias("_rows")
+    )
+    joined = skew_join(df.filter(blank), firsts.drop("_rows"), [key], "left", counts=firsts)
     repaired = joined.withColumns(
         {c: F.when(is_blank(col(c)), col(f"_first_{i}")).otherwise(col(c)) for i, c in enumerate(columns)}
     )

@@ -126,6 +126,10 @@ def moving_average(
     return averaged.filter(~F.col("_carried")).drop("_chunk", "_carried")
 
 
+def rows_per_value(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    return df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def value_positions(df: DataFrame, group: Sequence[str], value: str, ascending: bool = True) -> DataFrame:
     """Per group and distinct value: how many rows (``below``) and values (``distinct_below``) come before it.
 
@@ -133,10 +137,11 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str, ascending:
     buckets by quantiles of the whole, and only bucket totals are summed per group: no task sorts a whole group.
     """
     group = list(group)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_rows"))
-    shares = [i / _BUCKETS for i in range(1, _BUCKETS)]
-    bucketed = counts.withColumn("_splits", counts.agg(F.percentile_approx(value, shares, 4096)).scalar())
-    bucketed = bucketed.withColumn("bucket", F.lit(0))
+    counts = rows_per_value(df, group, value)
+    # as text, the list of shares is parsed at once
+    shares = ", ".join(f"{i / _BUCKETS}d" for i in range(1, _BUCKETS))
+    splits = counts.agg(F.expr(f"percentile_approx(`{value}`, array({shares}), 4096)")).scalar()
+    bucketed = counts.withColumns({"_splits": splits, "bucket": F.lit(0)})
     for half in (_BUCKETS >> i for i in range(1, _BUCKETS.bit_length())):  # binary search in the sorted splits
         middle = F.get("_splits", F.col("bucket") + (half - 1))
         bucketed = bucketed.withColumn("bucket", F.col("bucket") + F.when(middle < F.col(value), half).otherwise(0))
@@ -175,7 +180,8 @@ def rank_in_group(
         (F.col("distinct_below") + 1).alias(f"{prefix}_dense_rank"),
         F.coalesce(F.try_divide(F.col("below"), F.col("group_rows") - 1), F.lit(0.0)).alias(f"{prefix}_percent_rank"),
     )
-    return skew_join(df, places, [*group, value], "left")
+    counts = rows_per_value(df, group, value).withColumnRenamed("n_rows", "_rows")
+    return skew_join(df, places, [*group, value], "left", counts=counts)
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:

@@ -17,31 +17,32 @@ LIGHT_ROWS = 20_000
 
 def heavy_keys(df: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
     """The largest keys and ``_pieces``, the number of parts each is cut into; at most MAX_HEAVY rows."""
+    return largest(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), on, light_rows)
+
+
+def largest(counts: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
+    """``heavy_keys`` from the rows per key, when they are known already as ``_rows``."""
     pieces = F.least(F.ceil(F.col("_rows") / light_rows), F.lit(MAX_PIECES)).cast("int")
     return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > light_rows)
+        counts.filter(F.col("_rows") > light_rows)
         .orderBy(F.col("_rows").desc())
         .limit(MAX_HEAVY)
         .select(*on, pieces.alias("_pieces"))
     )
 
 
-def _mark(df: DataFrame, heavy: DataFrame, on: Sequence[str], count: str) -> DataFrame:
-    """Add ``count``, the number of pieces of the row's key; 1 for keys that are not heavy."""
+def _join_pieces(df: DataFrame, heavy: DataFrame, on: Sequence[str], count: str) -> DataFrame:
+    """Add ``count``, the number of pieces of the row's key; null for keys that are not heavy."""
     small = F.broadcast(heavy.select(*[F.col(k).alias(f"_h_{k}") for k in on], F.col("_pieces").alias(count)))
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in on])
-    marked = df.join(small, match, "left").drop(*[f"_h_{k}" for k in on])
-    return marked.withColumn(count, F.coalesce(count, F.lit(1)))
+    return df.join(small, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in on]), "left")
 
 
 def _own_piece(columns: Sequence[str], count: str) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.col(count)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.coalesce(F.col(count), F.lit(1))).cast("int")
 
 
 def _every_piece(count: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1))
 
 
 def skew_join(
@@ -53,32 +54,35 @@ def skew_join(
     null_safe: bool = False,
     both: bool = False,
     light_rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that cuts heavy keys of the left side into pieces.
 
     Rows of a heavy left key are cut into pieces by a hash of the ``spread`` columns (all columns unless given)
     and the matching right rows are repeated once per piece; all other keys join as usual. With ``both`` (inner
     joins only) heavy right keys are cut the same way. The hash is fixed by the row, so a recomputed task yields
-    the same pieces.
+    the same pieces. ``counts`` (keys and ``_rows``) spares counting the left keys where an aggregation that is
+    needed anyway has done so.
     """
-    on = list(on)
-    limit = LIGHT_ROWS if light_rows is None else light_rows
-    cut_left = heavy_keys(left, on, limit)
-    big = _mark(left, cut_left, on, "_n").withColumn("_piece", _own_piece(spread or left.columns, "_n"))
-    small = _mark(right, cut_left, on, "_n").withColumn("_piece", _every_piece("_n"))
-    pieces = ["_piece"]
+    on, limit = list(on), LIGHT_ROWS if light_rows is None else light_rows
+    own, other = left.columns, [c for c in right.columns if c not in on]
+    as_right = [F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
+    cut = heavy_keys(left, on, limit) if counts is None else largest(counts, on, limit)
+    big = _join_pieces(left, cut, on, "_n").select(*own, _own_piece(spread or own, "_n").alias("_piece"))
+    small = _join_pieces(right, cut, on, "_n").select(*right.columns, _every_piece("_n").alias("_piece"))
+    keys = [*on, "_piece"]
     if both:
         if how != "inner":
             raise ValueError("both sides can be cut for inner joins only")
         cut_right = heavy_keys(right, on, limit)
-        small = _mark(small, cut_right, on, "_m").withColumn("_slice", _own_piece(right.columns, "_m"))
-        big = _mark(big, cut_right, on, "_m").withColumn("_slice", _every_piece("_m"))
-        pieces.append("_slice")
-    keys = [*on, *pieces]
-    renamed = small.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in [*right.columns, *pieces]])
+        slices = _own_piece(right.columns, "_m").alias("_slice")
+        small = _join_pieces(small, cut_right, on, "_m").select(*right.columns, "_piece", slices)
+        big = _join_pieces(big, cut_right, on, "_m").select(*own, "_piece", _every_piece("_m").alias("_slice"))
+        keys.append("_slice")
+    small = small.select(*as_right, *[F.col(c).alias(f"_r_{c}") for c in keys if c not in on])
     pairs = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) if null_safe else F.col(c) == F.col(f"_r_{c}") for c in keys]
-    joined = big.drop("_n", "_m").join(renamed, reduce(lambda a, b: a & b, pairs), how)
-    return joined.drop(*pieces, *[f"_r_{c}" for c in keys])
+    joined = big.join(small, reduce(lambda a, b: a & b, pairs), how)
+    return joined.select(*own, *(other if how in ("inner", "left") else []))
 
 
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -89,8 +93,9 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 
 def rows_at_max(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """All rows whose ``by`` is the largest of their key; ties stay."""
-    best = df.groupBy(*keys).agg(F.max(by).alias(by))
-    return skew_join(df, best, [*keys, by], "inner")
+    best = df.groupBy(*keys).agg(F.max(by).alias("_best"), F.count(F.lit(1)).alias("_rows"))
+    joined = skew_join(df, best.select(*keys, "_best"), keys, "inner", counts=best)
+    return joined.filter(F.col(by) == F.col("_best")).drop("_best")
 
 
 def keep_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -67,11 +67,9 @@ def player_view(
     """Field players and goalkeepers together, with each player's newest known value as ``latest_mv_eur``."""
     both = field.unionByName(keepers, allowMissingColumns=True)
     order = F.col(season) if season_order is None else season_order
-    known = both.filter(F.col(value).isNotNull())
-    newest = known.groupBy(player).agg(
-        F.max(F.struct(order.alias("season"), F.col(value).alias("value")))["value"].alias("latest_mv_eur")
-    )
-    return skew_join(both, newest, [player], "left")
+    known = F.when(F.col(value).isNotNull(), F.struct(order.alias("season"), F.col(value).alias("value")))
+    newest = both.groupBy(player).agg(F.max(known)["value"].alias("latest_mv_eur"), F.count(F.lit(1)).alias("_rows"))
+    return skew_join(both, newest.drop("_rows"), [player], "left", counts=newest)
 
 
 def leagues(view: DataFrame, league: str = "league_name") -> DataFrame:
