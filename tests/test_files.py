@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import rows
-from touchline.operators import merge
+from touchline import session
 from touchline.plans import season_build
 from touchline.sources import pages, readers, writers
 
@@ -70,6 +70,18 @@ def test_counts_while_writing(spark, tmp_path):
     assert watch.get == {"n_rows": 3, "n_keepers": 1, "n_field": 1}
 
 
+def test_ids_and_teams(spark, tmp_path):
+    (tmp_path / "ids.json").write_text('["7", "8",\n "7"]')
+    assert rows(readers.read_ids(spark, f"{tmp_path}/ids.json")) == [(0, "7"), (1, "8"), (2, "7")]
+    (tmp_path / "teams.csv").write_text("league_code,season,team_id,team_name\nARG1,2024,209,CA River Plate\n")
+    assert rows(readers.team_dimension(spark, f"{tmp_path}/teams.csv")) == [("ARG1", "2024", 209, "CA River Plate")]
+
+
+def test_scratch_tables_are_discarded(spark):
+    df = session.materialize(spark.range(3), "test")
+    assert df.count() == 3 and session.discard_scratch(spark) >= 1 and session.discard_scratch(spark) == 0
+
+
 SQUAD = """<html><h1> CA <b>Boca</b>
  Juniors</h1><table class="items"><thead><tr><th>x</th></tr></thead><tbody>
 <tr class="odd"><td>7</td><td><table class="inline-table"><tr><td><a href="/jose/profil/spieler/77">José &amp; Co</a></td></tr><tr><td>FW</td></tr></table></td>
@@ -136,4 +148,3 @@ def test_from_landed_tables_to_opportunities(spark, tmp_path):
         assert 0 < best.count() <= 10 and "team_name" in best.columns
     with pytest.raises(ValueError):
         season_build.build_opportunities(view, field, mode="x")
-    assert merge is not None

@@ -103,6 +103,14 @@ def crosswalk(spark, folder):
     return resolve.crosswalk(_exact(spark, folder), "row_id")
 
 
+def resolve_by_type(spark, folder):
+    """The cascade within each part type, as for one run over many leagues."""
+    kind = read(spark, folder, "part").select(F.col("p_partkey").alias("key"), F.col("p_type").alias("league"))
+    left = _left(spark, folder).join(kind, F.col("row_id") == F.col("key")).drop("key")
+    right = _right(spark, folder).join(kind, F.col("player_id") == F.col("key")).drop("key")
+    return resolve.resolve(left, right, ["league"], fuzzy=False).select("league", *_OUT)
+
+
 def resolve_fuzzy_club(spark, folder):
     found = resolve.resolve(_misspelled(spark, folder, False), _right(spark, folder))
     return found.select(*_OUT, rounded("score").alias("score"))
@@ -125,25 +133,25 @@ def name_scores(spark, folder):
 
 _RIGHT = """r AS (
   SELECT p_partkey AS id, p_name AS norm, p_name AS fl, replace(lower(p_brand), '#', ' ') AS club, p_size AS yr,
-         strftime(DATE '1970-01-01' + CAST(p_partkey AS INTEGER), '%Y-%m-%d') AS dob, CAST(round(p_retailprice * 100) AS BIGINT) AS val
+         strftime(DATE '1970-01-01' + CAST(p_partkey AS INTEGER), '%Y-%m-%d') AS dob, CAST(round(p_retailprice * 100) AS BIGINT) AS val, p_type AS league
   FROM part WHERE p_partkey % 3 <> 0)"""
 _LEFT = """l AS (
   SELECT p_partkey AS id, CASE WHEN p_partkey % 4 = 0 THEN split_part(p_name, ' ', 1) || ' ' || lower(p_type) || ' ' || split_part(p_name, ' ', 2) ELSE p_name END AS norm,
          p_name AS fl, CASE WHEN p_partkey % 7 <> 0 THEN replace(lower(p_brand), '#', ' ') END AS club,
          CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN p_size + 200 WHEN p_partkey % 5 = 0 THEN p_size + 1
               WHEN p_partkey % 6 = 1 THEN p_size - 1 ELSE p_size END AS yr,
-         CASE WHEN p_partkey % 11 = 0 THEN strftime(DATE '1970-01-01' + CAST(p_partkey AS INTEGER), '%Y-%m-%d') END AS dob
+         CASE WHEN p_partkey % 11 = 0 THEN strftime(DATE '1970-01-01' + CAST(p_partkey AS INTEGER), '%Y-%m-%d') END AS dob, p_type AS league
   FROM part)"""
 
 
-def _stage_sql() -> str:
+def _stage_sql(scope: tuple[str, ...] = ()) -> str:
     keys = {
         "norm_club_year": ["norm", "club", "yr"], "fl_club_year": ["fl", "club", "yr"], "fl_dob": ["fl", "dob"],
         "fl_year": ["fl", "yr"], "norm_club": ["norm", "club"],
     }
     steps = []
     for stage, family, shift, label in STAGES:
-        cols = keys[family.removesuffix("_once")]
+        cols = [*scope, *keys[family.removesuffix("_once")]]
         once = " AND k.n = 1" if family.endswith("_once") else ""
         on = " AND ".join(f"l.{c}{f' + {shift}' if c == 'yr' else ''} = k.{c}" for c in cols)
         part = ", ".join(cols)
@@ -155,9 +163,15 @@ def _stage_sql() -> str:
     return "hits AS (" + " UNION ALL ".join(steps) + ")"
 
 
-_EXACT = f"""WITH {_RIGHT}, {_LEFT}, {_stage_sql()},
+
+
+def _exact_sql(scope: tuple[str, ...] = ()) -> str:
+    return f"""WITH {_RIGHT}, {_LEFT}, {_stage_sql(scope)},
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY stage) AS place FROM hits) WHERE place = 1),
-resolved AS (SELECT l.id AS row_id, l.norm, l.fl, stage, join_method, player_id, market_value_eur FROM l LEFT JOIN best ON l.id = best.row_id)"""
+resolved AS (SELECT l.id AS row_id, l.norm, l.fl, l.league, stage, join_method, player_id, market_value_eur FROM l LEFT JOIN best ON l.id = best.row_id)"""
+
+
+_EXACT = _exact_sql()
 
 
 def score_sql(a: str, b: str) -> str:
@@ -194,6 +208,7 @@ SELECT l.id AS row_id, stage, join_method, player_id, market_value_eur FROM l LE
 u AS (SELECT row_id, player_id, sha256(CASE WHEN player_id IS NOT NULL THEN 'transfermarkt:' || player_id ELSE 'fbref:' || row_id END) AS player_uuid FROM resolved)
 SELECT player_uuid, 'fbref' AS source, CAST(row_id AS VARCHAR) AS source_player_id FROM u
 UNION SELECT player_uuid, 'transfermarkt', CAST(player_id AS VARCHAR) FROM u WHERE player_id IS NOT NULL"""),
+    "resolve_by_type": (resolve_by_type, f"{_exact_sql(('league',))} SELECT league, row_id, stage, join_method, player_id, market_value_eur FROM resolved"),
     "resolve_fuzzy_club": (resolve_fuzzy_club, f"""
 WITH {_RIGHT}, l AS (SELECT p_partkey AS id, {_MISSPELLED_NORM} AS norm, replace(lower(p_brand), '#', ' ') AS club FROM part),
 names AS (SELECT DISTINCT a.norm AS a, b.norm AS b FROM (SELECT DISTINCT norm FROM l) a, (SELECT DISTINCT norm FROM r) b),

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchline.operators import features, knn, market
+from touchline.operators import features, knn, market, serving
 from touchline.plans import season_build
 from touchline.plans.catalogue.tables import UNION_VIEW, read, rounded
 from touchline.plans.catalogue.screens import _view
+from touchline.session import scratch_path
+from touchline.sources import writers
 
 
 def rolling_avg(spark, folder):
@@ -91,6 +93,14 @@ def knn_one(spark, folder):
     return near.select("neighbour", rounded("distance").alias("distance"))
 
 
+def knn_stored(spark, folder):
+    """Neighbours stored as a table; the five of number 7 read back."""
+    path = scratch_path(spark, "neighbours")
+    writers.write_parquet(knn.nearest_neighbours(_points(spark, folder), 10), path)
+    near = knn.similar_players(spark.read.parquet(path), 7, 5)
+    return near.select("neighbour", rounded("distance").alias("distance"))
+
+
 def knn_details(spark, folder):
     """Five players like number 7 with the facts of all their seasons."""
     near = knn.nearest_to(_points(spark, folder), 7, 5).withColumn("distance", rounded("distance"))
@@ -145,6 +155,14 @@ def value_opportunities_baseline(spark, folder):
     return best.withColumns({c: rounded(c) for c in ("predicted_value_eur", "value_diff_eur", "value_ratio")})
 
 
+def value_opportunities_served(spark, folder):
+    """The stored list as JSON, and the 50 best read back."""
+    path = scratch_path(spark, "opportunities")
+    best = value_opportunities_baseline(spark, folder).select("player_uuid", "full_name", "value_diff_eur")
+    writers.write_json(best, path)
+    return serving.top_opportunities(spark.read.schema(best.schema).json(path))
+
+
 def value_rmse(spark, folder):
     return market.log_rmse(_by_group_mean(spark, folder)).withColumn("rmse", rounded("rmse", 6))
 
@@ -215,6 +233,8 @@ WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")}, {UNION_VIEW},
 five AS (SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5)
 SELECT neighbour, distance, player_name AS full_name, "Pos" AS primary_position, season_code AS season_id, club AS team_name, latest_mv_eur AS value_eur, "Gls"
 FROM five JOIN player_view ON neighbour = player_id"""),
+    "knn_stored": (knn_stored, f"""
+WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")} SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5"""),
     "valued_players": (valued_players, f"WITH {_FACTS} SELECT * FROM valued"),
     "training_rows": (training_rows, f"""
 WITH {_STATS}, {_FACTS} SELECT player_id, round(ln(1 + latest_mv_eur), 4) + 0.0 AS label, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2,
@@ -223,6 +243,10 @@ WITH {_STATS}, {_FACTS} SELECT player_id, round(ln(1 + latest_mv_eur), 4) + 0.0
 WITH {_FACTS}, {_MEANS} SELECT player_id AS player_uuid, player_name AS full_name, pos AS primary_position, club AS team_name, league_name, age, season_code, actual_value_eur,
   round(predicted_value_eur, 4) + 0.0 AS predicted_value_eur, round(value_diff_eur, 4) + 0.0 AS value_diff_eur, round(value_ratio, 4) + 0.0 AS value_ratio, "MatchesPlayed"
 FROM gaps WHERE gaps.value_diff_eur > 0 ORDER BY gaps.value_diff_eur DESC, player_id LIMIT 200"""),
+    "value_opportunities_served": (value_opportunities_served, f"""
+WITH {_FACTS}, {_MEANS}, r AS (SELECT player_id AS player_uuid, player_name AS full_name, round(value_diff_eur, 4) + 0.0 AS value_diff_eur
+  FROM gaps WHERE gaps.value_diff_eur > 0 ORDER BY gaps.value_diff_eur DESC, player_id LIMIT 200)
+SELECT * FROM r ORDER BY value_diff_eur DESC, player_uuid LIMIT 50"""),
     "value_rmse": (value_rmse, f"WITH {_FACTS}, {_MEANS} SELECT round(sqrt(avg((label - predicted_log) ** 2)), 6) + 0.0 AS rmse FROM gaps"),
     "value_opportunities_in_sample": (value_opportunities_in_sample, None),
     "value_opportunities_out_of_fold": (value_opportunities_out_of_fold, None),

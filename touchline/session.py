@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -19,6 +19,7 @@ SETTINGS = {
 
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def build_session(name: str = "touchline", master: str | None = None, **extra: str) -> SparkSession:
@@ -49,12 +50,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, remembered for ``discard_scratch``."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
-def materialize(df, label: str):
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing to the shared folder and reading back; survives the loss of executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete what ``materialize`` has written so far, once the results that read it are stored; returns the count."""
+    removed = 0
+    while _written:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return removed

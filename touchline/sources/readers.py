@@ -103,6 +103,18 @@ def work_list(spark: SparkSession, leagues: dict[str, Sequence[str | int]], sour
     )
 
 
+def read_ids(spark: SparkSession, path: str, name: str = "player_id") -> DataFrame:
+    """Ids from JSON files, each one array of ids, with their place in the array."""
+    lists = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<string>").alias("ids"))
+    return lists.select(F.posexplode("ids").alias("at", name))
+
+
+def team_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """Team ids per league and season, typed; a small configuration table."""
+    teams = read_csv(spark, path, ",", "UTF-8")
+    return teams.withColumns({"team_id": F.col("team_id").try_cast("long"), "season": F.trim("season")})
+
+
 def pruned(df: DataFrame, *candidates: Sequence[str]) -> DataFrame:
     """The wanted columns the table has, and no others, so that the scan reads nothing else."""
     return df.select(*existing(df, [c for group in candidates for c in group]))
