@@ -48,37 +48,39 @@ def add_keys(df: DataFrame, name: str, club: str, dob: str | None, age: str | No
     )
 
 
-def _families(scope: Sequence[str], year: Column) -> dict[str, list[Column]]:
-    norm, fl, club, dob = (F.col(c) for c in ("player_norm", "player_fl", "club_norm", "dob_iso"))
-    parts = {
-        "norm_club_year": [norm, club, year],
-        "fl_club_year": [fl, club, year],
-        "fl_club_year_once": [fl, club, year],
-        "fl_dob": [fl, dob],
-        "fl_year": [fl, year],
-        "fl_year_once": [fl, year],
-        "norm_club": [norm, club],
-    }
-    return {family: [*[F.col(s) for s in scope], *cols] for family, cols in parts.items()}
-
-
-def _key(columns: list[Column]) -> Column:
-    """Key parts as one text; a null or empty part makes the whole key null. The separator occurs in no part."""
-    text = [c.cast("string") for c in columns]
-    whole = F.concat_ws("\x1f", *text)
-    return F.when(F.greatest(*[(c.isNull() | (c == "")).cast("int") for c in text]) == 0, whole)
+_PARTS = {
+    "norm_club_year": ("player_norm", "club_norm", "year"),
+    "fl_club_year": ("player_fl", "club_norm", "year"),
+    "fl_club_year_once": ("player_fl", "club_norm", "year"),
+    "fl_dob": ("player_fl", "dob_iso"),
+    "fl_year": ("player_fl", "year"),
+    "fl_year_once": ("player_fl", "year"),
+    "norm_club": ("player_norm", "club_norm"),
+}
+
+
+def _key_parts(df: DataFrame, scope: Sequence[str], *others: Column | str) -> DataFrame:
+    """The key columns as text, empty ones as null."""
+    texts = [*scope, "player_norm", "player_fl", "club_norm", "dob_iso"]
+    return df.select(*others, "birth_year", *[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in texts])
+
+
+def _key(family: str, scope: Sequence[str], shift: int, null_safe_year: bool) -> Column:
+    """Key parts joined by a separator that occurs in none of them; ``concat`` is null when any part is."""
+    year = (F.col("birth_year") + shift if shift else F.col("birth_year")).cast("string")
+    if null_safe_year and not family.endswith("_once"):
+        year = F.coalesce(year, F.lit("?"))
+    parts = [*[F.col(c) for c in scope], *[year if c == "year" else F.col(c) for c in _PARTS[family]]]
+    return F.concat(*[x for part in parts for x in (part, F.lit("\x1f"))])
 
 
 def _left_keys(left: DataFrame, scope: Sequence[str], null_safe_year: bool) -> DataFrame:
-    entries = []
-    for stage, family, shift, _ in STAGES:
-        year = F.col("birth_year") + F.lit(shift)
-        if null_safe_year and shift == 0:
-            year = F.coalesce(year.cast("string"), F.lit("?"))
-        key = _key(_families(scope, year)[family])
-        entries.append(F.struct(F.lit(stage).alias("stage"), F.lit(family).alias("family"), key.alias("key")))
-    exploded = left.select("row_id", F.explode(F.array(*entries)).alias("e"))
-    return exploded.select("row_id", "e.stage", "e.family", "e.key").filter(F.col("key").isNotNull())
+    entries = [
+        F.struct(F.lit(stage).alias("stage"), F.lit(family).alias("family"), _key(family, scope, shift, null_safe_year).alias("key"))
+        for stage, family, shift, _ in STAGES
+    ]
+    keyed = _key_parts(left, scope, "row_id").select("row_id", F.explode(F.array(*entries)).alias("e"))
+    return keyed.select("row_id", "e.stage", "e.family", "e.key").filter(F.col("key").isNotNull())
 
 
 def _right_keys(right: DataFrame, scope: Sequence[str], null_safe_year: bool) -> DataFrame:
@@ -86,20 +88,13 @@ def _right_keys(right: DataFrame, scope: Sequence[str], null_safe_year: bool) ->
 
     Rows without a value count for uniqueness but are never the answer.
     """
-    year = F.col("birth_year")
-    safe_year = F.coalesce(year.cast("string"), F.lit("?")) if null_safe_year else year
-    entries = []
-    for family in dict.fromkeys(f for _, f, _, _ in STAGES):
-        key = _key(_families(scope, year if family.endswith("_once") else safe_year)[family])
-        entries.append(F.struct(F.lit(family).alias("family"), key.alias("key")))
-    payload = F.struct(
-        (-F.col("market_value_eur")).alias("by_value"), F.col("player_id").alias("by_id"), *PAYLOAD
-    )
-    exploded = right.select(
-        F.explode(F.array(*entries)).alias("e"), F.when(F.col("market_value_eur").isNotNull(), payload).alias("match")
-    )
+    entries = [F.struct(F.lit(family).alias("family"), _key(family, scope, 0, null_safe_year).alias("key")) for family in _PARTS]
+    payload = F.struct((-F.col("market_value_eur")).alias("by_value"), F.col("player_id").alias("by_id"), *PAYLOAD)
+    match = F.when(F.col("market_value_eur").isNotNull(), payload).alias("match")
     best = (
-        exploded.select("e.family", "e.key", "match")
+        _key_parts(right, scope, match)
+        .select(F.explode(F.array(*entries)).alias("e"), "match")
+        .select("e.family", "e.key", "match")
         .filter(F.col("key").isNotNull())
         .groupBy("family", "key")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("match").alias("match"))
