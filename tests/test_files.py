@@ -23,8 +23,12 @@ def test_csv_dialects(spark, tmp_path, sep, encoding, mark):
 
 def test_joined_files(spark, tmp_path):
     (tmp_path / "join_bel_2025_2026_mv.csv").write_text("a\n1\n2\n")
-    (tmp_path / "join_zz_mv.csv").write_text("a\n3\n")
-    assert rows(readers.read_joined_files(spark, str(tmp_path))) == [("1", "bel", "2025-2026"), ("2", "bel", "2025-2026"), ("3", "zz", "")]
+    (tmp_path / "join_zz_mv.csv").write_text("b,a\n9,3\n")
+    (tmp_path / "join_zz.csv").write_text("a\n4\n")
+    got = readers.read_joined_files(spark, str(tmp_path)).select("a", "b", "league_code", "season_code")
+    assert rows(got) == [("1", None, "bel", "2025-2026"), ("2", None, "bel", "2025-2026"), ("3", "9", "zz", "")]
+    with pytest.raises(FileNotFoundError):
+        readers.read_joined_files(spark, str(tmp_path), "nothing_*.csv")
 
 
 def test_bad_rows(spark, tmp_path):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.operators.columns import col
 from touchline.operators.skew import skew_join
+from touchline.session import materialize
 
 TREES, SEED, KEPT = 100, 42, 200
 LEAST_MATCHES, LEAST_VALUE = 5, 100_000
@@ -65,7 +66,7 @@ def predict_values(rows: DataFrame, model: RandomForestRegressionModel, features
 
 def predict_out_of_fold(rows: DataFrame, fold: Column, folds: int = 5, **fit) -> DataFrame:
     """Each row is scored by a forest that has not seen its fold; fold players, not rows, so no player is on both sides."""
-    numbered = rows.withColumn("_fold", F.pmod(F.xxhash64(fold), F.lit(folds)))
+    numbered = materialize(rows.withColumn("_fold", F.pmod(F.xxhash64(fold), F.lit(folds))), "folds")
     scored = None
     for i in range(folds):
         model = fit_values(numbered.filter(F.col("_fold") != i), **fit)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.operators import consolidate, features, knn, market, merge, resolve, views
+from touchline.session import materialize
 from touchline.sources import writers
 
 
@@ -31,11 +32,13 @@ def match_values(
         {"birth_year": F.col("birth_year_fb"), "dob_iso": F.col("dob_fb")}
     )
     right = resolve.add_keys(roster, "player_name", "club_name", "dob", "age", season_year)
-    return resolve.resolve(left, right, scope, **options)
+    # both sides are read by several steps of the cascade
+    return resolve.resolve(materialize(left, "keyed-players"), materialize(right, "keyed-roster"), scope, **options)
 
 
 def load_consolidated(joined: DataFrame, folder: str, order: Sequence[str]) -> DataFrame:
     """Refresh the two consolidated tables, one partition per (league, season); returns the undecided rows."""
+    joined = materialize(joined, "joined")
     field, keepers, undecided = consolidate.consolidated(joined, order)
     loaded = joined.select("league_code", "season_code").distinct()
     writers.refresh_partitions(field, f"{folder}/field_players_all", loaded)
@@ -57,7 +60,7 @@ def build_opportunities(view: DataFrame, table: DataFrame, mode: str = "out_of_f
     on = ["player_id", "season_code", "club"]
     matrix = features.feature_matrix(table, features.FIELD_FEATURES, on)
     facts = market.valued_players(view.withColumnRenamed("Pos", "pos"))
-    rows = market.training_rows(matrix, facts, on)
+    rows = materialize(market.training_rows(matrix, facts, on), "training-rows")
     if mode == "in_sample":
         scored = market.predict_values(rows, market.fit_values(rows, depth=depth))
     elif mode == "out_of_fold":

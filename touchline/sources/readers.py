@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -13,11 +14,18 @@ from touchline.operators.columns import existing, unique_names
 _FILE = r"join_([^_/]+)(?:_([^/]*))?_mv\.csv(?:/[^/]*)?$"
 
 
-def read_stat_tables(spark: SparkSession, root: str, kinds: Sequence[str], source: str | None = None) -> dict[str, DataFrame]:
-    """One DataFrame per table kind from ``root/<kind>/source=/league=/season=``; all leagues and seasons at once."""
+def read_stat_tables(
+    spark: SparkSession, root: str, kinds: Sequence[str], source: str | None = None, schemas: dict[str, T.StructType] | None = None
+) -> dict[str, DataFrame]:
+    """One DataFrame per table kind from ``root/<kind>/source=/league=/season=``; all leagues and seasons at once.
+
+    A schema per kind spares reading the footers of all files; without it the columns of all files are merged.
+    """
     tables = {}
     for kind in kinds:
-        df = spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{kind}")
+        known = (schemas or {}).get(kind)
+        reader = spark.read.schema(known) if known else spark.read.option("mergeSchema", "true")
+        df = reader.parquet(f"{root.rstrip('/')}/{kind}")
         tables[kind] = df.filter(F.col("source") == source) if source and "source" in df.columns else df
     return tables
 
@@ -27,6 +35,13 @@ def _header(spark: SparkSession, path: str, encoding: str) -> str:
     return first[0][0].lstrip("\ufeff") if first else ""
 
 
+def _text_schema(header: str, sep: str) -> T.StructType:
+    """Text columns by the header; names that differ only in case are told apart, as Spark does not distinguish them."""
+    names = [n.strip().strip('"').lstrip("\ufeff") for n in header.split(sep)]
+    lowered = unique_names([n.lower() for n in names])
+    return T.StructType([T.StructField(n + low[len(n):], T.StringType()) for n, low in zip(names, lowered)])
+
+
 def csv_dialect(spark: SparkSession, path: str) -> tuple[str, str]:
     """Separator by the header line, encoding by whether the text is valid UTF-8."""
     header = _header(spark, path, "UTF-8")
@@ -36,17 +51,11 @@ def csv_dialect(spark: SparkSession, path: str) -> tuple[str, str]:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None) -> DataFrame:
-    """A CSV with header as text columns; separator and encoding are found when not given.
-
-    Column names that differ only in case are told apart by ``__dupN``, as Spark does not distinguish them.
-    """
+    """A CSV with header as text columns; separator and encoding are found when not given."""
     if sep is None or encoding is None:
         found_sep, found_encoding = csv_dialect(spark, path)
         sep, encoding = sep or found_sep, encoding or found_encoding
-    names = [n.strip().strip('"').lstrip("\ufeff") for n in _header(spark, path, encoding).split(sep)]
-    lowered = unique_names([n.lower() for n in names])
-    names = [n + low[len(n):] for n, low in zip(names, lowered)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = _text_schema(_header(spark, path, encoding), sep)
     options = {"header": True, "sep": sep, "encoding": encoding, "mode": "PERMISSIVE", "enforceSchema": True, "escape": '"'}
     return spark.read.options(**options).schema(schema).csv(path)
 
@@ -76,13 +85,30 @@ def file_season(path: Column) -> Column:
     return F.when(file_league(path).isNotNull(), season)
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders a pattern matches; one per league and season, so the list is short."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 def read_joined_files(spark: SparkSession, folder: str, pattern: str = "join_*_mv.csv", sep: str = ",") -> DataFrame:
-    """All matching files in one read, with league and season taken from the file names; other names are skipped."""
-    df = spark.read.options(header=True, sep=sep).csv(f"{folder.rstrip('/')}/{pattern}")
-    path = F.col("_metadata.file_path")
-    return df.withColumns({"league_code": file_league(path), "season_code": file_season(path)}).filter(
-        F.col("league_code").isNotNull()
-    )
+    """All matching files as text, with league and season taken from the file names; other names are skipped.
+
+    Files with the same header are read together; those with other columns are joined to them by column name.
+    """
+    by_header: dict[str, list[str]] = {}
+    for path in list_paths(spark, f"{folder.rstrip('/')}/{pattern}"):
+        by_header.setdefault(_header(spark, path, "UTF-8"), []).append(path)
+    if not by_header:
+        raise FileNotFoundError(f"no {pattern} in {folder}")
+    parts = [
+        spark.read.options(header=True, sep=sep, escape='"').schema(_text_schema(header, sep)).csv(paths)
+        for header, paths in by_header.items()
+    ]
+    file = F.col("_metadata.file_path")
+    named = [df.withColumns({"league_code": file_league(file), "season_code": file_season(file)}) for df in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).filter(F.col("league_code").isNotNull())
 
 
 def unprocessed(paths: Sequence[str]) -> list[str]:
