@@ -5,7 +5,7 @@
 * the shared words nearly cover one of the names. Then that name's rarest words, taken until the rest is too short
   to cover it, contain a shared word;
 * the leftover words differ by a few letters. One inserted or deleted letter spoils few letter triples, so the two
-  names share a triple among the rarest few of each (prefix filter).
+  names share a triple among the rarest few of each (prefix filter), and enough of all of them (count filter).
 
 Both give a small set of pairs that is a superset of all pairs at or above the threshold; the score decides.
 Names are reduced to distinct ones per block first, so copies of a name cost nothing.
@@ -117,23 +117,33 @@ def _triple_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], miss:
 
     def rarest(df: DataFrame) -> DataFrame:
         order = Window.partitionBy(*block, "name").orderBy(F.coalesce("names_with", F.lit(0)), "triple")
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return (
             df.join(frequency, "triple", "left")
-            .withColumns(
-                {
-                    "place": F.row_number().over(order),
-                    "earlier": F.collect_list("triple").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-                }
-            )
+            .withColumns({"place": F.row_number().over(order), "triples": F.collect_list("triple").over(whole)})
             .filter(F.col("place") <= _spoiled(F.col("width"), F.size("words") - 1, miss) + 1)
-            .drop("names_with", "place", "nth")
+            .drop("names_with", "nth")
         )
 
     x, y = materialize(rarest(l_all), "left-triples"), materialize(rarest(r_all), "right-triples")
     pairs = skew_join(_sided(x, "x", block, "triple"), _sided(y, "y", block, "triple"), [*block, "triple"], "inner", both=True)
-    shorter, longer = F.least("width_x", "width_y"), F.greatest("width_x", "width_y")
-    near = longer <= F.floor(shorter * F.lit((1 + miss) / (1 - miss)) + 1e-9)
-    return pairs.filter(near & ~F.arrays_overlap("earlier_x", "earlier_y")).drop("triple", "earlier_x", "earlier_y")
+    wide_x, wide_y = F.col("width_x"), F.col("width_y")
+    edits = F.floor(F.lit(miss) * (wide_x + wide_y) + 1e-9)
+
+    def needed(own: Column, other: Column, words: str, triples: str) -> Column:
+        """Triples that must be shared: all of one name's but those that this many edits can spoil."""
+        deleted = F.floor((edits + own - other) / 2)
+        return F.size(triples) - 3 * deleted - 2 * (edits - deleted) - (F.size(words) - 1)
+
+    least = F.greatest(needed(wide_x, wide_y, "words_x", "triples_x"), needed(wide_y, wide_x, "words_y", "triples_y"), F.lit(1))
+    # as this triple is the first shared one, only those behind it can be shared as well
+    left_over = F.least(F.size("triples_x") - F.col("place_x"), F.size("triples_y") - F.col("place_y")) + 1
+    possible = (F.abs(wide_x - wide_y) <= edits) & (left_over >= least)
+    before_x = F.slice("triples_x", F.lit(1), F.col("place_x") - 1)
+    before_y = F.slice("triples_y", F.lit(1), F.col("place_y") - 1)
+    enough = F.size(F.array_intersect("triples_x", "triples_y")) >= least
+    kept = pairs.filter(possible & ~F.arrays_overlap(before_x, before_y)).filter(enough)
+    return kept.drop("triple", "place_x", "place_y", "triples_x", "triples_y")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
