@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,6 @@ SETTINGS = {
 }
 
 
-_local_dir: str | None = None
 _written: list[str] = []
 
 
@@ -34,19 +32,10 @@ def build_session(name: str = "touchline", master: str | None = None, **extra: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: there one machine is the whole cluster.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset a folder in the warehouse,
+    which all executors share as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    global _local_dir
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="touchline-")
-    return _local_dir
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/touchline-scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
