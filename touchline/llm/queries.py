@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import mixing
+from touchline.llm import mixing, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +17,16 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(docs, mixing.cyclic_weights((5, 2, 1)), share=1.5, most=2))
 
 
-QUERIES = {"op1_mix_sources": (op1_mix_sources, None)}
+def op3_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash over 3-word shingles; fingerprints that differ in 3 bits or fewer are linked."""
+    found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", simhash.as_hex("key").alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    "op1_mix_sources": (op1_mix_sources, None),
+    "op3_simhash_duplicates": (op3_simhash_duplicates, None),
+}
 
 
 def all_queries() -> dict:
