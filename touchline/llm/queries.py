@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import mixing, simhash
+from touchline.llm import mixing, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,9 +23,18 @@ def op3_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("key").alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of ids whose crc32 is not a multiple of 5."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    lexicon = toxicity.train(docs, labels, toxicity.id_remainder("doc_id", 5) != 0)
+    scored = docs.select("doc_id", (toxicity.id_remainder("doc_id", 5) == 0).alias("held_out"), toxicity.score("text", lexicon).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
+    "op7_toxicity": (op7_toxicity, None),
 }
 
 
