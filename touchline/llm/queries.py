@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import mixing, simhash, toxicity
+from touchline.llm import lines, mixing, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,10 +31,18 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without lines that repeat, exactly or nearly, an earlier one."""
+    docs = _table(spark, folder, "documents")
+    kept = lines.without_repeated_lines(docs.select("doc_id", "text"))
+    return kept.withColumn("n_lines", F.size(F.split("text", "\n")))
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
     "op7_toxicity": (op7_toxicity, None),
+    "op8_line_duplicates": (op8_line_duplicates, None),
 }
 
 
