@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import lines, mixing, simhash, toxicity
+from touchline.llm import lines, mixing, packing, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op3_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("key").alias("fingerprint"), "component_id")
 
 
+def op6_pack_sequences(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents in sequences of at most 2048 ids of a public byte-level vocabulary."""
+    import public_tokenizers
+
+    pieces = packing.pack(_table(spark, folder, "documents"), tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.digest(pieces)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity, learned from the labels of ids whose crc32 is not a multiple of 5."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -41,6 +49,7 @@ def op8_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
+    "op6_pack_sequences": (op6_pack_sequences, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_line_duplicates": (op8_line_duplicates, None),
 }
