@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import lines, mixing, packing, secrets, simhash, toxicity
+from touchline.llm import licenses, lines, mixing, packing, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Mentions of licences and licence notices in every document."""
+    return licenses.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_pack_sequences(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of at most 2048 ids of a public byte-level vocabulary."""
     import public_tokenizers
@@ -55,6 +60,7 @@ QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
     "op4_secret_scan": (op4_secret_scan, None),
+    "op5_license_scan": (op5_license_scan, None),
     "op6_pack_sequences": (op6_pack_sequences, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_line_duplicates": (op8_line_duplicates, None),
