@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import licenses, lines, mixing, packing, secrets, simhash, toxicity
+from touchline.llm import licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +56,16 @@ def op8_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return kept.withColumn("n_lines", F.size(F.split("text", "\n")))
 
 
+def op9_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents under a suffix tree and a unigram base, learned from ids whose crc32 leaves no 2 modulo 7."""
+    return suffix_tree.score_documents(_table(spark, folder, "documents"), toxicity.id_remainder("doc_id", 7) == 2)
+
+
+def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return syncmers.fingerprints(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
@@ -64,6 +74,8 @@ QUERIES = {
     "op6_pack_sequences": (op6_pack_sequences, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_line_duplicates": (op8_line_duplicates, None),
+    "op9_suffix_tree_scores": (op9_suffix_tree_scores, None),
+    "op10_syncmer_fingerprints": (op10_syncmer_fingerprints, None),
 }
 
 
