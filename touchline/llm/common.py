@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.session import materialize
@@ -99,3 +100,51 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     return members.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+_PLACES = "array<struct<i: bigint, j: bigint, side: int>>"
+
+
+def in_blocks(placed: DataFrame, cell: Sequence[str], key: str, task_rows: int) -> DataFrame:
+    """Deals the rows of cells into tasks (columns ``cell``, i, j) of at most about ``task_rows`` rows, so that every two own rows
+    of a cell, and every own row and guest (``visits``), meet in one task.
+
+    ``side`` is 0 for own rows, 1 for the own rows they meet, 2 for guests; in tasks marked ``within`` the own rows also
+    meet each other. A small cell is one task; others are cut by a hash of ``key`` into blocks that meet pairwise.
+    """
+    block = task_rows // 2
+    own = F.sum((~F.col("visits")).cast("long"))
+    sizes = placed.groupBy(*cell).agg(own.alias("own"), F.sum(F.col("visits").cast("long")).alias("guests"))
+    sizes = sizes.filter("own > 0 and own + guests > 1").select(
+        *[F.col(c).alias(f"_{c}") for c in cell],
+        (F.col("own") + F.col("guests") <= task_rows).alias("_one"),
+        F.ceil(F.col("own") / block).alias("_c"),
+        F.ceil(F.col("guests") / block).alias("_g"),
+    )
+    rows = placed.join(sizes, _all([F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cell]))
+    chunk = F.pmod(F.xxhash64(key), F.greatest(F.when(F.col("visits"), F.col("_g")).otherwise(F.col("_c")), F.lit(1)))
+    rows = rows.withColumn("_x", chunk)
+
+    def places(first: Column, last: Column, make) -> Column:
+        return F.when(first <= last, F.transform(F.sequence(first, last), make)).otherwise(F.array().cast(_PLACES))
+
+    def place(i: Column, j: Column, side: int) -> Column:
+        return F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
+
+    x, c, zero = F.col("_x"), F.col("_c"), F.lit(0).cast("long")
+    as_own = F.concat(places(x, c + F.col("_g") - 1, lambda j: place(x, j, 0)), places(zero, x - 1, lambda i: place(i, x, 1)))
+    as_guest = places(zero, c - 1, lambda i: place(i, c + x, 2))
+    blocks = F.when(F.col("visits"), as_guest).otherwise(as_own)
+    alone = F.array(F.when(F.col("visits"), place(zero, zero, 2)).otherwise(place(zero, zero, 0)))
+    dealt = rows.select(*placed.columns, F.explode(F.when(F.col("_one"), alone).otherwise(blocks)).alias("_p"))
+    return dealt.select(*placed.columns, "_p.i", "_p.j", "_p.side", (F.col("_p.i") == F.col("_p.j")).alias("within"))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index that each of 0..n-1 reaches over the links a-b."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if (label == before).all():
+            return label

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
+from touchline.llm import embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,28 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(docs, mixing.cyclic_weights((5, 2, 1)), share=1.5, most=2))
 
 
+def op2_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of equal label with a cosine of at least 0.93, and the groups they form."""
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"), 0.93)
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reached(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT links.b, reached.other FROM reached JOIN links ON reached.id = links.a),
+least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = id LEFT JOIN counts ON vec_id = a"""
+
+
 def op3_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash over 3-word shingles; fingerprints that differ in 3 bits or fewer are linked."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=3, max_bits=3)
@@ -68,6 +90,7 @@ def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
+    "op2_embedding_duplicates": (op2_embedding_duplicates, OP2_SQL),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
     "op4_secret_scan": (op4_secret_scan, None),
     "op5_license_scan": (op5_license_scan, None),

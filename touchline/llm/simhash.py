@@ -21,14 +21,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import components
+from touchline.llm.common import components, forest, in_blocks
 from touchline.session import materialize
 
 CELL_ROWS = 256  # fingerprints wanted per cell
 TASK_ROWS = 8192  # a cell with more, visitors included, is cut into blocks of half this size
 _STATES = 200_000
 _LEAF = 16
-_PLACES = "array<struct<i: bigint, j: bigint, side: int>>"
 
 
 def fingerprint_of(text: str | None, shingle: int = 3) -> int:
@@ -122,18 +121,6 @@ def _pairs_below(left: np.ndarray, right: np.ndarray, itself: bool, half: int, t
         stack.append((bit - 1, np.concatenate(following, axis=1)))
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest index that each of 0..n-1 reaches over the links a-b."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, label[b])
-        np.minimum.at(label, b, label[a])
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def _walk_cell(rows: pd.DataFrame) -> pd.DataFrame:
     """Links within the left block, if it is there as both sides, and between the left and the right block."""
     keys = {side: np.unique(rows.key[rows.side == side].to_numpy(np.int64).view(np.uint64)) for side in (0, 1, 2)}
@@ -156,39 +143,6 @@ def _walk_cell(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": back(every[linked]).view(np.int64), "b": back(every[label[linked]]).view(np.int64)})
 
 
-def _in_tasks(placed: DataFrame) -> DataFrame:
-    """Deals the rows of cells (order, cell, key, visits) into tasks of bounded size."""
-    sizes = placed.groupBy("swapped", "cell").agg(
-        F.sum((~F.col("visits")).cast("long")).alias("own"), F.sum(F.col("visits").cast("long")).alias("guests")
-    )
-    block = TASK_ROWS // 2
-    sizes = sizes.filter("own > 0 and own + guests > 1").select(
-        F.col("swapped").alias("_swapped"),
-        F.col("cell").alias("_cell"),
-        (F.col("own") + F.col("guests") <= TASK_ROWS).alias("one"),
-        F.ceil(F.col("own") / block).alias("c"),
-        F.ceil(F.col("guests") / block).alias("g"),
-    )
-    rows = placed.join(sizes, (F.col("swapped") == F.col("_swapped")) & (F.col("cell") == F.col("_cell")))
-    chunk = F.pmod(F.xxhash64("key"), F.when(F.col("visits"), F.col("g")).otherwise(F.col("c")))
-    rows = rows.withColumn("x", F.when(F.col("one"), F.lit(0)).otherwise(chunk))
-
-    def places(first: Column, last: Column, make) -> Column:
-        return F.when(first <= last, F.transform(F.sequence(first, last), make)).otherwise(F.array().cast(_PLACES))
-
-    def place(i: Column, j: Column, side: int) -> Column:
-        return F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
-
-    x, c, zero = F.col("x"), F.col("c"), F.lit(0).cast("long")
-    as_own = F.concat(places(x, c + F.col("g") - 1, lambda j: place(x, j, 0)), places(zero, x - 1, lambda i: place(i, x, 1)))
-    as_guest = places(zero, c - 1, lambda i: place(i, c + x, 2))
-    blocks = F.when(F.col("visits"), as_guest).otherwise(as_own)
-    alone = F.array(F.when(F.col("visits"), place(zero, zero, 2)).otherwise(place(zero, zero, 0)))
-    return rows.select("swapped", "cell", "key", F.explode(F.when(F.col("one"), alone).otherwise(blocks)).alias("p")).select(
-        "swapped", "cell", "p.i", "p.j", "key", "p.side", (F.col("p.i") == F.col("p.j")).alias("within")
-    )
-
-
 def links(prints: DataFrame, max_bits: int = 3, cell_rows: int | None = None) -> DataFrame:
     """A spanning set of links (a, b) between the distinct fingerprints of column ``key`` that differ in ``max_bits`` bits or fewer."""
     distinct = materialize(prints.select("key").distinct(), "fingerprints")
@@ -203,7 +157,7 @@ def links(prints: DataFrame, max_bits: int = 3, cell_rows: int | None = None) ->
     reached = F.filter(F.transform(F.lit(flips) if flips else F.array().cast("array<long>"), lambda f: F.col("home").bitwiseXOR(f)), lambda q: q < F.col("home"))
     cells = F.concat(F.array(F.struct(F.col("home").alias("cell"), F.lit(False).alias("visits"))), F.transform(reached, lambda q: F.struct(q.alias("cell"), F.lit(True).alias("visits"))))
     placed = homes.select("swapped", "key", F.explode(cells).alias("c")).select("swapped", "key", "c.cell", "c.visits")
-    dealt = _in_tasks(placed).withColumns({"half": F.lit(half), "total": F.lit(max_bits)})
+    dealt = in_blocks(placed, ["swapped", "cell"], "key", TASK_ROWS).withColumns({"half": F.lit(half), "total": F.lit(max_bits)})
     return dealt.groupBy("swapped", "cell", "i", "j").applyInPandas(_walk_cell, "a long, b long")
 
 
