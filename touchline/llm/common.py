@@ -34,6 +34,17 @@ def count_words(text: Column | str) -> Column:
     return F.when(parts[0] == "", F.lit(0)).otherwise(F.size(parts)).cast("long")
 
 
+def boxed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of ``docs`` as one, ``_doc``, beside ``extra``, so that no name of theirs can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(whole, *[c.alias(n) for n, c in extra.items()])
+
+
+def unboxed(df: DataFrame, names: Sequence[str], **changed: Column) -> DataFrame:
+    """The columns ``names`` of ``_doc``, some of them changed."""
+    return df.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in names])
+
+
 def bucketed(df: DataFrame, key: Column, rows: int, per_bucket: int = 10_000) -> DataFrame:
     """Adds ``_bucket``, a hash of ``key``, so that a bucket holds about ``per_bucket`` of the ``rows`` rows."""
     return df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(7)), F.lit(max(1, -(-rows // per_bucket)))))

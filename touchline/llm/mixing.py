@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import bucketed, count_words, offsets
+from touchline.llm.common import boxed, bucketed, count_words, offsets, unboxed
 from touchline.session import materialize
 
 # Cells of the unit interval in which the sources' shares are looked up by an equi-join.
@@ -187,7 +187,6 @@ def taken_words(result: Mix) -> DataFrame:
 def mixed_documents(docs: DataFrame, result: Mix) -> DataFrame:
     """The mix as documents: a row per document, pass and run of words that its taken blocks cover, with the columns
     of ``docs``; ``text`` is cut to the run and ``n_chars`` counted anew. A document taken whole keeps its text."""
-    names = docs.columns
     in_document = Window.partitionBy("source_no", "start", "pass_no").orderBy("first_word")
     gap = F.lag(F.col("first_word") + F.col("n_words")).over(in_document).eqNullSafe(F.col("first_word"))
     sizes = result.documents.select("source_no", "start", "size")
@@ -202,12 +201,13 @@ def mixed_documents(docs: DataFrame, result: Mix) -> DataFrame:
         .agg(F.collect_list(F.struct("first", "n", (F.col("n") == F.col("size")).alias("whole"))).alias("_spans"))
     )
     # Rows that agree in id, text and source share a key; their spans are gathered, so one of them stands for all.
-    whole_rows = docs.groupBy(_key(docs).alias("_key")).agg(F.any_value(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_row"))
-    cut = whole_rows.join(covered, "_key").select("_row.*", F.explode("_spans").alias("_span"))
-    lead = F.regexp_replace("text", r"^[\x20\x09-\x0D]+", "")
+    one_each = boxed(docs, _key=_key(docs)).groupBy("_key").agg(F.any_value("_doc").alias("_doc"))
+    cut = one_each.join(covered, "_key").select("_doc", F.explode("_spans").alias("_span"))
+    lead = F.regexp_replace("_doc.text", r"^[\x20\x09-\x0D]+", "")
     words = F.split(lead, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     run = F.array_join(F.slice(words, (F.col("_span.first") + 1).cast("int"), F.col("_span.n").cast("int")), "")
-    fixed = cut.withColumn("text", F.when(F.col("_span.whole"), F.col("text")).otherwise(run))
-    if "n_chars" in names:
-        fixed = fixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return fixed.select(*[F.col(f"`{c}`") for c in names])
+    fixed = cut.withColumn("_text", F.when(F.col("_span.whole"), F.col("_doc.text")).otherwise(run))
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return unboxed(fixed, docs.columns, **changed)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import row_key, text_or_empty
+from touchline.llm.common import boxed, row_key, text_or_empty, unboxed
 from touchline.session import materialize
 
 SEGMENT_ROWS = 4096
@@ -224,16 +224,17 @@ def spans_of(text: Column, number: int, rule: Rule) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``spans``, sorted by start and then by rule: structs of start, kind (the rule's number) and end."""
+    """``docs`` with ``spans`` (in place of a column of that name), sorted by start and then by rule: structs of start, kind (the rule's number) and end."""
     found = materialize(candidates(docs, rules), "secret-candidates").select(F.col("key").alias("_key"), F.col("rules").alias("_rules"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(found, row_key() == F.col("_key"), "left").withColumn("_text", text_or_empty("text"))
+    names = [c for c in docs.columns if c != "spans"]
+    rows = boxed(docs, _row=row_key(), _text=text_or_empty("text"))
+    joined = rows.join(found, F.col("_row") == F.col("_key"), "left")
     none = F.array().cast(_SPANS)
     parts = []
     for i, rule in enumerate(rules):
         spans = spans_of(F.col("_text"), i, rule)
         parts.append(spans if trigram_query(rule.pattern) is True else F.when(F.array_contains("_rules", i), spans).otherwise(none))
-    return joined.select(*names, F.array_sort(F.concat(*parts)).alias("spans"))
+    return unboxed(joined, [*names, "spans"], spans=F.array_sort(F.concat(*parts)))
 
 
 def as_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import components, forest, in_blocks
+from touchline.llm.common import boxed, components, forest, in_blocks, unboxed
 from touchline.session import materialize
 
 CELL_ROWS = 256  # fingerprints wanted per cell
@@ -186,15 +186,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
 def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; all columns stay. Of rows that agree in id
     and text one stays."""
-    names = docs.columns
-    key = F.xxhash64("doc_id", "text")
-    own = F.coalesce(F.col("doc_id").cast("long"), key)
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text"))
     found = near_duplicates(docs.select(own.alias("_own"), "text"), shingle, max_bits, "_own")
     kept = found.filter(F.col("_own").eqNullSafe(F.col("component_id"))).groupBy(F.col("_own").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = materialize(kept, "kept")
-    chosen = docs.withColumn("_own", own).join(kept, F.col("_own") == F.col("_kept"))
-    once, repeated = chosen.filter("_rows = 1"), chosen.filter("_rows > 1")
+    chosen = boxed(docs, _own=own, _hash=F.xxhash64("text")).join(kept, F.col("_own") == F.col("_kept"))
+    once = unboxed(chosen.filter("_rows = 1"), docs.columns)
     if kept.filter("_rows > 1").isEmpty():
-        return once.select(*[F.col(f"`{c}`") for c in names])
-    single = repeated.groupBy("_own").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), F.xxhash64("text")).alias("_row"))
-    return once.select(*[F.col(f"`{c}`") for c in names]).unionByName(single.select("_row.*"))
+        return once
+    single = chosen.filter("_rows > 1").groupBy("_own").agg(F.min_by("_doc", "_hash").alias("_doc"))
+    return once.unionByName(unboxed(single, docs.columns))

@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, exceptions: tuple[s
     chosen = chosen.withColumn("_order", order).orderBy("_order", "doc_id").limit(SAMPLE_ROWS)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"), F.pmod("_order", F.lit(5)).alias("fold"))
     # At most SAMPLE_ROWS ids, so the join needs no shuffle of the texts.
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold").persist()
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold").persist()
     sizes = {r.toxic: r["count"] for r in sample.filter("fold > 0").groupBy("toxic").count().collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon(exceptions=[f" {' '.join(fold(p).split())} " for p in exceptions if fold(p).strip()])
