@@ -1,4 +1,5 @@
 import os
+import tempfile
 import sys
 
 import pytest
@@ -11,7 +12,7 @@ def spark():
     from touchline.session import build_session
 
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g", spark__ui__showConsoleProgress="false"
+        "tests", "local[4]", spark__checkpoint__dir=tempfile.mkdtemp(prefix="touchline-tests-"), spark__sql__shuffle__partitions="4", spark__driver__memory="4g", spark__ui__showConsoleProgress="false"
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
