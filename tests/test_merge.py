@@ -68,18 +68,28 @@ def tables(spark):
 
 def test_player_table(tables):
     raw = merge.merge_stat_tables(tables)
-    done = {(r.league, r.Player): r for r in merge.processed_players(raw).collect()}
-    assert set(done) == {("ENG1", "jose nunez"), ("ARG1", "jose nunez"), ("ENG1", "lukasz"), ("ENG1", "extra man")}
-    jose = done["ENG1", "jose nunez"]
-    assert jose.IsGK is False and jose.Squad == "B" and jose.GK_Saves is None
-    assert (jose.Age, jose.Gls, jose.Shots, jose.SoT) == (26.0, 1.0, 3.0, 3.0)
-    assert done["ARG1", "jose nunez"].Squad == "" and done["ARG1", "jose nunez"].Age is None
-    assert done["ENG1", "lukasz"].player_raw == "Łukasz" and done["ENG1", "lukasz"].Gls == 4.0
-
-
-def test_two_clubs_stay_apart_with_squad_key(tables):
-    raw = merge.merge_stat_tables({"stats": tables["stats"]}, ["Player", "Squad"])
-    assert raw.filter("league = 'ENG1' and Player = 'jose nunez'").count() == 2
+    done = {(r.league, r.Player, r.Squad): r for r in merge.processed_players(raw).collect()}
+    assert set(done) == {
+        ("ENG1", "jose nunez", "A"), ("ENG1", "jose nunez", "B"), ("ARG1", "jose nunez", ""), ("ENG1", "lukasz", "C"), ("ENG1", "extra man", ""),
+    }
+    first, second = done["ENG1", "jose nunez", "A"], done["ENG1", "jose nunez", "B"]
+    assert (first.IsGK, first.Gls, first.Age, first.GK_Saves) == (True, 1234.0, 25.34, 7.0)
+    assert (second.IsGK, second.Gls, second.Age, second.GK_Saves) == (False, 1.0, 26.0, None)
+    assert (first.Shots, second.Shots, second.SoT) == (3.0, 3.0, 3.0)
+    assert done["ARG1", "jose nunez", ""].Age is None
+    assert done["ENG1", "lukasz", "C"].player_raw == "Łukasz" and done["ENG1", "lukasz", "C"].Gls == 4.0
+
+
+def test_name_key_alone_keeps_the_first_row(tables):
+    done = merge.processed_players(merge.merge_stat_tables(tables, ["Player"])).filter("league = 'ENG1' and Player = 'jose nunez'")
+    assert done.count() == 1
+
+
+def test_no_named_row_disappears(tables):
+    raw = merge.merge_stat_tables(tables).select("Player", "Squad", "league", "shooting_Sh", "keepers_Saves").collect()
+    assert {(r.league, r.Player) for r in raw} == {("ENG1", "jose nunez"), ("ARG1", "jose nunez"), ("ENG1", "lukasz"), ("ENG1", "extra man")}
+    assert {r.shooting_Sh for r in raw if r.Player == "extra man"} == {1}
+    assert {r.stat_table: r.n_rows for r in merge.nameless_rows(tables).collect()} == {"stats": 1, "shooting": 0, "keepers": 0}
 
 
 def test_percentages(spark):

@@ -67,3 +67,13 @@ def test_birth_year(one):
     assert one(lambda c: parse.birth_year(F.lit(None).cast("string"), c, 2024), ["25-100", "x"]) == [1999, None]
     assert one(lambda c: parse.birth_year(c, F.lit("9"), 2024), ["05/03/1999", None]) == [1999, 2015]
     assert datetime.date(1999, 3, 5).year == 1999
+
+
+def test_every_two_decimal_amount_is_exact(spark):
+    df = spark.range(1, 20_000).withColumn("eur", parse.money_to_eur(F.format_string("€%s.%02dm", F.floor(F.col("id") / 100), F.col("id") % 100)))
+    assert df.filter(F.col("eur") != F.col("id") * 10_000).count() == 0
+
+
+def test_exact_amounts(one):
+    written = {"€8.2m": 8_200_000, "€32.05m": 32_050_000, "€2.01m": 2_010_000, "€1.001m": 1_001_000, "0,0000015m": 1, "-5m": -5_000_000, "m": None}
+    assert one(parse.money_to_eur, list(written)) == list(written.values())

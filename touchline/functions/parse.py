@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -130,22 +131,24 @@ def age_on(dob: Column, as_of: Column, fallback_year: Column | None = None) -> C
     return F.floor(F.months_between(as_of, born, False) / 12).cast("int")
 
 
+# Units of written amounts.
+MONEY_UNITS = {"bn": 10**9, "mill.": 10**6, "mio.": 10**6, "m": 10**6, "mil": 10**3, "mil.": 10**3, "k": 10**3, "th.": 10**3}
+
+
 def money_to_eur(c: Column) -> Column:
-    """Value-source money such as ``20,00 mill. €``, ``800 mil €``, ``€800k``, ``1.2bn``, ``1,200,000``."""
-    text = F.lower(F.trim(c))
-    for word, by in (("€", ""), ("eur", ""), (THIN_SPACE, ""), ("mill.", "m"), ("mio.", "m")):
-        text = F.replace(text, F.lit(word), F.lit(by))
-    text = F.regexp_replace(text, r"\bmil\b\.?", "k")
-    text = F.translate(text, " " + HARD_SPACE, "")
-    suffix = F.regexp_extract(text, r"(bn|m|k|th\.)$", 1)
-    factor = (
-        F.when(suffix == "bn", 1e9).when(suffix == "m", 1e6).when(suffix.isin("k", "th."), 1e3).otherwise(1.0)
-    )
-    digits = F.regexp_replace(text, r"(bn|m|k|th\.)$", "")
-    # a separator that occurs twice or more marks thousands, a single one the decimals
-    thousands = F.rlike(digits, F.lit(r"^\d{1,3}(,\d{3}){2,}$")) | F.rlike(digits, F.lit(r"^\d{1,3}(\.\d{3}){2,}$"))
-    digits = F.when(thousands, F.translate(digits, ",.", "")).otherwise(F.replace(digits, F.lit(","), F.lit(".")))
-    return (number_or_null(digits) * factor).try_cast("long")
+    """Written amounts such as ``20,00 mill. €``, ``800 mil €``, ``€800k``, ``1.2bn``, ``1,200,000`` in whole euros.
+
+    An amount is a number and perhaps a unit. A separator that occurs once is the decimal one, one that parts groups of
+    three twice or more marks thousands. Decimals are exact, so ``8.2m`` is 8,200,000; fractions of a euro are cut.
+    """
+    bare = F.regexp_replace(F.lower(c), r"[\s\u00a0\u2009€]|eur", "")
+    units = "|".join(sorted((re.escape(u) for u in MONEY_UNITS), key=len, reverse=True))
+    part = lambda i: F.regexp_extract(bare, rf"^([+-]?[0-9.,]+)({units})?$", i)
+    number = part(1)
+    grouped = F.rlike(number, F.lit(r"^[+-]?\d{1,3}(?:(?:,\d{3}){2,}|(?:\.\d{3}){2,})$"))
+    plain = F.when(grouped, F.translate(number, ",.", "")).otherwise(F.translate(number, ",", "."))
+    factor = lookup(part(2), MONEY_UNITS, F.lit(1).cast("long"))
+    return (plain.try_cast("decimal(28,9)") * factor.cast("decimal(10,0)")).try_cast("long")
 
 
 def money_loose(c: Column) -> Column:
@@ -197,7 +200,7 @@ def checked_season_start(season: str | int) -> int:
     return int(found.group(1))
 
 
-def lookup(c: Column, table: dict[str, str], default: Column | None = None) -> Column:
+def lookup(c: Column, table: dict, default: Column | None = None) -> Column:
     """Small fixed table as a map literal; unknown keys give the default."""
     found = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), c)
     return found if default is None else F.coalesce(found, default)

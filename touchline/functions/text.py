@@ -5,8 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import cache
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 # Letters that have no Unicode decomposition, as usually romanised.
 SINGLE_LETTERS = {"ł": "l", "ø": "o", "đ": "d", "ı": "i", "ħ": "h", "ŧ": "t", "ð": "d", "ĸ": "k"}
@@ -23,18 +22,18 @@ CLUB_SPELLINGS = {
     "independiente": [],
     "san lorenzo": ["san lorenzo de almagro"],
     "velez sarsfield": ["velez", "velez sarfield"],
-    "lanus": ["ca lanus"],
+    "lanus": [],
     "huracan": [],
     "argentinos juniors": ["argentinos"],
     "estudiantes lp": ["estudiantes de la plata", "estudiantes"],
     "gimnasia lp": ["gimnasia la plata", "gimnasia"],
     "newells old boys": ["newell s old boys", "newells"],
     "rosario central": [],
-    "talleres": ["talleres de cordoba", "ca talleres"],
+    "talleres": ["talleres de cordoba"],
     "banfield": [],
     "defensa y justicia": ["defensa y just"],
     "godoy cruz": [],
-    "platense": ["club atletico platense"],
+    "platense": [],
     "sarmiento": [],
     "barracas central": [],
     "central cordoba sde": ["central cordoba"],
@@ -95,12 +94,35 @@ def romanise(c: Column) -> Column:
     return F.when(_is_ascii(c), F.lower(c)).otherwise(F.regexp_replace(text, r"[^\x00-\x7F]", ""))
 
 
-def name_key(c: Column, spell_out: bool = True) -> Column:
+@cache
+def _expansions() -> tuple[str, dict[str, str]]:
+    """Characters beyond ``_accent_table`` (ligatures, fractions, units, letters of other planes) with their ASCII parts,
+    and a character class that finds them."""
+    found = {}
+    for code in [*range(0x80, 0xD800), *range(0xE000, 0x20000)]:
+        parts = "".join(p for p in unicodedata.normalize("NFKD", chr(code)) if p.isascii())
+        if len(parts) > 1 or parts and code >= 0x10000:
+            found[chr(code)] = parts
+    return "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in found) + "]", found
+
+
+def _expanded(c: Column) -> Column:
+    """Each character that stands for several ASCII ones, as these; texts without any are passed as they are."""
+    pattern, table = _expansions()
+    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(lookup, ch), ch)), "")
+    return F.when(F.rlike(c, F.lit(pattern)), spelled).otherwise(c)
+
+
+def name_key(c: Column, spell_out: bool = True, expand: bool = False) -> Column:
     """The merge key of a player name: printable ASCII, single blanks, lower case; null gives ``""``.
 
-    ``spell_out=False`` drops letters without a decomposition (ł, ø, ß) instead of spelling them out.
+    ``spell_out=False`` drops letters without a decomposition (ł, ø, ß) instead of spelling them out. ``expand`` also
+    writes out ligatures, fractions and other characters that stand for several.
     """
     text = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), _UNPRINTABLE, "")
+    if expand:
+        text = _expanded(text)
     if spell_out:
         text = romanise(text)
     else:
@@ -108,14 +130,6 @@ def name_key(c: Column, spell_out: bool = True) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def name_key_nfkd(names: pd.Series) -> pd.Series:
-    """The same key by full NFKD, for text with ligatures or fractions that ``translate`` cannot expand."""
-    printable = names.fillna("").str.strip().map(lambda x: "".join(c for c in x if c.isprintable()))
-    ascii_only = printable.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
-    return ascii_only.str.replace(r"\s+", " ", regex=True).str.lower()
-
-
 def match_text(c: Column) -> Column:
     """Name or club text for matching: romanised, brackets and "club atletico" / "c.a." removed, words only."""
     text = romanise(F.coalesce(c.cast("string"), F.lit("")))
@@ -136,21 +150,14 @@ def first_last(c: Column) -> Column:
     return F.element_at(F.transform(F.array(words), ends), 1)
 
 
-def _plain_words(text: str) -> str:
-    """``match_text`` for the ASCII spellings of the club table."""
-    import re
-
-    for pattern in (r"\([^)]*\)", r"\bclub\s+atletico\b", r"\bc\.?a\.?\b", r"[^a-z0-9\s]", r"\s+"):
-        text = re.sub(pattern, " ", text)
-    return text.strip()
-
-
 def club_key(c: Column, spellings: dict[str, list[str]] | None = None) -> Column:
-    """Canonical club: the spelling table where it applies, else the normalised text."""
+    """Canonical club: the spelling table where it applies, else the normalised text.
+
+    Spellings are written as ``match_text`` leaves them, so that no prefix or accent has to be listed.
+    """
     table = CLUB_SPELLINGS if spellings is None else spellings
     known = match_text(c)
-    pairs = {_plain_words(s): club for club, others in table.items() for s in [club, *others]}
-    pairs = {spelling: club for spelling, club in pairs.items() if spelling and spelling != club}
+    pairs = {spelling: club for club, others in table.items() for spelling in others}
     if not pairs:
         return known
     lookup = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])

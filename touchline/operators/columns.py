@@ -64,38 +64,36 @@ def add_prefix(df: DataFrame, prefix: str, keep: Iterable[str] = ("Player",)) ->
     return df.toDF(*[c if c in keep or re.match(r"[A-Za-z]+_", c) else f"{chosen}_{c}" for c in df.columns])
 
 
+def _by_ending(names: Sequence[str]) -> dict[str, str]:
+    """What follows any underscore of a name -> the first name with that ending."""
+    endings: dict[str, str] = {}
+    for name in names:
+        rest = name
+        while "_" in rest:
+            rest = rest.partition("_")[2]
+            endings.setdefault(rest, name)
+    return endings
+
+
 def resolve_names(available: Sequence[str], wanted: dict[str, str]) -> dict[str, str]:
-    """Target name -> source column: the exact name, else the first column ending in ``_<base name>``.
+    """Target name -> source column: the name itself where it exists, else a column of another table prefix.
 
     Two targets that would read the same source through the fallback are an error.
     """
-    resolved: dict[str, str] = {}
-    for source, target in wanted.items():
-        if source in available:
-            resolved[target] = source
-            continue
-        base = source.split("_", 1)[-1]
-        close = [c for c in available if c.endswith("_" + base)]
-        if close:
-            resolved[target] = close[0]
-    shared = [source for source, n in Counter(resolved.values()).items() if n > 1]
-    if shared:
-        raise ValueError(f"several targets would read the same column: {sorted(shared)}")
+    exact = dict.fromkeys(available)
+    endings = _by_ending(available)
+    sources = {target: source if source in exact else endings.get(source.partition("_")[2] or source) for source, target in wanted.items()}
+    resolved = {target: source for target, source in sources.items() if source is not None}
+    if len(set(resolved.values())) < len(resolved):
+        shared = sorted(source for source, n in Counter(resolved.values()).items() if n > 1)
+        raise ValueError(f"several targets would read the same column: {shared}")
     return resolved
 
 
-def select_renamed(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
-    return df.select(*[col(source).alias(target) for target, source in resolve_names(df.columns, wanted).items()])
-
-
 def existing(df: DataFrame, candidates: Sequence[str]) -> list[str]:
     return [c for c in candidates if c in df.columns]
 
 
-def first_existing(df: DataFrame, candidates: Sequence[str]) -> str | None:
-    return next(iter(existing(df, candidates)), None)
-
-
 def ensure_columns(df: DataFrame, schema: T.StructType | dict[str, str]) -> DataFrame:
     """Add missing columns as typed nulls."""
     kinds = schema if isinstance(schema, dict) else {f.name: f.dataType.simpleString() for f in schema.fields}

@@ -230,7 +230,7 @@ def nearest_to(points: DataFrame, player_id, n: int = 5, player: str = "player_i
 
 
 def with_details(neighbours: DataFrame, view: DataFrame, player: str = "player_id", columns: dict[str, str] | None = None) -> DataFrame:
-    """Facts of each neighbour, all seasons, keeping rank and distance; the neighbour list is at most 20 rows."""
+    """Facts of each neighbour, all seasons, keeping rank and distance, for any number of neighbours."""
     wanted = columns or {c: c for c in view.columns if c != player}
     facts = view.select(F.col(player).alias("neighbour"), *[F.col(c).alias(a) for c, a in wanted.items()])
-    return facts.join(F.broadcast(neighbours.limit(20)), "neighbour").select(*neighbours.columns, *wanted.values())
+    return facts.join(neighbours, "neighbour").select(*neighbours.columns, *wanted.values())

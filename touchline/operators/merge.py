@@ -70,24 +70,47 @@ def prepare_table(df: DataFrame, prefix: str, player: str = "Player", keep: Sequ
     return add_prefix(df.filter(col(player) != ""), prefix, {player, "player_raw", *keep})
 
 
+def nameless_rows(tables: dict[str, DataFrame], player: str = "Player") -> DataFrame:
+    """Rows per table that have no player name and so cannot be merged: ``stat_table``, ``n_rows``."""
+    counts = None
+    for label, df in tables.items():
+        df = first_of_each(flatten(df))
+        if player in df.columns:
+            one = df.filter(name_key(col(player)) == "").agg(F.lit(label).alias("stat_table"), F.count(F.lit(1)).alias("n_rows"))
+            counts = one if counts is None else counts.unionByName(one)
+    if counts is None:
+        raise ValueError("no stat table has a player column")
+    return counts
+
+
 def merge_stat_tables(
-    tables: dict[str, DataFrame], keys: Sequence[str] = ("Player",), partition: Sequence[str] = ("league", "season")
+    tables: dict[str, DataFrame], keys: Sequence[str] = ("Player", "Squad"), partition: Sequence[str] = ("league", "season")
 ) -> DataFrame:
-    """All stat tables of all leagues and seasons to the wide raw table, in one job.
+    """All stat tables of all leagues and seasons to the wide raw table, in one job; no row with a name is lost.
 
-    ``keys=("Player",)`` is the plain name key; ("Player", "Squad") keeps a player's two clubs apart.
+    A player who moved has a row per club. Tables that know only the first key (no ``Squad``) are merged on that, and
+    their numbers, which are those of the whole season, stand on each of the player's rows.
     """
-    on = [*partition, *keys]
-    ready, order = {}, {}
+    on, by_name = [*partition, *keys], [*partition, keys[0]]
+    ready: dict[tuple[str, ...], dict[str, DataFrame]] = {tuple(on): {}, tuple(by_name): {}}
     for label, df in tables.items():
-        table = prepare_table(df, label, keep=on)
-        if table is None or any(k not in table.columns for k in on):
+        table = prepare_table(df, label, keys[0], keep=on)
+        if table is None or any(k not in table.columns for k in by_name):
             continue
-        ready[label] = table.withColumnRenamed("player_raw", f"{label}_player_raw")
-        order[label] = [c for c in ready[label].columns if c not in on]
-    if not ready:
+        own = on if all(k in table.columns for k in on) else by_name
+        ready[tuple(own)][label] = table.withColumnRenamed("player_raw", f"{label}_player_raw")
+    merged = [
+        outer_merge(group, own, {label: [c for c in df.columns if c not in own] for label, df in group.items()})
+        for own, group in ready.items()
+        if group
+    ]
+    if not merged:
         raise ValueError("no stat table has the key columns")
-    return outer_merge(ready, on, order)
+    if len(merged) == 1:
+        return merged[0]
+    clubs, players = merged
+    taken = {c: f"{c}__r" for c in players.columns if c in clubs.columns and c not in by_name}
+    return clubs.join(players.withColumnsRenamed(taken), by_name, "full")
 
 
 def percent(part: str, whole: str) -> Column:
@@ -135,7 +158,10 @@ def processed_players(raw: DataFrame, partition: Sequence[str] = ("league", "sea
     Age is parsed from its text; other unreadable numbers are 0.
     """
     picked = [col(c) for c in existing(raw, partition)]
-    for target, source in resolve_names(raw.columns, FIELD_METRICS).items():
+    found = resolve_names(raw.columns, FIELD_METRICS)
+    # key columns carry their final names already
+    found = {target: found.get(target, target) for target in FIELD_METRICS.values() if target in found or target in raw.columns}
+    for target, source in found.items():
         if target in TEXT_COLUMNS:
             value = text_or_empty(col(source))
         elif target == "Age":

@@ -7,33 +7,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Only the MAX_HEAVY largest keys are cut, so the list of them can be broadcast at any size of the data; a key
-# beyond them holds less than 1/MAX_HEAVY of the rows.
-MAX_HEAVY = 1000
-MAX_PIECES = 1000
-# Up to this many rows a key is no burden for one task.
+# Up to this many rows a key is no burden for one task; every key with more is cut.
 LIGHT_ROWS = 20_000
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
-    """The largest keys and ``_pieces``, the number of parts each is cut into; at most MAX_HEAVY rows."""
+    """The largest keys and ``_pieces``, the number of parts each is cut into."""
     return largest(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), on, light_rows)
 
 
 def largest(counts: DataFrame, on: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
     """``heavy_keys`` from the rows per key, when they are known already as ``_rows``."""
-    pieces = F.least(F.ceil(F.col("_rows") / light_rows), F.lit(MAX_PIECES)).cast("int")
-    return (
-        counts.filter(F.col("_rows") > light_rows)
-        .orderBy(F.col("_rows").desc())
-        .limit(MAX_HEAVY)
-        .select(*on, pieces.alias("_pieces"))
-    )
+    pieces = F.ceil(F.col("_rows") / light_rows).cast("int")
+    return counts.filter(F.col("_rows") > light_rows).select(*on, pieces.alias("_pieces"))
 
 
 def _join_pieces(df: DataFrame, heavy: DataFrame, on: Sequence[str], count: str) -> DataFrame:
     """Add ``count``, the number of pieces of the row's key; null for keys that are not heavy."""
-    small = F.broadcast(heavy.select(*[F.col(k).alias(f"_h_{k}") for k in on], F.col("_pieces").alias(count)))
+    # A key is heavy with LIGHT_ROWS rows, so the list is short beside the data; Spark decides how to join it.
+    small = heavy.select(*[F.col(k).alias(f"_h_{k}") for k in on], F.col("_pieces").alias(count))
     return df.join(small, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in on]), "left")
 
 

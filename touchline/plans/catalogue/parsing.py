@@ -38,7 +38,7 @@ def norm_key_dropping(spark, folder):
 
 def norm_key_nfkd(spark, folder):
     docs = read(spark, folder, "documents")
-    return docs.select("doc_id", F.md5(F.trim(text.name_key_nfkd("text"))).alias("name_key"))
+    return docs.select("doc_id", F.md5(text.name_key(F.col("text"), spell_out=False, expand=True)).alias("name_key"))
 
 
 def norm_name_fl(spark, folder):
@@ -70,7 +70,7 @@ def parse_money(spark, folder):
     written = (
         F.when(kind == 0, F.concat(F.replace(F.round(price / 1000, 2).cast("string"), F.lit("."), F.lit(",")), F.lit(" mill. €")))
         .when(kind == 1, F.concat(whole, F.lit(" mil €")))
-        .when(kind == 2, F.concat(F.lit("€"), F.col("o_custkey").cast("string"), F.lit(".5m")))
+        .when(kind == 2, F.concat(F.lit("€"), F.col("o_custkey").cast("string"), F.lit("."), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0"), F.lit("m")))
         .when(kind == 3, F.concat(F.lit("€"), F.col("o_custkey").cast("string"), F.lit("k")))
         .when(kind == 4, F.concat(F.col("o_custkey").cast("string"), F.lit(" Th. €")))
         .when(kind == 5, F.concat(F.col("o_custkey").cast("string"), F.lit(".25bn")))
@@ -228,7 +228,7 @@ u AS (SELECT p_partkey, {_matched('spelled')} AS k FROM t)
 SELECT p_partkey, {_CLUB_CASE} AS club FROM u"""),
     "parse_money": (parse_money, """
 SELECT o_orderkey, CAST(CASE o_orderkey % 9
-  WHEN 0 THEN trunc(round(o_totalprice / 1000, 2) * 1000000.0) WHEN 1 THEN floor(o_totalprice) * 1000 WHEN 2 THEN o_custkey * 1000000 + 500000
+  WHEN 0 THEN CAST(round(o_totalprice / 1000, 2) AS DECIMAL(18,2)) * 1000000 WHEN 1 THEN floor(o_totalprice) * 1000 WHEN 2 THEN o_custkey * 1000000 + (o_orderkey % 1000) * 1000
   WHEN 3 THEN o_custkey * 1000 WHEN 4 THEN o_custkey * 1000 WHEN 5 THEN o_custkey * 1000000000 + 250000000
   WHEN 7 THEN 1000500 + (o_custkey % 1000) * 1000 END AS BIGINT) AS eur
 FROM orders"""),

@@ -11,7 +11,7 @@ from touchline.session import materialize
 from touchline.sources import writers
 
 
-def build_player_table(tables: dict[str, DataFrame], keys: Sequence[str] = ("Player",)) -> tuple[DataFrame, DataFrame]:
+def build_player_table(tables: dict[str, DataFrame], keys: Sequence[str] = ("Player", "Squad")) -> tuple[DataFrame, DataFrame]:
     """Raw wide table and processed player table for every league and season in the input."""
     raw = merge.merge_stat_tables(tables, keys)
     return raw, merge.processed_players(raw)
