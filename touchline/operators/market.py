@@ -107,15 +107,16 @@ def importances(spark, model: RandomForestRegressionModel, features: Sequence[st
 def attributions(rows: DataFrame, model: RandomForestRegressionModel, names: Sequence[str], keys: Sequence[str], features: str = "features") -> DataFrame:
     """``keys, feature, contribution``: the prediction minus the prediction with that feature at its mean.
 
-    Features are standardised, so the mean is 0. All variants of a row are scored in one pass.
+    The means are those of the scored rows: these may be fewer than the rows that the features were scaled over. All
+    variants of a row are scored in one pass.
     """
-
+    means = rows.agg(F.array(*[F.coalesce(F.avg(F.col(features)[i]), F.lit(0.0)) for i in range(len(names))]).alias("m")).scalar()
 
     def at_mean(at: int) -> Column:
-        return F.transform(F.col(features), lambda v, i: F.when(i == at, F.lit(0.0)).otherwise(v))
+        return F.transform(F.col(features), lambda v, i: F.when(i == at, F.col("_means")[at]).otherwise(v))
 
     variants = F.array(*[F.struct(F.lit(name).alias("feature"), at_mean(i).alias("changed")) for i, name in enumerate(names)])
-    base = predict_values(rows.select(*keys, features), model, features)
+    base = predict_values(rows.select(*keys, features), model, features).withColumn("_means", means)
     wide = base.select(*keys, "predicted_log", F.explode(variants).alias("v")).select(
         *keys, F.col("predicted_log").alias("_base"), "v.feature", "v.changed"
     )

@@ -16,7 +16,7 @@ def _part_tables(spark, folder):
     lines = read(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("Player"), F.col("l_quantity").alias("Sh"), F.col("l_linenumber").alias("Gls"), F.col("l_extendedprice").alias("xG")
     )
-    orders = read(spark, folder, "orders").filter(F.col("o_orderstatus") == "F").select(
+    orders = read(spark, folder, "orders").select(
         F.col("o_custkey").alias("Player"), F.col("o_totalprice").alias("xG"), F.col("o_orderkey").alias("Gls")
     )
     return part, lines, orders
@@ -63,6 +63,22 @@ def processed_players(spark, folder):
     )
 
 
+def merge_two_clubs(spark, folder):
+    """Lines as a player's (part's) seasons at two clubs (ship modes), orders sold of it as a table that knows no club."""
+    lines = read(spark, folder, "lineitem")
+    key = [F.lit("l").alias("league"), F.lit("2024").alias("season"), F.concat(F.lit("Part "), F.col("l_partkey")).alias("Player")]
+    club = F.when(F.col("l_linenumber") % 2 == 0, "Even").otherwise("Odd").alias("Squad")
+    stats = lines.groupBy(*key, club).agg(F.sum("l_linenumber").alias("Gls"), F.count(F.lit(1)).alias("90s"))
+    passing = lines.filter(F.col("l_returnflag") != "N").groupBy(*key, club).agg(F.count(F.lit(1)).alias("Cmp"))
+    shooting = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("Sh"))
+    others = read(spark, folder, "supplier").select(key[0], key[1], F.concat(F.lit("Only "), F.col("s_suppkey")).alias("Player"), F.lit(1).alias("Sh"))
+    tables = {"stats": stats, "shooting": shooting.unionByName(others.withColumn("Sh", F.col("Sh").cast("long"))), "passing": passing}
+    raw = merge.merge_stat_tables(tables)
+    return raw.select(
+        "Player", "Squad", F.col("stats_Gls").alias("goals"), F.col("stats_90s").alias("matches"), F.col("shooting_Sh").alias("shots"), F.col("passing_Cmp").alias("passes")
+    )
+
+
 def gk_left_merge(spark, folder):
     lines = read(spark, folder, "lineitem")
     players = lines.select(
@@ -72,7 +88,7 @@ def gk_left_merge(spark, folder):
     keepers = lines.select(
         F.col("l_partkey").alias("Player"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("Squad"),
         F.col("l_extendedprice").alias("GK_Saves"), F.col("l_quantity").alias("GK_SoTA"),
-    ).filter(F.col("GK_SoTA") > 25)
+    )
     return merge.attach_keepers(players, keepers)
 
 
@@ -143,7 +159,7 @@ sums AS (SELECT l_suppkey AS s_suppkey, CAST(sum(l_quantity) AS BIGINT) AS q, co
 QUERIES = {
     "outer_merge_wide": (outer_merge_wide, """
 WITH s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice, l_quantity, l_linenumber) AS place FROM lineitem) WHERE place = 1),
-o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders WHERE o_orderstatus = 'F') WHERE place = 1)
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders) WHERE place = 1)
 SELECT coalesce(p_partkey, l_partkey, o_custkey) AS "Player", p_name, p_brand, p_size, l_quantity AS "shooting_Sh", l_linenumber AS "shooting_Gls",
        l_extendedprice AS "shooting_xG", o_totalprice AS "shooting_xG__r", o_orderkey AS "shooting_Gls__r"
 FROM part FULL JOIN s ON p_partkey = l_partkey FULL JOIN o ON coalesce(p_partkey, l_partkey) = o_custkey"""),
@@ -157,10 +173,15 @@ SELECT league, lower(s_name) AS "Player", ' ' || upper(s_name) AS player_raw, CA
        CASE WHEN s_suppkey % 4 = 0 THEN CAST(q AS DOUBLE) END AS "GK_Saves", CASE WHEN s_suppkey % 4 = 0 THEN CAST(q * 2 AS DOUBLE) END AS "GK_SoTA",
        CASE WHEN s_suppkey % 4 = 0 THEN CAST(n AS DOUBLE) END AS "GK_GA", CASE WHEN s_suppkey % 4 = 0 THEN coalesce(round_even(q / (q * 2) * 100, 2), 0) END AS "GK_SavePct"
 FROM base LEFT JOIN sums USING (s_suppkey)"""),
+    "merge_two_clubs": (merge_two_clubs, """
+WITH b AS (SELECT 'part ' || l_partkey AS "Player", CASE WHEN l_linenumber % 2 = 0 THEN 'Even' ELSE 'Odd' END AS "Squad", l_linenumber, l_returnflag FROM lineitem),
+s AS (SELECT "Player", "Squad", CAST(sum(l_linenumber) AS BIGINT) AS goals, count(*) AS matches, nullif(count(*) FILTER (l_returnflag <> 'N'), 0) AS passes FROM b GROUP BY 1, 2),
+t AS (SELECT "Player", count(*) AS shots FROM b GROUP BY 1 UNION ALL SELECT 'only ' || s_suppkey, 1 FROM supplier)
+SELECT coalesce(s."Player", t."Player") AS "Player", "Squad", goals, matches, shots, passes FROM s FULL JOIN t ON s."Player" = t."Player" """),
     "gk_left_merge": (gk_left_merge, """
 WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_partkey AS "Player", CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS "Squad" FROM lineitem),
 k AS (SELECT * FROM (SELECT "Player", "Squad", l_extendedprice AS "GK_Saves", l_quantity AS "GK_SoTA",
-  row_number() OVER (PARTITION BY "Player", "Squad" ORDER BY l_extendedprice, l_quantity) AS place FROM p WHERE l_quantity > 25) WHERE place = 1)
+  row_number() OVER (PARTITION BY "Player", "Squad" ORDER BY l_extendedprice, l_quantity) AS place FROM p) WHERE place = 1)
 SELECT p.*, "GK_Saves", "GK_SoTA" FROM p LEFT JOIN k ON p."Player" = k."Player" AND p."Squad" IS NOT DISTINCT FROM k."Squad" """),
     "derived_metrics": (derived_metrics, """
 WITH b AS (SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice, CASE l_suppkey % 3 WHEN 0 THEN 'GK' WHEN 1 THEN 'DF' END AS "Pos", l_quantity AS "PassCmp",

@@ -8,7 +8,7 @@ from touchline.operators import features, knn, market, serving
 from touchline.plans import season_build
 from touchline.plans.catalogue.tables import UNION_VIEW, read, rounded
 from touchline.plans.catalogue.screens import _view
-from touchline.session import scratch_path
+from touchline.session import materialize, scratch_path
 from touchline.sources import writers
 
 
@@ -108,6 +108,13 @@ def knn_details(spark, folder):
     return knn.with_details(near, _view(spark, folder), columns=columns)
 
 
+def knn_details_all(spark, folder):
+    """The 50 nearest of every vector whose number is 7 or 8, a list of 100, with facts of their seasons."""
+    near = knn.nearest_neighbours(_points(spark, folder), 50).filter(F.col("player_id").isin(7, 8))
+    near = near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
+    return knn.with_details(near, _view(spark, folder), columns={"player_name": "full_name", "season_code": "season_id"})
+
+
 _PAIRS = """pairs AS (
   SELECT a.vec_id AS player_id, b.vec_id AS neighbour, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) ** 2))) AS distance
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id{where})"""
@@ -180,23 +187,52 @@ def _training(spark, folder):
     return market.training_rows(matrix, market.valued_players(_facts(spark, folder)), on)
 
 
+def _as_facts(scored, listed, rmse_bound=None):
+    """One row of what must hold for any forest: rows scored and listed, the gaps' identities, the list's order and length."""
+    gaps = market.value_gaps(scored)
+    off = F.abs(F.col("value_diff_eur") - (F.col("predicted_value_eur") - F.col("actual_value_eur"))) + F.abs(
+        F.col("value_ratio") * (F.col("actual_value_eur") + 1) - F.col("predicted_value_eur")
+    )
+    whole = gaps.agg(
+        F.count(F.lit(1)).alias("n_scored"), (F.max(off / F.col("actual_value_eur")) < 1e-9).alias("gaps_hold"),
+        F.count_if(F.col("value_diff_eur") > 0).alias("_below"), F.sqrt(F.avg(F.pow(F.col("label") - F.col("predicted_log"), 2))).alias("_rmse"),
+        F.stddev_pop("label").alias("_spread"),
+    )
+    # at most 200 rows
+    parts = listed.agg(F.count(F.lit(1)).alias("_listed"), F.min("value_diff_eur").alias("_least"), F.count_distinct("player_uuid").alias("_players"))
+    return whole.join(F.broadcast(parts)).select(
+        "n_scored", "gaps_hold",
+        (F.col("_listed") == F.least("_below", F.lit(market.KEPT))).alias("list_is_full"),
+        (F.coalesce("_least", F.lit(1.0)) > 0).alias("all_below_value"), (F.col("_players") == F.col("_listed")).alias("players_once"),
+        (F.col("_rmse") < F.col("_spread")).alias("better_than_mean"),
+    )
+
+
 def value_opportunities_in_sample(spark, folder):
-    return season_build.build_opportunities(_facts(spark, folder), _stat_table(spark, folder), mode="in_sample", depth=8)
+    """Facts of the list that scores the rows its forest was trained on."""
+    rows = materialize(_training(spark, folder), "training-rows")
+    scored = materialize(market.predict_values(rows, market.fit_values(rows)), "scored")
+    return _as_facts(scored, market.undervalued(market.value_gaps(scored)))
 
 
 def value_opportunities_out_of_fold(spark, folder):
-    rows = _training(spark, folder)
-    scored = market.predict_out_of_fold(rows, F.col("player_id"), folds=2, depth=5)
-    return market.undervalued(market.value_gaps(scored))
+    """Facts of the list whose players are scored by forests that have not seen them."""
+    scored = materialize(market.predict_out_of_fold(materialize(_training(spark, folder), "training-rows"), F.col("player_id")), "scored")
+    return _as_facts(scored, market.undervalued(market.value_gaps(scored))).drop("better_than_mean")
 
 
 def value_importances(spark, folder):
-    return market.importances(spark, market.fit_values(_training(spark, folder), depth=5), _FEATURES)
+    """Each feature's share is one of a whole."""
+    shares = market.importances(spark, market.fit_values(_training(spark, folder)), _FEATURES)
+    whole = shares.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return shares.join(F.broadcast(whole)).select("feature", F.col("importance").between(0, 1).alias("is_share"), "total")
 
 
 def value_attributions(spark, folder):
+    """A contribution per row and feature; a feature that no split uses contributes nothing."""
     rows = _training(spark, folder)
-    return market.attributions(rows, market.fit_values(rows, depth=5, trees=20), _FEATURES, ["player_id"])
+    found = market.attributions(rows, market.fit_values(rows), _FEATURES, ["player_id"])
+    return found.select("player_id", "feature", (F.abs("contribution") < 10).alias("is_small"))
 
 
 QUERIES = {
@@ -233,6 +269,11 @@ WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")}, {UNION_VIEW},
 five AS (SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5)
 SELECT neighbour, distance, player_name AS full_name, "Pos" AS primary_position, season_code AS season_id, club AS team_name, latest_mv_eur AS value_eur, "Gls"
 FROM five JOIN player_view ON neighbour = player_id"""),
+    "knn_details_all": (knn_details_all, f"""
+WITH {_PAIRS.format(where=" WHERE a.vec_id IN (7, 8)")}, {UNION_VIEW},
+near AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
+SELECT near.player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance, player_name AS full_name, season_code AS season_id
+FROM near JOIN player_view v ON neighbour = v.player_id WHERE place <= 50"""),
     "knn_stored": (knn_stored, f"""
 WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")} SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5"""),
     "valued_players": (valued_players, f"WITH {_FACTS} SELECT * FROM valued"),
@@ -248,8 +289,14 @@ WITH {_FACTS}, {_MEANS}, r AS (SELECT player_id AS player_uuid, player_name AS f
   FROM gaps WHERE gaps.value_diff_eur > 0 ORDER BY gaps.value_diff_eur DESC, player_id LIMIT 200)
 SELECT * FROM r ORDER BY value_diff_eur DESC, player_uuid LIMIT 50"""),
     "value_rmse": (value_rmse, f"WITH {_FACTS}, {_MEANS} SELECT round(sqrt(avg((label - predicted_log) ** 2)), 6) + 0.0 AS rmse FROM gaps"),
-    "value_opportunities_in_sample": (value_opportunities_in_sample, None),
-    "value_opportunities_out_of_fold": (value_opportunities_out_of_fold, None),
-    "value_importances": (value_importances, None),
-    "value_attributions": (value_attributions, None),
+    "value_opportunities_in_sample": (value_opportunities_in_sample, f"""
+WITH {_STATS}, {_FACTS} SELECT count(*) AS n_scored, true AS gaps_hold, true AS list_is_full, true AS all_below_value, true AS players_once, true AS better_than_mean
+FROM valued JOIN scaled USING (player_id)"""),
+    "value_opportunities_out_of_fold": (value_opportunities_out_of_fold, f"""
+WITH {_STATS}, {_FACTS} SELECT count(*) AS n_scored, true AS gaps_hold, true AS list_is_full, true AS all_below_value, true AS players_once
+FROM valued JOIN scaled USING (player_id)"""),
+    "value_importances": (value_importances, """
+SELECT unnest(['Min', 'MatchesPlayed', 'Gls', 'Shots', 'Tkl']) AS feature, true AS is_share, 1.0::DOUBLE AS total"""),
+    "value_attributions": (value_attributions, f"""
+WITH {_STATS}, {_FACTS} SELECT player_id, feature, true AS is_small FROM valued JOIN scaled USING (player_id), (SELECT unnest(['Min', 'MatchesPlayed', 'Gls', 'Shots', 'Tkl']) AS feature)"""),
 }
