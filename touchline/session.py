@@ -17,6 +17,8 @@ SETTINGS = {
 }
 
 
+# Spark's setting to remove an execution's shuffle files at its end.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[str] = []
 
 
@@ -46,10 +48,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage by writing to the shared folder and reading back; survives the loss of executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut lineage by writing to the shared folder and reading back; survives the loss of executors.
+
+    The write's shuffle files go when it ends: its table stands for them, and steps in a row would pile them up.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard_scratch(spark: SparkSession) -> int:
