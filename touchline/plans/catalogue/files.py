@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions.parse import league_title
+from touchline.operators import columns, consolidate
 from touchline.operators.columns import conform, ensure_columns
 from touchline.plans.catalogue.tables import read
 from touchline.schemas import FIELD_PLAYERS
@@ -41,6 +42,96 @@ def csv_roundtrip(spark, folder):
     return back.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.md5(F.trim("text")).alias("text_md5"), "lang", "Note")
 
 
+def csv_mixed_headers(spark, folder):
+    """Two files of one folder whose headers have other orders, another column and a quoted separator."""
+    path = scratch_path(spark, "mixed")
+    part = read(spark, folder, "part")
+    even = part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("full, name"))
+    odd = part.filter("p_partkey % 2 = 1").select(F.col("p_name").alias("full, name"), F.col("p_brand").alias("Brand"), F.col("p_partkey").alias("id"))
+    writers.write_csv(even, path)
+    writers.write_csv(odd, path, mode="append")
+    back = readers.read_csv(spark, path)
+    return back.select(F.col("id").try_cast("long").alias("id"), F.col("`full, name`").alias("name"), F.coalesce("Brand", F.lit("-")).alias("brand"))
+
+
+def csv_quoted_lines(spark, folder):
+    """Texts with line breaks, quotes and separators, written and read back whole."""
+    path = scratch_path(spark, "quoted")
+    docs = read(spark, folder, "documents").select("doc_id", F.concat(F.lit('"a", '), F.replace("text", F.lit("\r"), F.lit(" "))).alias("text"))
+    writers.write_csv(docs, path)
+    back = readers.read_csv(spark, path, sep=",", multi_line=True)
+    return back.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.md5("text").alias("text_md5"))
+
+
+def csv_bom(spark, folder):
+    """A file with a byte order mark: the first column keeps its name."""
+    path = scratch_path(spark, "bom")
+    writers.write_csv(read(spark, folder, "nation").select("n_name", "n_nationkey"), path, bom=True)
+    begins = F.hex(F.substring("content", F.lit(1), F.lit(3))) == "EFBBBF"
+    marked = spark.read.format("binaryFile").load(path).agg(F.min(begins).alias("marked")).scalar()
+    back = readers.read_csv(spark, path)
+    return back.select("n_name", F.col("n_nationkey").try_cast("int").alias("n_nationkey"), marked.alias("marked"))
+
+
+def refresh_null_partition(spark, folder):
+    """Orders without a league are loaded, and then emptied again."""
+    path = scratch_path(spark, "nulls")
+    orders = _orders_by_season(spark, folder).withColumn("league_code", F.when(F.col("league_code") != "p", F.col("league_code")))
+    writers.refresh_partitions(orders, path)
+    unnamed = orders.filter(F.col("league_code").isNull())
+    writers.refresh_partitions(unnamed.filter(F.col("season_code") != "1995").withColumn("o_totalprice", F.lit(0.0)), path, unnamed)
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.select("o_orderkey", "o_totalprice", F.coalesce("league_code", F.lit("-")).alias("league_code"), F.col("season_code").cast("string").alias("season_code"))
+
+
+def refresh_both(spark, folder):
+    """Two tables refreshed as one load, twice."""
+    root = scratch_path(spark, "both")
+    orders = _orders_by_season(spark, folder)
+    paths = {"finished": f"{root}/finished", "others": f"{root}/others"}
+    for factor in (1, 3):
+        priced = orders.withColumn("o_totalprice", F.col("o_totalprice") * factor)
+        finished = F.col("league_code") == "f"
+        writers.refresh_together({paths["finished"]: priced.filter(finished), paths["others"]: priced.filter(~finished)}, orders)
+    back = [spark.read.parquet(p).select(F.lit(name).alias("kind"), "o_orderkey", "o_totalprice") for name, p in paths.items()]
+    return back[0].unionByName(back[1])
+
+
+def config_work(spark, folder):
+    """Seasons to load, by source: a season per supplier of each nation, as a configuration of leagues."""
+    suppliers = read(spark, folder, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("league"))
+    seasons = suppliers.agg(F.sort_array(F.collect_set((2000 + F.col("s_suppkey") % 20).cast("string"))).alias("seasons")).collect()
+    return readers.work_list(spark, {r.league: r.seasons for r in seasons})
+
+
+def json_ids(spark, folder):
+    """Ids of customers from JSON files with one array each, with their places."""
+    path = scratch_path(spark, "ids")
+    lists = read(spark, folder, "customer").groupBy((F.col("c_custkey") % 3).alias("g")).agg(F.sort_array(F.collect_list(F.col("c_custkey").cast("string"))).alias("ids"))
+    lists.select(F.to_json("ids").alias("value")).repartition(3).write.text(path)
+    return readers.read_ids(spark, path)
+
+
+def observed_counts(spark, folder):
+    """Counts gathered while a table is written."""
+    part = read(spark, folder, "part").select("p_partkey", (F.col("p_partkey") % 4 == 0).alias("IsGK"))
+    watched, counts = writers.observed(part, "load")
+    writers.write_parquet(watched, scratch_path(spark, "observed"))
+    found = counts.get
+    return read(spark, folder, "part").agg(F.count(F.lit(1)).alias("n_parts")).select(
+        "n_parts", *[F.lit(found[c]).cast("long").alias(c) for c in ("n_rows", "n_keepers", "n_field")]
+    )
+
+
+def flat_names(spark, folder):
+    """Nested columns flattened, of repeated names the first, and the partition of a load put on the rows."""
+    nation = read(spark, folder, "nation").select(F.struct("n_nationkey", "n_name").alias("nation"), F.col("n_regionkey").alias("region"))
+    flat = columns.flatten(nation)
+    doubled = columns.first_of_each(flat.select("*", F.col("region").alias("again")).toDF("key", "name", "region", "region"))
+    named = consolidate.with_partition(doubled, F.lit("eng"), F.col("region").cast("string"))
+    return named.select("key", "name", "region", "league_code", "season_code")
+
+
 def joined_files(spark, folder):
     """One file per order status, named by league and season: the names become columns, other names are skipped."""
     root = scratch_path(spark, "joined")
@@ -200,6 +291,22 @@ WITH {_ORDERS} SELECT o_orderkey, o_custkey, CASE WHEN league_code = 'f' AND sea
 FROM orders_by_season WHERE NOT (league_code = 'f' AND season_code = '1998')"""),
     "csv_roundtrip": (csv_roundtrip, """
 SELECT doc_id, md5(trim(regexp_replace(text, '[^\\x20-\\x7E\\x{00A0}-\\x{00FF}]', ' ', 'g'))) AS text_md5, lang, 'a;"b' AS "Note" FROM documents"""),
+    "csv_mixed_headers": (csv_mixed_headers, "SELECT p_partkey AS id, p_name AS name, CASE WHEN p_partkey % 2 = 1 THEN p_brand ELSE '-' END AS brand FROM part"),
+    "csv_quoted_lines": (csv_quoted_lines, """SELECT doc_id, md5('"a", ' || replace(text, chr(13), ' ')) AS text_md5 FROM documents"""),
+    "csv_bom": (csv_bom, "SELECT n_name, CAST(n_nationkey AS INTEGER) AS n_nationkey, true AS marked FROM nation"),
+    "refresh_null_partition": (refresh_null_partition, f"""
+WITH {_ORDERS} SELECT o_orderkey, CASE WHEN league_code = 'p' THEN 0.0 ELSE o_totalprice END AS o_totalprice, CASE WHEN league_code = 'p' THEN '-' ELSE league_code END AS league_code, season_code
+FROM orders_by_season WHERE NOT (league_code = 'p' AND season_code = '1995')"""),
+    "refresh_both": (refresh_both, f"""
+WITH {_ORDERS} SELECT CASE WHEN league_code = 'f' THEN 'finished' ELSE 'others' END AS kind, o_orderkey, o_totalprice * 3 AS o_totalprice FROM orders_by_season"""),
+    "config_work": (config_work, """
+SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS league, CAST(2000 + s_suppkey % 20 AS VARCHAR) AS season, CAST(2000 + s_suppkey % 20 AS INTEGER) AS season_start, source
+FROM supplier, (VALUES ('fbref'), ('transfermarkt')) s(source)"""),
+    "json_ids": (json_ids, """
+SELECT CAST(row_number() OVER (PARTITION BY c_custkey % 3 ORDER BY CAST(c_custkey AS VARCHAR)) - 1 AS INTEGER) AS "at", CAST(c_custkey AS VARCHAR) AS player_id FROM customer"""),
+    "observed_counts": (observed_counts, """
+SELECT count(*) AS n_parts, count(*) AS n_rows, count(*) FILTER (p_partkey % 4 = 0) AS n_keepers, count(*) FILTER (p_partkey % 4 <> 0) AS n_field FROM part"""),
+    "flat_names": (flat_names, "SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region, 'eng' AS league_code, CAST(n_regionkey AS VARCHAR) AS season_code FROM nation"),
     "joined_files": (joined_files, f"""
 WITH {_ORDERS} SELECT o_orderkey, league_code, CASE league_code WHEN 'f' THEN '1995-2001' WHEN 'o' THEN '1995' ELSE '2001' END AS season_code, upper(league_code) AS league_name
 FROM orders_by_season"""),

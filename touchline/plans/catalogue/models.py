@@ -198,12 +198,13 @@ def _as_facts(scored, listed, rmse_bound=None):
         F.count_if(F.col("value_diff_eur") > 0).alias("_below"), F.sqrt(F.avg(F.pow(F.col("label") - F.col("predicted_log"), 2))).alias("_rmse"),
         F.stddev_pop("label").alias("_spread"),
     )
-    # at most 200 rows
-    parts = listed.agg(F.count(F.lit(1)).alias("_listed"), F.min("value_diff_eur").alias("_least"), F.count_distinct("player_uuid").alias("_players"))
-    return whole.join(F.broadcast(parts)).select(
+    parts = listed.agg(
+        F.struct(F.count(F.lit(1)).alias("listed"), F.min("value_diff_eur").alias("least"), F.count_distinct("player_uuid").alias("players")).alias("parts")
+    ).scalar()
+    return whole.withColumn("_list", parts).select(
         "n_scored", "gaps_hold",
-        (F.col("_listed") == F.least("_below", F.lit(market.KEPT))).alias("list_is_full"),
-        (F.coalesce("_least", F.lit(1.0)) > 0).alias("all_below_value"), (F.col("_players") == F.col("_listed")).alias("players_once"),
+        (F.col("_list.listed") == F.least("_below", F.lit(market.KEPT))).alias("list_is_full"),
+        (F.coalesce("_list.least", F.lit(1.0)) > 0).alias("all_below_value"), (F.col("_list.players") == F.col("_list.listed")).alias("players_once"),
         (F.col("_rmse") < F.col("_spread")).alias("better_than_mean"),
     )
 
@@ -224,8 +225,8 @@ def value_opportunities_out_of_fold(spark, folder):
 def value_importances(spark, folder):
     """Each feature's share is one of a whole."""
     shares = market.importances(spark, market.fit_values(_training(spark, folder)), _FEATURES)
-    whole = shares.agg(F.round(F.sum("importance"), 6).alias("total"))
-    return shares.join(F.broadcast(whole)).select("feature", F.col("importance").between(0, 1).alias("is_share"), "total")
+    total = shares.agg(F.round(F.sum("importance"), 6).alias("total")).scalar()
+    return shares.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("total"))
 
 
 def value_attributions(spark, folder):

@@ -37,12 +37,11 @@ def match_values(
 
 
 def load_consolidated(joined: DataFrame, folder: str, order: Sequence[str]) -> DataFrame:
-    """Refresh the two consolidated tables, one partition per (league, season); returns the undecided rows."""
+    """Refresh the two consolidated tables together, one partition per (league, season); returns the undecided rows."""
     joined = materialize(joined, "joined")
     field, keepers, undecided = consolidate.consolidated(joined, order)
     loaded = joined.select("league_code", "season_code").distinct()
-    writers.refresh_partitions(field, f"{folder}/field_players_all", loaded)
-    writers.refresh_partitions(keepers, f"{folder}/goalkeepers_all", loaded)
+    writers.refresh_together({f"{folder}/field_players_all": field, f"{folder}/goalkeepers_all": keepers}, loaded)
     return undecided
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -30,34 +31,61 @@ def read_stat_tables(
     return tables
 
 
-def _header(spark: SparkSession, path: str, encoding: str) -> str:
-    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    return first[0][0].lstrip("\ufeff") if first else ""
-
-
 def _text_schema(header: str, sep: str) -> T.StructType:
-    """Text columns by the header; names that differ only in case are told apart, as Spark does not distinguish them."""
-    names = [n.strip().strip('"').lstrip("\ufeff") for n in header.split(sep)]
+    """Text columns by the header, read as a CSV line; names that differ only in case are told apart, as Spark does not
+    distinguish them."""
+    names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")], delimiter=sep), [])]
     lowered = unique_names([n.lower() for n in names])
     return T.StructType([T.StructField(n + low[len(n):], T.StringType()) for n, low in zip(names, lowered)])
 
 
-def csv_dialect(spark: SparkSession, path: str) -> tuple[str, str]:
-    """Separator by the header line, encoding by whether the text is valid UTF-8."""
-    header = _header(spark, path, "UTF-8")
-    sep = ";" if header.count(";") > header.count(",") else ","
-    broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
-    return sep, "ISO-8859-1" if broken else "UTF-8"
+def _separator(header: str) -> str:
+    return ";" if header.count(";") > header.count(",") else ","
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None) -> DataFrame:
+    """The first line of every file and its encoding, in one pass over all files: ``file``, ``header``, ``encoding``.
+
+    Without a given encoding a file is UTF-8 if all its lines are, else Latin-1.
+    """
+    text = spark.read.option("encoding", encoding).text(paths) if encoding else spark.read.text(paths)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"), "value", F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")
+    )
+    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.every(F.is_valid_utf8("value")).alias("is_utf8"))
+    if encoding:
+        return found.select("file", "header", F.lit(encoding).alias("encoding"))
+    latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
+    return found.select(
+        "file", F.when(F.col("is_utf8"), F.col("header")).otherwise(latin).alias("header"), F.when(F.col("is_utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding")
+    )
+
 
+def _grouped(spark: SparkSession, paths: str | Sequence[str], encoding: str | None) -> dict[tuple[str, str], list[str]]:
+    """Files by (header, encoding): as many groups as there are kinds of files. A file without any text is left out."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in file_headers(spark, paths, encoding).orderBy("file").collect():
+        if row.header:
+            groups.setdefault((row.header, row.encoding), []).append(row.file)
+    return groups
 
-def read_csv(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None) -> DataFrame:
-    """A CSV with header as text columns; separator and encoding are found when not given."""
-    if sep is None or encoding is None:
-        found_sep, found_encoding = csv_dialect(spark, path)
-        sep, encoding = sep or found_sep, encoding or found_encoding
-    schema = _text_schema(_header(spark, path, encoding), sep)
-    options = {"header": True, "sep": sep, "encoding": encoding, "mode": "PERMISSIVE", "enforceSchema": True, "escape": '"'}
-    return spark.read.options(**options).schema(schema).csv(path)
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], sep: str | None = None, encoding: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV files with headers as text columns, matched by name where the files' headers differ.
+
+    Separator and encoding (UTF-8 or Latin-1) are found per file when not given. ``multi_line`` reads quoted line breaks;
+    such a file is read by one task.
+    """
+    parts = []
+    for (header, own), files in _grouped(spark, path, encoding).items():
+        cut = sep or _separator(header)
+        options = {"header": True, "sep": cut, "encoding": own, "mode": "PERMISSIVE", "enforceSchema": True, "escape": '"', "multiLine": multi_line}
+        parts.append(spark.read.options(**options).schema(_text_schema(header, cut)).csv(files))
+    if not parts:
+        raise FileNotFoundError(f"no header in {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_csv_reporting(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
@@ -92,20 +120,17 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found or [])
 
 
-def read_joined_files(spark: SparkSession, folder: str, pattern: str = "join_*_mv.csv", sep: str = ",") -> DataFrame:
+def read_joined_files(spark: SparkSession, folder: str, pattern: str = "join_*_mv.csv", sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """All matching files as text, with league and season taken from the file names; other names are skipped.
 
     Files with the same header are read together; those with other columns are joined to them by column name.
     """
-    by_header: dict[str, list[str]] = {}
-    for path in list_paths(spark, f"{folder.rstrip('/')}/{pattern}"):
-        by_header.setdefault(_header(spark, path, "UTF-8"), []).append(path)
-    if not by_header:
+    paths = list_paths(spark, f"{folder.rstrip('/')}/{pattern}")
+    groups = _grouped(spark, paths, encoding) if paths else {}
+    if not groups:
         raise FileNotFoundError(f"no {pattern} in {folder}")
-    parts = [
-        spark.read.options(header=True, sep=sep, escape='"').schema(_text_schema(header, sep)).csv(paths)
-        for header, paths in by_header.items()
-    ]
+    options = {"header": True, "sep": sep, "escape": '"', "encoding": encoding}
+    parts = [spark.read.options(**options).schema(_text_schema(header, sep)).csv(files) for (header, _), files in groups.items()]
     file = F.col("_metadata.file_path")
     named = [df.withColumns({"league_code": file_league(file), "season_code": file_season(file)}) for df in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).filter(F.col("league_code").isNotNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,9 +17,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     storable(ensure_unique(df)).write.mode(mode).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """CSV with header; blanks at the ends of text are kept."""
-    options = {"header": True, "sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", bom: bool = False, encoding: str = "UTF-8") -> None:
+    """CSV with header; blanks at the ends of text are kept. ``bom`` puts a byte order mark before each file's header, as
+    spreadsheets want it."""
+    options = {"header": True, "sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "encoding": encoding}
+    if bom:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode(mode).options(**options).csv(path)
 
 
@@ -42,28 +46,66 @@ def replace_table(df: DataFrame, path: str) -> None:
 def refresh_partitions(df: DataFrame, path: str, refreshed: DataFrame | None = None, partition: Sequence[str] = PARTITION) -> None:
     """Replace the partitions of ``df`` and leave all others; running it twice equals running it once.
 
-    ``refreshed`` lists all partitions being loaded: those without rows now are emptied. The rebalance hint splits a
-    partition that holds much of the data over several files.
+    ``refreshed`` lists all partitions being loaded: those without rows now are emptied.
     """
-    spark = df.sparkSession
-    ordered = df.select(*[c for c in df.columns if c not in partition], *partition)
-    ordered.hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition
-    ).parquet(path)
-    if refreshed is not None:
-        loaded = df.select(*partition).distinct()
-        for row in refreshed.select(*partition).distinct().join(loaded, list(partition), "left_anti").collect():
-            _drop_partition(spark, path, dict(zip(partition, row)))
-
-
-def _drop_partition(spark: SparkSession, path: str, values: dict[str, str]) -> None:
-    """Remove one partition folder; the list of partitions is the load's configuration, so it is short."""
-    jvm = spark._jvm
-    folder = "/".join(
-        f"{k}={jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(v))}" for k, v in values.items()
-    )
-    target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    refresh_together({path: df}, refreshed, partition)
+
+
+def refresh_together(frames: dict[str, DataFrame], refreshed: DataFrame | None = None, partition: Sequence[str] = PARTITION) -> None:
+    """``refresh_partitions`` of several tables, path to rows, as one load.
+
+    All tables are first written to staging folders beside them, each frame once; only when every one is complete are
+    the partition folders exchanged, which takes renames only. A load that fails while it computes changes no table. The
+    rebalance hint splits a partition that holds much of the data over several files.
+    """
+    staged = {}
+    for path, df in frames.items():
+        staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+        ordered = df.select(*[c for c in df.columns if c not in partition], *partition)
+        ordered.hint("rebalance", *partition).write.partitionBy(*partition).parquet(staging)
+        staged[path] = staging
+    for path, staging in staged.items():
+        spark = frames[path].sparkSession
+        folders = _partition_folders(spark, staging, partition)
+        emptied = _named_folders(refreshed, partition) if refreshed is not None else set()
+        _exchange(spark, staging, path.rstrip("/"), folders, emptied - folders)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _partition_folders(spark: SparkSession, path: str, partition: Sequence[str]) -> set[str]:
+    """The partition folders of a table relative to it; a load has one per league and season, so the list is short."""
+    root, files = _hadoop(spark, path)
+    pattern, _ = _hadoop(spark, "/".join([path, *[f"{c}=*" for c in partition]]))
+    base = files.makeQualified(root).toString().rstrip("/")
+    return {status.getPath().toString().removeprefix(f"{base}/") for status in files.globStatus(pattern) or []}
+
+
+def _named_folders(rows: DataFrame, partition: Sequence[str]) -> set[str]:
+    """The folders of the listed partitions, named as Spark names them; null and the empty text share the default name."""
+    utils = rows.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    default = utils.DEFAULT_PARTITION_NAME()
+    named = rows.select(*[F.col(c).cast("string") for c in partition]).distinct().collect()
+    return {"/".join(f"{c}={utils.escapePathName(v) if v else default}" for c, v in zip(partition, row)) for row in named}
+
+
+def _exchange(spark: SparkSession, staging: str, path: str, folders: set[str], emptied: set[str]) -> None:
+    """Puts the staged folders in the place of the table's and removes the emptied ones."""
+    source, files = _hadoop(spark, staging)
+    if not files.exists(_hadoop(spark, path)[0]):
+        files.rename(source, _hadoop(spark, path)[0])
+        return
+    for folder in sorted(folders | emptied):
+        target = _hadoop(spark, f"{path}/{folder}")[0]
+        files.delete(target, True)
+        if folder in folders:
+            files.mkdirs(target.getParent())
+            if not files.rename(_hadoop(spark, f"{staging}/{folder}")[0], target):
+                raise OSError(f"could not move {staging}/{folder} to {path}")
+    files.delete(source, True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append") -> None:
