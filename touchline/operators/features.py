@@ -66,14 +66,14 @@ def standardise(df: DataFrame, features: Sequence[str], out: str | None = None)
     return with_moments.withColumns(result).drop("_moments")
 
 
-def feature_matrix(df: DataFrame, candidates: Sequence[str], keys: Sequence[str], season: str | None = None) -> DataFrame:
+def feature_matrix(df: DataFrame, candidates: Sequence[str], keys: Sequence[str], season: str | None = None, minutes: str = "Min") -> DataFrame:
     """``keys`` and the scaled ``features`` array of all rows that pass the minutes filter."""
     if season is not None:
         season_col = existing(df, SEASON_COLUMNS)
         if season_col:
             df = df.filter(F.col(season_col[0]) == season)
     names = model_features(df, candidates)
-    ready = filled(enough_minutes(df), names)
+    ready = filled(enough_minutes(df, minutes), names)
     return standardise(ready, names, "features").select(*[k for k in keys if k in df.columns], "features")
 
 

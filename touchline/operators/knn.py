@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from touchline.operators.serving import check_similar_count
 from touchline.operators.skew import skew_join, top_rows
 from touchline.session import materialize
-
-MAX_PIVOTS = 2048
 BLOCK_ROWS = 1024
 HEAVY_BLOCKS = 256
 _SLACK = 1e-7
@@ -64,7 +62,7 @@ def _compare(k: int):
                 limit = np.asarray(row.limit, dtype="float64") if row.limit is not None else np.full(len(row.x), np.inf)
                 at, ids, distance = _nearest(_matrix(row.x), _matrix(row.y), [list(i) for i in row.ids], k, limit)
                 yield pd.DataFrame(
-                    {"cell": row.cell, "chunk": row.chunk, "at": np.asarray(row.at)[at], "id": ids, "distance": distance}
+                    {"cell": row.cell, "chunk": row.chunk, "at": np.asarray(row.at)[at], "id": pd.Series(ids, dtype=object), "distance": distance}
                 )
 
     return step
@@ -113,20 +111,30 @@ def _probe(pivots: np.ndarray, radius: np.ndarray):
     return step
 
 
+def _usable(vector: Column) -> Column:
+    return F.coalesce(F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v)), F.lit(False))
+
+
+def unusable(points: DataFrame, features: str = "features") -> DataFrame:
+    """Points that no distance can be told for: no vector, or one with null or NaN parts."""
+    return points.filter(~_usable(F.transform(F.col(features), lambda v: v.cast("double"))))
+
+
 def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id", features: str = "features") -> DataFrame:
     """``player, neighbour, rank, distance``: the k nearest other players of every player; ties go to the lower id.
 
     ``points`` has one row per player (``one_row_per_player``). The player itself is left out by id, so another
-    player with the same numbers is a neighbour at distance 0.
+    player with the same numbers is a neighbour at distance 0. Points without a number in every place have no distance
+    and are left out on both sides; ``unusable`` lists them.
     """
     spark = points.sparkSession
     id_type = points.schema[player].dataType
     rows = points.select(F.col(player).alias("id"), F.transform(F.col(features), lambda v: v.cast("double") + F.lit(0.0)).alias("vec"))
     # the k + 1 lowest ids stand for all players with the same vector: one of them may be the player itself
-    ids = top_rows(rows, ["vec"], [F.col("id")], k + 1)
+    ids = top_rows(rows.filter(_usable(F.col("vec"))), ["vec"], [F.col("id")], k + 1)
     vectors = materialize(ids.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")), "knn-vectors")
-    n_pivots = int(min(MAX_PIVOTS, np.ceil(np.sqrt(max(vectors.count(), 1)) / 2)))
-    # a bounded pick of pivots by hash
+    # pivots by hash; they and the cells grow with the root of the vectors
+    n_pivots = int(np.ceil(np.sqrt(max(vectors.count(), 1)) / 2))
     chosen = vectors.orderBy(F.xxhash64("vec"), "vec").limit(n_pivots).select("vec").collect()
     if not chosen:
         return spark.createDataFrame([], _result_schema(player, id_type))
@@ -134,7 +142,7 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
 
     placed = vectors.withColumn("p", _assign(pivots)("vec")).select("vec", "ids", "p.cell", "p.radius")
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("radius"))
-    sizes = {r.cell: r for r in cells.collect()}  # at most MAX_PIVOTS rows
+    sizes = {r.cell: r for r in cells.collect()}  # one row per pivot
     radius = np.array([sizes[c].radius if c in sizes else -1.0 for c in range(len(pivots))])
     chunks = F.broadcast(
         spark.createDataFrame([(c, int(np.ceil(r.n / BLOCK_ROWS))) for c, r in sizes.items()], "target int, chunks int")

@@ -79,6 +79,28 @@ def knn_players(spark, folder):
     return near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
 
 
+def knn_two_rows(spark, folder):
+    """Parts with a row per line status: both rows are points, and no neighbours of each other."""
+    table = (
+        read(spark, folder, "lineitem")
+        .groupBy(F.col("l_partkey").alias("player_id"), F.col("l_linestatus").alias("club"))
+        .agg(F.sum("l_quantity").alias("Min"), F.count(F.lit(1)).alias("MatchesPlayed"), F.sum("l_linenumber").alias("Gls"))
+    )
+    near = season_build.build_neighbours(table, features.FIELD_FEATURES, 3)
+    return near.select("player_id", "club", "rank", rounded("distance").alias("distance"))
+
+
+def knn_keepers(spark, folder):
+    """Suppliers as goalkeepers, by the keeper features that their lines can stand for."""
+    table = (
+        read(spark, folder, "lineitem")
+        .groupBy(F.col("l_suppkey").alias("player_id"))
+        .agg(F.sum("l_quantity").alias("GK_Min"), F.count(F.lit(1)).alias("GK_SoTA"), F.sum("l_linenumber").alias("GK_Saves"), F.max("l_partkey").alias("GK_GA"))
+    )
+    near = season_build.build_neighbours(table, features.KEEPER_FEATURES, 5, minutes="GK_Min")
+    return near.select("player_id", "neighbour", "rank", rounded("distance").alias("distance"))
+
+
 def _points(spark, folder):
     return read(spark, folder, "embeddings").select(F.col("vec_id").alias("player_id"), F.col("embedding").alias("features"))
 
@@ -259,6 +281,19 @@ WITH {_STATS}, pairs AS (SELECT a.player_id, b.player_id AS neighbour,
   sqrt((a.f0 - b.f0) ** 2 + (a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS distance
   FROM scaled a JOIN scaled b ON a.player_id <> b.player_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
+SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 5"""),
+    "knn_two_rows": (knn_two_rows, """
+WITH played AS (SELECT l_partkey AS player_id, l_linestatus AS club, sum(l_quantity) AS m, count(*) AS n, sum(l_linenumber) AS g FROM lineitem GROUP BY ALL HAVING m >= 500),
+scaled AS (SELECT player_id, club, (m - avg(m) OVER ()) / stddev_pop(m) OVER () AS f0, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS f1, (g - avg(g) OVER ()) / stddev_pop(g) OVER () AS f2 FROM played),
+pairs AS (SELECT a.player_id, a.club, sqrt((a.f0 - b.f0) ** 2 + (a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2) AS distance FROM scaled a JOIN scaled b ON a.player_id <> b.player_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY player_id, club ORDER BY distance) AS place FROM pairs)
+SELECT player_id, club, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 3"""),
+    "knn_keepers": (knn_keepers, """
+WITH played AS (SELECT l_suppkey AS player_id, sum(l_quantity) AS m, count(*) AS n, sum(l_linenumber) AS g, max(l_partkey) AS p FROM lineitem GROUP BY ALL HAVING m >= 500),
+scaled AS (SELECT player_id, (m - avg(m) OVER ()) / stddev_pop(m) OVER () AS f0, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS f1, (g - avg(g) OVER ()) / stddev_pop(g) OVER () AS f2,
+  (p - avg(p) OVER ()) / stddev_pop(p) OVER () AS f3 FROM played),
+pairs AS (SELECT a.player_id, b.player_id AS neighbour, sqrt((a.f0 - b.f0) ** 2 + (a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2) AS distance FROM scaled a JOIN scaled b ON a.player_id <> b.player_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
 SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 5"""),
     "knn_exact": (knn_exact, f"""
 WITH {_PAIRS.format(where="")}, r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from touchline.operators import consolidate, features, knn, market, merge, resolve, views
 from touchline.session import materialize
@@ -45,13 +45,27 @@ def load_consolidated(joined: DataFrame, folder: str, order: Sequence[str]) -> D
     return undecided
 
 
-def build_neighbours(table: DataFrame, candidates: Sequence[str], k: int = 10, player: str = "player_id") -> DataFrame:
-    """Nearest players of one table (field players or goalkeepers), from standardised features of the newest season."""
-    newest = knn.one_row_per_player(
-        table, player, [F.col("season_code").desc_nulls_last(), *[F.col(c) for c in table.columns if c not in (player, "season_code")]]
-    )
-    matrix = features.feature_matrix(newest, candidates, [player])
-    return knn.nearest_neighbours(matrix, k, player)
+def build_neighbours(
+    table: DataFrame, candidates: Sequence[str], k: int = 10, player: str = "player_id", row: Sequence[str] = ("season_code", "club"), minutes: str = "Min"
+) -> DataFrame:
+    """Nearest rows of other players of one table (field players or goalkeepers), from standardised features.
+
+    Every row with enough minutes is a point, so a player may have several, told apart by ``row``; none of them is a
+    neighbour of the player's own. Gives the row, ``neighbour`` with its row (``neighbour_...``), ``rank`` and ``distance``.
+    """
+    own = [c for c in row if c in table.columns]
+    named = table.withColumn("_row", F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (player, *own)]))
+    matrix = features.feature_matrix(named, candidates, ["_row", player, *own], minutes=minutes)
+    points = materialize(knn.one_row_per_player(matrix, "_row"), "points")
+    # so many rows of one player at most can stand between a row and its k-th other neighbour
+    most = points.groupBy(player).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    near = knn.nearest_neighbours(points.select("_row", "features"), k + most - 1, "_row")
+    facts = points.select("_row", player, *own)
+    other = facts.select(F.col("_row").alias("neighbour"), F.col(player).alias("_other"), *[F.col(c).alias(f"neighbour_{c}") for c in own])
+    pairs = near.join(facts, "_row").join(other, "neighbour").filter(F.col(player) != F.col("_other")).drop("neighbour")
+    place = F.row_number().over(Window.partitionBy("_row").orderBy("rank")).cast("int")
+    kept = pairs.withColumn("rank", place).filter(F.col("rank") <= k).withColumnRenamed("_other", "neighbour")
+    return kept.select(player, *own, "neighbour", *[f"neighbour_{c}" for c in own], "rank", "distance")
 
 
 def build_opportunities(view: DataFrame, table: DataFrame, mode: str = "out_of_fold", depth: int = 10, n: int = market.KEPT) -> DataFrame:
