@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.operators.columns import col, existing
 from touchline.operators.skew import skew_join
+from touchline.session import materialize
 
 FIELD_FEATURES = [
     "Min", "MatchesPlayed", "Gls", "Ast", "xG", "xAG", "Shots", "KeyPasses", "CrdY", "CrdR", "Tkl", "Int",
@@ -19,7 +21,6 @@ KEEPER_FEATURES = [
 ID_COLUMNS = ["player_id", "player_uuid"]
 SEASON_COLUMNS = ["season_code", "season_id", "season"]
 MIN_MINUTES = 500
-_BUCKETS = 256  # a power of two
 
 
 def model_features(df: DataFrame, candidates: Sequence[str]) -> list[str]:
@@ -133,33 +134,28 @@ def rows_per_value(df: DataFrame, group: Sequence[str], value: str) -> DataFrame
 def value_positions(df: DataFrame, group: Sequence[str], value: str, ascending: bool = True) -> DataFrame:
     """Per group and distinct value: how many rows (``below``) and values (``distinct_below``) come before it.
 
-    Rows are counted per distinct value first, so a frequent value is one row. The distinct values are cut into
-    buckets by quantiles of the whole, and only bucket totals are summed per group: no task sorts a whole group.
+    Rows are counted per distinct value first, so a frequent value is one row. The values are dealt out by ranges of
+    (group, value), as many as Spark is set to, and written; sums run inside a range and over the totals of a group's
+    ranges, so no task sorts a whole group and groups of different scale do not share a range.
     """
     group = list(group)
-    counts = rows_per_value(df, group, value)
-    # as text, the list of shares is parsed at once
-    shares = ", ".join(f"{i / _BUCKETS}d" for i in range(1, _BUCKETS))
-    splits = counts.agg(F.expr(f"percentile_approx(`{value}`, array({shares}), 4096)")).scalar()
-    bucketed = counts.withColumns({"_splits": splits, "bucket": F.lit(0)})
-    for half in (_BUCKETS >> i for i in range(1, _BUCKETS.bit_length())):  # binary search in the sorted splits
-        middle = F.get("_splits", F.col("bucket") + (half - 1))
-        bucketed = bucketed.withColumn("bucket", F.col("bucket") + F.when(middle < F.col(value), half).otherwise(0))
-    bucketed = bucketed.drop("_splits")
+    ranged = rows_per_value(df, group, value).repartitionByRange(*group, value).withColumn("part", F.spark_partition_id())
+    counts = materialize(ranged, "value-ranges")
     direction = (lambda c: c.asc()) if ascending else (lambda c: c.desc())
-    totals = bucketed.groupBy(*group, "bucket").agg(F.sum("n_rows").alias("b_rows"), F.count(F.lit(1)).alias("b_values"))
-    before = Window.partitionBy(*group).orderBy(direction(F.col("bucket"))).rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(*group, "part").agg(F.sum("n_rows").alias("b_rows"), F.count(F.lit(1)).alias("b_values"))
+    before = Window.partitionBy(*group).orderBy(direction(F.col("part"))).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     offsets = totals.select(
-        *group,
-        "bucket",
+        *[F.col(c).alias(f"_{c}") for c in group],
+        F.col("part").alias("_part"),
         F.coalesce(F.sum("b_rows").over(before), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("b_values").over(before), F.lit(0)).alias("values_before"),
         F.sum("b_rows").over(whole).alias("group_rows"),
     )
-    inside = Window.partitionBy(*group, "bucket").orderBy(direction(F.col(value)))
+    inside = Window.partitionBy(*group, "part").orderBy(direction(F.col(value)))
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    return bucketed.join(offsets, [*group, "bucket"]).select(
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "part")]
+    return counts.join(offsets, reduce(lambda a, b: a & b, same)).select(
         *group,
         value,
         "n_rows",
