@@ -26,6 +26,7 @@ from touchline.session import materialize
 # Cells of the unit interval in which the sources' shares are looked up by an equi-join.
 GRID = 4096
 ROUNDS = 16
+SLOTS_PER_TASK = 500_000
 
 
 @dataclass
@@ -155,7 +156,9 @@ def mix(
         )
     )
     every = counted.filter("n > 0").select("shard", "source_no", "blocks", "before", "n").unionByName(short)
-    numbered = every.withColumn("number", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)))
+    # Few small rows become many: without a set number of tasks Spark would leave them in one or two.
+    spread = every.repartition(max(1, -(-n_slots // SLOTS_PER_TASK)), "shard", "source_no")
+    numbered = spread.withColumn("number", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)))
     passes = F.floor(F.col("number") / F.col("blocks"))
     block = _permuted(
         F.pmod("number", "blocks"), F.col("blocks"), F.xxhash64("source_no", F.floor(F.col("number") / F.col("blocks")), F.lit(seed))
@@ -202,11 +205,18 @@ def mixed_documents(docs: DataFrame, result: Mix) -> DataFrame:
     )
     # Rows that agree in id, text and source share a key; their spans are gathered, so one of them stands for all.
     one_each = boxed(docs, _key=_key(docs)).groupBy("_key").agg(F.any_value("_doc").alias("_doc"))
-    cut = one_each.join(covered, "_key").select("_doc", F.explode("_spans").alias("_span"))
     lead = F.regexp_replace("_doc.text", r"^[\x20\x09-\x0D]+", "")
-    words = F.split(lead, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    run = F.array_join(F.slice(words, (F.col("_span.first") + 1).cast("int"), F.col("_span.n").cast("int")), "")
-    fixed = cut.withColumn("_text", F.when(F.col("_span.whole"), F.col("_doc.text")).otherwise(run))
+    split = F.split(lead, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+
+    def runs(words: Column) -> Column:
+        run = lambda s: F.array_join(F.slice(words, (s["first"] + 1).cast("int"), s["n"].cast("int")), "")
+        return F.transform("_spans", lambda s: F.when(s["whole"], F.col("_doc.text")).otherwise(run(s)))
+
+    # A document is split once, and only if some of its runs are not all of it.
+    cut = F.when(F.forall("_spans", lambda s: s["whole"]), F.transform("_spans", lambda _: F.col("_doc.text"))).otherwise(
+        F.transform(F.array(split), runs)[0]
+    )
+    fixed = one_each.join(covered, "_key").select("_doc", F.explode(cut).alias("_text"))
     changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)

@@ -50,11 +50,69 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, folder, "documents").select("doc_id", "text")))
 
 
+# Kind, expression and least length of the match or, for assign, of what follows the sign; letters of either case spelled out.
+_SECRET_KINDS = [
+    ("assign", r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))""", 6),
+    ("access", r"(AKIA[A-Z0-9]+)()", 20),
+    ("hex", r"([0-9a-f]+)()", 24),
+    ("github", r"(gh[pousr]_[A-Za-z0-9]+)()", 40),
+    ("google", r"(AIza[0-9A-Za-z_-]+)()", 39),
+    ("slack", r"(xox[abprs]-[0-9A-Za-z-]+)()", 20),
+    ("stripe", r"((?:sk|rk)_live_[0-9A-Za-z]+)()", 24),
+    ("private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)()", 0),
+    ("web_token", r"(eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)()", 40),
+]
+OP4_SQL = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(1) || chr(3), chr(2) || chr(2)) AS t FROM documents),
+marked AS (""" + " UNION ALL ".join(
+    f"SELECT r, {n} AS k, '{kind}' AS kind, {least} AS least, string_split(regexp_replace(t, '{pattern}', chr(1) || '\\1' || chr(3) || '\\2' || chr(1), 'g'), chr(1)) AS parts FROM texts"
+    for n, (kind, pattern, least) in enumerate(_SECRET_KINDS)
+) + """),
+pieces AS (SELECT r, k, kind, least, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM marked WHERE len(parts) > 1),
+sized AS (SELECT *, length(split_part(part, chr(3), 1)) AS n, length(split_part(part, chr(3), 2)) AS inner_n FROM pieces),
+placed AS (SELECT *, sum(n) OVER (PARTITION BY r, k ORDER BY pos) - n AS s FROM sized),
+spans AS (SELECT r, k, kind, s, kind || ':' || s || ':' || (s + n) AS span FROM placed WHERE pos % 2 = 0 AND CASE WHEN k = 0 THEN inner_n ELSE n END >= least),
+found AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  string_agg(span, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY s, k) AS spans FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (r)"""
+
+
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Mentions of licences and licence notices in every document."""
     return licenses.scan(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + " ".join(text.split()).replace("'", "''") + "'"
+
+
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP5_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORDS}') AS ws FROM documents),
+words AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM texts),
+runs AS (SELECT r, p, w, lead(w) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY r ORDER BY p)),
+places AS (SELECT r, p, CASE WHEN w = 'gnu' AND w1 = 'general' AND w2 = 'public' AND w3 = 'license' THEN 'gpl' WHEN w = 'apache' AND w1 = 'license' THEN 'apache'
+  WHEN w = 'cc' AND w1 = 'by' THEN 'cc-by' WHEN w = 'mit' AND w1 = 'license' THEN 'mit' END AS label FROM runs),
+base AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM places WHERE label IS NOT NULL GROUP BY r),
+notices(i, label, key, text) AS (VALUES {", ".join(f"({i}, {_quoted(label)}, {_quoted(key)}, {_quoted(text)})" for i, (label, key, text) in enumerate(licenses.TEMPLATES))}),
+own AS (SELECT i, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS q FROM (SELECT i, regexp_extract_all(lower(text), '{_WORDS}') AS ws FROM notices)),
+held AS (SELECT w, count(DISTINCT r) AS n FROM words WHERE w IN (SELECT w FROM own) GROUP BY w),
+rare AS (SELECT i, w FROM (SELECT i, w, row_number() OVER (PARTITION BY i ORDER BY coalesce(n, 0), w) AS k FROM (SELECT DISTINCT i, w FROM own) LEFT JOIN held USING (w)) WHERE k <= 16),
+sizes AS (SELECT i, count(*) AS c FROM rare GROUP BY i),
+keyed AS (SELECT r, i FROM texts JOIN notices ON contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || key || ' ')),
+hits AS (SELECT keyed.r, own.i, own.w, p - q AS d FROM keyed JOIN rare USING (i) JOIN own USING (i, w) JOIN words ON words.r = keyed.r AND words.w = own.w),
+votes AS (SELECT DISTINCT r, i, w, unnest([floor(d / 8.0) * 8, floor((d + 4) / 8.0) * 8 - 4]) AS b FROM hits),
+cover AS (SELECT r, i, max(share) AS share FROM (SELECT r, i, b, count(*) / max(c) AS share FROM votes JOIN sizes USING (i) GROUP BY r, i, b) WHERE share >= 0.5 GROUP BY r, i),
+every AS (SELECT r, label FROM places WHERE label IS NOT NULL UNION SELECT r, label FROM cover JOIN notices USING (i)),
+labelled AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM every GROUP BY r),
+best AS (SELECT r, max(share) AS share FROM cover GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(greatest(CASE WHEN n_base > 0 THEN 0.5 ELSE 0 END, coalesce(share, 0)) AS DOUBLE) AS score
+FROM texts LEFT JOIN base USING (r) LEFT JOIN labelled USING (r) LEFT JOIN best USING (r)"""
+
+
 def op6_pack_sequences(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in sequences of at most 2048 ids of a public byte-level vocabulary."""
     import public_tokenizers
@@ -92,8 +150,8 @@ QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op2_embedding_duplicates": (op2_embedding_duplicates, OP2_SQL),
     "op3_simhash_duplicates": (op3_simhash_duplicates, None),
-    "op4_secret_scan": (op4_secret_scan, None),
-    "op5_license_scan": (op5_license_scan, None),
+    "op4_secret_scan": (op4_secret_scan, OP4_SQL),
+    "op5_license_scan": (op5_license_scan, OP5_SQL),
     "op6_pack_sequences": (op6_pack_sequences, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_line_duplicates": (op8_line_duplicates, None),
