@@ -11,6 +11,7 @@ from touchline.operators.columns import col, existing
 from touchline.operators.skew import skew_join
 from touchline.session import materialize
 
+# Features of the two similarity models, and the minutes a row needs.
 FIELD_FEATURES = [
     "Min", "MatchesPlayed", "Gls", "Ast", "xG", "xAG", "Shots", "KeyPasses", "CrdY", "CrdR", "Tkl", "Int",
 ]

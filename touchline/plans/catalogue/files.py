@@ -37,7 +37,7 @@ def csv_roundtrip(spark, folder):
     docs = read(spark, folder, "documents").select(
         "doc_id", F.regexp_replace(F.col("text"), r"[^\x20-\x7E\u00A0-\u00FF]", " ").alias("text"), "lang", F.lit('a;"b').alias("Note")
     )
-    docs.write.options(header=True, sep=";", encoding="ISO-8859-1", escape='"').csv(path)
+    writers.write_csv(docs, path, sep=";", encoding="ISO-8859-1")
     back = readers.read_csv(spark, path)
     return back.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.md5(F.trim("text")).alias("text_md5"), "lang", "Note")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.parse import season_start
 from touchline.operators import serving, views
-from touchline.operators.features import per_90, ratio
+from touchline.operators.features import goals_prevented, per_90, ratio
 from touchline.plans.catalogue.tables import SEASON_FACTS, UNION_VIEW, consolidated, read, rounded, season_facts
 
 SUMS = {"goals": "goals_3y", "assists": "assists_3y", "minutes": "minutes_3y"}
@@ -152,7 +152,7 @@ def ratios(spark, folder):
         "l_partkey",
         rounded(per_90(F.col("xg"), F.col("minutes"))).alias("xg_per90"),
         rounded(ratio(F.col("xg"), F.col("conceded"))).alias("xg_per_conceded"),
-        rounded(F.col("xg") - F.col("conceded")).alias("goals_prevented"),
+        rounded(goals_prevented(F.col("xg"), F.col("conceded"))).alias("goals_prevented"),
     )
 
 

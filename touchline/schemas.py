@@ -1,4 +1,4 @@
-"""Schemas of the landed, processed, consolidated and dimensional tables."""
+"""Schemas of the landed, processed and consolidated tables."""
 
 from __future__ import annotations
 
@@ -56,8 +56,8 @@ KEEPER_METRICS = {
     "keepersadv_#OPA/90": "GK_OPA90",
     "keepersadv_AvgDist": "GK_OPA_AvgDist",
 }
+# Column names and their order in the landed and consolidated tables.
 TEXT_COLUMNS = ["Player", "Nation", "Pos", "Squad", "Born"]
-SQUAD_COLUMNS = ["Squad", "stats_Squad", "keepers_Squad", "keepersadv_Squad", "playingtime_Squad", "misc_Squad"]
 FRONT_COLUMNS = ["player_id", "player_name", "club", "Nation", "Pos", "dob", "age", "market_value_eur"]
 FIELD_ORDER = [
     "MatchesPlayed", "Gls", "Ast", "xG", "xAG", "Shots", "SoT", "PassCmp", "PassAtt", "PassCmpPct",
@@ -71,7 +71,7 @@ REDUNDANT_COLUMNS = [
     "Age", "AgeYears", "Born",
 ]
 
-# Whole-number metrics of the consolidated tables; the other metrics are doubles.
+# Whole-number metrics of the consolidated tables; the other metrics are doubles.
 _WHOLE = {
     "Gls", "Ast", "Shots", "SoT", "PassCmp", "PassAtt", "Tkl", "TklW", "Blocks", "Int", "GK_GA", "GK_SoTA",
     "GK_Saves", "GK_CS", "GK_PKAtt", "GK_PKA", "GK_PKsv", "GK_PKm", "GK_PassCmp", "GK_PassAtt", "GK_GKPassAtt",
@@ -91,31 +91,5 @@ def _consolidated(metrics: list[str]) -> T.StructType:
     return _table(**front, **body, **tail)
 
 
-_S, _I, _D, _L, _DAY, _TS = (
-    T.StringType(), T.IntegerType(), T.DoubleType(), T.LongType(), T.DateType(), T.TimestampType(),
-)
-
 FIELD_PLAYERS = _consolidated(FIELD_ORDER)
 GOALKEEPERS = _consolidated(KEEPER_ORDER)
-ROSTER = _table(player_name=_S, club_name=_S, market_value_eur=_L, player_id=_L, dob=_S, age=_I)
-PAGES = _table(page_id=_L, url=_S, html=_S)
-
-PLAYERS = _table(
-    player_uuid=_S, full_name=_S, known_as=_S, dob=_DAY, citizenship=T.ArrayType(_S), height_cm=_I, foot=_S,
-    primary_position=_S, created_at=_TS,
-)
-TEAMS = _table(team_id=_S, team_name=_S, country=_S, created_at=_TS)
-COMPETITIONS = _table(competition_id=_S, competition_name=_S, country=_S)
-SEASONS = _table(season_id=_S, start_date=_DAY, end_date=_DAY)
-PLAYER_XREF = _table(player_uuid=_S, source=_S, source_player_id=_S)
-MARKET_VALUES = _table(player_uuid=_S, as_of_date=_DAY, value_eur=_D, source=_S)
-PLAYER_SEASON_STATS = _table(
-    player_uuid=_S, competition_id=_S, season_id=_S, team_id=_S, minutes=_I, games=_I, starts=_I, goals=_I, assists=_I,
-    xg=_D, xa=_D, xg_per90=_D, xa_per90=_D, shots=_I, key_passes=_I, yellow=_I, red=_I, position=_S,
-)
-GK_SEASON_STATS = _table(
-    player_uuid=_S, competition_id=_S, season_id=_S, team_id=_S, minutes=_I, games=_I, saves=_I, save_pct=_D,
-    goals_against=_I, psxg=_D, goals_prevented=_D, clean_sheets=_I,
-)
-SOURCES = ["fbref", "transfermarkt"]
-POSITIONS = ["GK", "DF", "MF", "FW", "NA"]
