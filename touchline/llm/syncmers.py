@@ -96,6 +96,7 @@ def _points(text: str | None) -> np.ndarray:
 
 
 _NAMES = ["part", "role", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "text"]
+_DIGITS = ["edited_sha256", "fingerprint", "edited_fingerprint"]
 _DONE, _FIRST, _LAST = 0, 1, 2
 
 
@@ -148,7 +149,9 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
         f"part int, role int, doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, text string"
     )
-    walked = materialize(ordered.mapInPandas(_walk, schema), "fingerprints")
+    # Written as bytes, half as long as their digits.
+    packed = ordered.mapInPandas(_walk, schema).withColumns({c: F.unhex(c) for c in _DIGITS})
+    walked = materialize(packed, "fingerprints").withColumns({c: F.lower(F.hex(c)) for c in _DIGITS})
     first = walked.filter(F.col("role") == _FIRST).select("part", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
     # One row per part: which part with rows comes next, the first after the last.
     around = Window.orderBy("part")
