@@ -1,6 +1,7 @@
 """Fingerprints against plain Python."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -64,3 +65,25 @@ def test_anchor_table(make):
     rows = syncmers.anchors(make([(7, text), (8, None)], SCHEMA)).collect()
     where, hashes = syncmers.anchors_of(points(text))
     assert sorted((r.doc_id, r.position, r.anchor) for r in rows) == sorted(zip([7] * len(where), where.tolist(), hashes.view(np.int64).tolist()))
+
+
+def test_a_passage_shared_by_long_texts_is_found():
+    rng = np.random.default_rng(2)
+    passage, *parts = ("".join(map(chr, rng.integers(97, 123, n))) for n in (400, 60_000, 30_000, 50_000, 20_000))
+    one, other = parts[0] + passage + parts[1], parts[2] + passage + parts[3]
+    shared = len(syncmers.anchors_of(points(passage))[0])
+    sizes = [len(syncmers.anchors_of(points(t))[0]) for t in (one, other)]
+    a, b = syncmers.fingerprint_of(points(one)), syncmers.fingerprint_of(points(other))
+    assert len(a) == 10 * sizes[0]
+    assert syncmers.likeness(a, b) == pytest.approx(shared / (sum(sizes) - shared), rel=0.02)
+
+
+@pytest.mark.parametrize("unit", ["long ", "some words that stand twice, ", "ab"])
+def test_likeness_of_repeated_passages_counts_every_shift(unit):
+    rng = np.random.default_rng(5)
+    noise = ["".join(map(chr, rng.integers(97, 123, 300))) for _ in range(3)]
+    one, other = noise[0] + unit * 400 + noise[1], noise[2] + unit * 300 + noise[1]
+    places = [list(zip(h.tolist(), w.tolist())) for w, h in (syncmers.anchors_of(points(t)) for t in (one, other))]
+    shifts, kinds = Counter(q - p for h, p in places[0] for g, q in places[1] if h == g), [Counter(h for h, _ in own) for own in places]
+    wanted = max(shifts.values()) / (kinds[0] | kinds[1]).total()
+    assert syncmers.likeness(*(syncmers.fingerprint_of(points(t)) for t in (one, other))) == wanted

@@ -1,9 +1,11 @@
 """Document fingerprints from closed syncmers.
 
 A k-mer is an anchor if the smallest hash of its s-mers stands at its first or its last place. Whether a k-mer is one
-depends on nothing but itself, so equal passages have equal anchors wherever they stand. A fingerprint holds the anchors
-with the smallest hashes, each with its first position; two fingerprints are alike in the share of the smallest anchors of both
-that occur in both at one common shift.
+depends on nothing but itself, so equal passages have equal anchors wherever they stand. A fingerprint holds all anchors of
+a text in their order, so it grows with the text; two fingerprints are alike in the share of the anchors of both that occur
+in both at one common shift.
+
+Among any K - S + 1 windows in a row one is an anchor, so each anchor's distance from the one before fits one byte.
 
 Defined cases: null counts as empty, an empty text has an empty fingerprint, and a text without an anchor is one anchor as a
 whole; equal fingerprints, empty ones too, have likeness 1; rows with equal ids follow each other in the order of their
@@ -13,7 +15,6 @@ texts' hash, null ids come first; a single row is its own next one; an empty tab
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +25,9 @@ from touchline.llm.common import text_or_empty
 from touchline.session import materialize
 
 K, S = 16, 8
-ANCHORS = 24
 PART_BYTES = 16 << 20
-_HASH_HEX, _PLACE_HEX = 8, 6
-_WIDTH = _HASH_HEX + _PLACE_HEX
+_ENTRY = np.dtype([("gap", "u1"), ("hash", ">u4")])
+_PAIRS = 1 << 20  # pairs of equal anchors that are formed at a time
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -69,26 +69,64 @@ def anchors_of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.zeros(1, np.int64), np.frombuffer(whole, np.uint64)
 
 
-def fingerprint_of(points: np.ndarray, size: int = ANCHORS) -> str:
-    """The anchors with the smallest hashes as hex, hash and position each."""
+def fingerprint_of(points: np.ndarray) -> str:
+    """All anchors in their order as hex: the distance from the one before and 32 bits of the hash each."""
     where, hashes = anchors_of(points)
-    kept, first = np.unique(hashes >> np.uint64(32), return_index=True)
-    return "".join(f"{h:08x}{p & 0xFFFFFF:06x}" for h, p in zip(kept[:size].tolist(), where[first[:size]].tolist()))
+    entries = np.empty(len(where), _ENTRY)
+    entries["gap"], entries["hash"] = np.diff(where, prepend=0), hashes >> np.uint64(32)
+    return entries.tobytes().hex()
+
+
+def _entries(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions, sorted by both."""
+    entries = np.frombuffer(bytes.fromhex(fingerprint), _ENTRY)
+    hashes, where = entries["hash"].astype(np.int64), np.cumsum(entries["gap"], dtype=np.int64)
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], where[order]
 
 
-def _entries(fingerprint: str) -> dict[int, int]:
-    cut = range(0, len(fingerprint), _WIDTH)
-    return {int(fingerprint[i : i + _HASH_HEX], 16): int(fingerprint[i + _HASH_HEX : i + _WIDTH], 16) for i in cut}
+def _runs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes, where each begins, and how often it occurs."""
+    return np.unique(hashes, return_index=True, return_counts=True)
 
 
-def likeness(a: str, b: str, size: int = ANCHORS) -> float:
-    """The share of the smallest anchors of both that are in both at the most common shift."""
+def likeness(a: str, b: str) -> float:
+    """The share of the anchors of both that are in both at the most common shift."""
     if a == b:
         return 1.0
-    left, right = _entries(a), _entries(b)
-    union = sorted(left.keys() | right.keys())[:size]
-    shifts = Counter(right[h] - left[h] for h in union if h in left and h in right)
-    return max(shifts.values(), default=0) / len(union) if union else 1.0
+    (left, left_at), (right, right_at) = _entries(a), _entries(b)
+    if not len(left) or not len(right):
+        return 0.0
+    (l_kinds, l_begin, l_n), (r_kinds, r_begin, r_n) = _runs(left), _runs(right)
+    _, i, j = np.intersect1d(l_kinds, r_kinds, assume_unique=True, return_indices=True)
+    l_begin, l_n, r_begin, r_n = l_begin[i], l_n[i], r_begin[j], r_n[j]
+    union = len(left) + len(right) - int(np.minimum(l_n, r_n).sum())
+    # Matches per shift, counted from the least one. An anchor that repeats in both is summed by a transform of all places.
+    l_size, r_size = int(left_at.max()) + 1, int(right_at.max()) + 1
+    shifts = np.zeros(l_size + r_size - 1, np.int64)
+    points = 1 << (len(shifts) - 1).bit_length()
+    many = l_n * r_n > 8 * points
+    for k in np.flatnonzero(many):
+        own, other = np.zeros(l_size), np.zeros(r_size)
+        own[l_size - 1 - left_at[l_begin[k] : l_begin[k] + l_n[k]]] = 1
+        other[right_at[r_begin[k] : r_begin[k] + r_n[k]]] = 1
+        product = np.fft.irfft(np.fft.rfft(own, points) * np.fft.rfft(other, points), points)
+        shifts += np.rint(product[: len(shifts)]).astype(np.int64)
+    # All others pair by pair: each place on the left with the run on the right.
+    wide = np.repeat(r_n[~many], l_n[~many])
+    mine = np.repeat(l_begin[~many] - (np.cumsum(l_n[~many]) - l_n[~many]), l_n[~many]) + np.arange(len(wide))
+    theirs = np.repeat(r_begin[~many], l_n[~many])
+    ends = np.cumsum(wide)
+    low = 0
+    while low < len(wide):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + _PAIRS, "right")))
+        n = wide[low:high]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found = right_at[np.repeat(theirs[low:high], n) + step] - np.repeat(left_at[mine[low:high]], n) + l_size - 1
+        seen, times = np.unique(found, return_counts=True)
+        shifts[seen] += times
+        low = high
+    return int(shifts.max()) / union
 
 
 def _points(text: str | None) -> np.ndarray:
