@@ -90,3 +90,11 @@ def test_empty_table(make):
     docs = make([], SCHEMA)
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.one_per_group(docs).count() == 0
+
+
+def test_documents_that_share_an_id_each_count(make):
+    rows = [(1, "alpha beta gamma delta"), (1, "quite another text of some words"), (2, "Alpha beta  gamma delta"), (0, "Quite another text of some words")]
+    kept = sorted((r.doc_id, r.text) for r in simhash.one_per_group(make(rows, SCHEMA)).collect())
+    assert kept == [(0, rows[3][1]), (1, rows[0][1])]
+    kept = sorted((r.doc_id, r.text) for r in simhash.one_per_group(make(rows[:3], SCHEMA)).collect())
+    assert kept == [(1, rows[0][1]), (1, rows[1][1])]

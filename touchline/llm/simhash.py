@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import boxed, components, forest, in_blocks, unboxed
+from touchline.llm.common import boxed, components, forest, in_blocks, row_key, unboxed
 from touchline.session import materialize
 
 CELL_ROWS = 256  # fingerprints wanted per cell
@@ -185,14 +185,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
 
 def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; all columns stay. Of rows that agree in id
-    and text one stays."""
+    and text one stays; of rows that agree in the id only, each counts as a document."""
     own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text"))
-    found = near_duplicates(docs.select(own.alias("_own"), "text"), shingle, max_bits, "_own")
-    kept = found.filter(F.col("_own").eqNullSafe(F.col("component_id"))).groupBy(F.col("_own").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    found = near_duplicates(docs.select(F.struct(own.alias("id"), row_key().alias("row")).alias("_own"), "text"), shingle, max_bits, "_own")
+    kept = found.filter(F.col("_own") == F.col("component_id")).groupBy(F.col("_own.row").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = materialize(kept, "kept")
-    chosen = boxed(docs, _own=own, _hash=F.xxhash64("text")).join(kept, F.col("_own") == F.col("_kept"))
+    chosen = boxed(docs, _row=row_key()).join(kept, F.col("_row") == F.col("_kept"))
     once = unboxed(chosen.filter("_rows = 1"), docs.columns)
     if kept.filter("_rows > 1").isEmpty():
         return once
-    single = chosen.filter("_rows > 1").groupBy("_own").agg(F.min_by("_doc", "_hash").alias("_doc"))
+    # Only columns other than id and text can differ.
+    single = chosen.filter("_rows > 1").groupBy("_row").agg(F.first("_doc").alias("_doc"))
     return once.unionByName(unboxed(single, docs.columns))
