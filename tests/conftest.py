@@ -31,7 +31,3 @@ def one(spark):
         return [r[1] for r in sorted(df.select("i", expression(F.col("v")).alias("o")).collect())]
 
     return evaluate
-
-
-def rows(df):
-    return sorted([tuple(r) for r in df.collect()], key=repr)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from conftest import rows
+from gathered import rows
 from touchline.operators import features, knn, market, skew
 
 

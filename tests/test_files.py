@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import rows
+from gathered import rows
 from touchline import session
 from touchline.plans import season_build
 from touchline.sources import pages, readers, writers

@@ -4,7 +4,7 @@ from functools import reduce
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import rows
+from gathered import rows
 from touchline.operators import columns, consolidate, merge
 from touchline.schemas import FIELD_PLAYERS
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from gathered import rows
 from touchline.operators import resolve
 from touchline.operators.resolve import STAGES
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from gathered import rows
 from touchline.functions.parse import season_start
 from touchline.operators import quality, serving, views
 
