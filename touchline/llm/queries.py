@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
+from touchline.llm import conversations, embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -146,6 +146,50 @@ def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, folder, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every conversation after the damage of the contract, and the cheapest repair."""
+    return conversations.repair_digest(conversations.damaged(_table(spark, folder, "conversations")))
+
+
+OP13_SQL = """
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v FROM range(256) AS r(i))),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT)) AS bytes FROM conversations),
+kinds AS (SELECT *, xor(list_reduce(bytes, lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1]), 4294967295), 4294967295) % 20 AS kind FROM keyed, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, left(role, 1) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS p FROM damaged),
+judged AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+  lag(i) OVER (PARTITION BY conv_id ORDER BY p) || i AS pair FROM placed),
+stats AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+  count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n + 1 AS p, {'c': CAST(0 AS BIGINT), 'a': ''} AS s0, {'c': CAST(10 AS BIGINT), 'a': 'II'} AS s1, {'c': CAST(5 AS BIGINT), 'a': 'I'} AS s2, {'c': CAST(0 AS BIGINT), 'a': ''} AS s3 FROM stats
+  UNION ALL
+  SELECT conv_id, p, least(b0, {'c': 5 + n2.c, 'a': 'I' || n2.a}), least(b1, {'c': 5 + n2.c, 'a': 'I' || n2.a}), n2, least(b3, {'c': 5 + b2.c, 'a': 'I' || b2.a}) FROM (
+    SELECT *, least(b2, {'c': 5 + b3.c, 'a': 'I' || b3.a}) AS n2 FROM (
+      SELECT s.conv_id, r.p,
+        CASE WHEN must THEN d0 WHEN i = 's' THEN least(d0, toU, {'c': t + s1.c, 'a': 'K' || s1.a}) WHEN i = 'u' THEN least(d0, toU, keepU) ELSE least(d0, toU) END AS b0,
+        CASE WHEN must THEN d1 WHEN i = 'u' THEN least(d1, toU, keepU) ELSE least(d1, toU) END AS b1,
+        CASE WHEN must THEN d2 WHEN i = 'a' THEN least(d2, toA, {'c': t + s3.c, 'a': 'K' || s3.a}) ELSE least(d2, toA) END AS b2,
+        CASE WHEN must THEN d3 WHEN i = 'u' THEN least(d3, toU, keepU) ELSE least(d3, toU) END AS b3
+      FROM (SELECT *, {'c': 2 + s0.c, 'a': 'D' || s0.a} AS d0, {'c': 2 + s1.c, 'a': 'D' || s1.a} AS d1, {'c': 2 + s2.c, 'a': 'D' || s2.a} AS d2, {'c': 2 + s3.c, 'a': 'D' || s3.a} AS d3 FROM steps) AS s
+      JOIN (SELECT conv_id AS k, p, i, fault IN ('b', 'd') AS must, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS t FROM judged) AS r ON s.conv_id IS NOT DISTINCT FROM r.k AND r.p = s.p - 1,
+      LATERAL (SELECT {'c': 1 + t + s2.c, 'a': 'R' || s2.a} AS toU, {'c': t + s2.c, 'a': 'K' || s2.a} AS keepU, {'c': 1 + t + s3.c, 'a': 'R' || s3.a} AS toA) AS o))),
+best AS (SELECT conv_id, s0.c AS cost, s0.a AS audit, string_split(s0.a, '') AS letters FROM steps WHERE p = 1),
+edits AS (SELECT conv_id, len(list_filter(letters, lambda x: x <> 'D')) AS kept, unnest(letters) AS e, generate_subscripts(letters, 1) AS step FROM best WHERE audit <> ''),
+counted AS (SELECT *, count(*) FILTER (e <> 'I') OVER w AS p, count(*) FILTER (e <> 'D') OVER w AS place FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY step)),
+repaired AS (SELECT c.conv_id, string_agg(CASE WHEN e = 'K' THEN j.role WHEN (place - kept % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY place) AS whole
+  FROM counted AS c LEFT JOIN judged AS j ON c.conv_id IS NOT DISTINCT FROM j.conv_id AND c.p = j.p WHERE e <> 'D' GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN stats ON o.conv_id IS NOT DISTINCT FROM stats.conv_id
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN repaired ON o.conv_id IS NOT DISTINCT FROM repaired.conv_id"""
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, None),
     "op2_embedding_duplicates": (op2_embedding_duplicates, OP2_SQL),
@@ -157,6 +201,7 @@ QUERIES = {
     "op8_line_duplicates": (op8_line_duplicates, None),
     "op9_suffix_tree_scores": (op9_suffix_tree_scores, None),
     "op10_syncmer_fingerprints": (op10_syncmer_fingerprints, None),
+    "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
 
 
