@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import conversations, embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
+from touchline.llm import bins, conversations, embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -146,6 +146,13 @@ def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, folder, "documents"))
 
 
+def op12_pack_few_sequences(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents in few sequences of at most 1024 ids of a public byte-level vocabulary."""
+    import public_tokenizers
+
+    return bins.pack_digest(_table(spark, folder, "documents"), tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults of every conversation after the damage of the contract, and the cheapest repair."""
     return conversations.repair_digest(conversations.damaged(_table(spark, folder, "conversations")))
@@ -201,6 +208,7 @@ QUERIES = {
     "op8_line_duplicates": (op8_line_duplicates, None),
     "op9_suffix_tree_scores": (op9_suffix_tree_scores, None),
     "op10_syncmer_fingerprints": (op10_syncmer_fingerprints, None),
+    "op12_pack_few_sequences": (op12_pack_few_sequences, None),
     "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
 
