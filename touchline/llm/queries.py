@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import bins, conversations, embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity
+from touchline.llm import bins, conversations, embeddings, licenses, lines, mixing, packing, secrets, simhash, suffix_tree, syncmers, toxicity, whitening
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -146,6 +146,11 @@ def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, folder, "documents"))
 
 
+def op11_whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """The 16 main directions of all embeddings, each vector's place along them in units of their deviation."""
+    return whitening.whiten(_table(spark, folder, "embeddings"), 16)
+
+
 def op12_pack_few_sequences(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     """All documents in few sequences of at most 1024 ids of a public byte-level vocabulary."""
     import public_tokenizers
@@ -208,6 +213,7 @@ QUERIES = {
     "op8_line_duplicates": (op8_line_duplicates, None),
     "op9_suffix_tree_scores": (op9_suffix_tree_scores, None),
     "op10_syncmer_fingerprints": (op10_syncmer_fingerprints, None),
+    "op11_whitened_embeddings": (op11_whitened_embeddings, None),
     "op12_pack_few_sequences": (op12_pack_few_sequences, None),
     "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
