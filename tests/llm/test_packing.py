@@ -89,5 +89,10 @@ def test_ids_are_those_of_the_tokenizer():
         assert own.ids(text) == other.encode(text, add_special_tokens=False).ids
 
 
+def test_long_runs_of_blanks(make):
+    rows = [(1, " " * 3_000_000), (2, "a" + "\n" * 600_000 + "b"), (3, "x " * 100_000)]
+    check(rows, packing.pack(make(rows, SCHEMA), PATH, parts=2).collect())
+
+
 def test_empty_table(make):
     assert packing.pack(make([], SCHEMA), PATH).count() == 0

@@ -16,6 +16,7 @@ after the other in the order of their texts' hash; an empty table gives no rows;
 
 from __future__ import annotations
 
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ SENTENCE_PENALTY, STRETCH_PENALTY, SEQUENCE_COST = 6.0, 24.0, 4.0
 STRETCH = 64
 HORIZON = 262_144
 PART_BYTES = 16 << 20
+BLANK_RUN = 100_000
+_BLANKS = re.compile(rf"\s{{{BLANK_RUN}}}")
 _SEQUENCES = 1 << 40  # sequence numbers per part
 # The special token of the vocabulary and the ends of sentences.
 SPECIAL = "<|endoftext|>"
@@ -37,7 +40,7 @@ SENTENCE_ENDS = (".", "!", "?", "\n", "。", "！", "？", '."', '!"', '?"', ".)
 
 class Encoder:
     """Byte-level BPE from the text of a ``tokenizers`` file. The merges run in tiktoken, which gives the same ids faster;
-    texts with the special token go through ``tokenizers`` itself."""
+    texts with the special token or a run of very many blanks, for which its pattern matcher has no stack, go through ``tokenizers`` itself."""
 
     def __init__(self, file_text: str):
         import json
@@ -55,7 +58,7 @@ class Encoder:
             self.ends_sentence[i] = token.endswith(ends)
 
     def ids(self, text: str) -> list[int]:
-        if SPECIAL not in text:
+        if SPECIAL not in text and not (len(text) > BLANK_RUN and _BLANKS.search(text)):
             return self._fast.encode_ordinary(text)
         if self._whole is None:
             from tokenizers import Tokenizer
