@@ -17,6 +17,10 @@ SETTINGS = {
 }
 
 
+# Bytes of a batch that goes to Python: a worker holds a few of them, decoded, whatever the length of the texts.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SETTINGS[BATCH_BYTES] = str(8 << 20)
+
 # Spark's setting to remove an execution's shuffle files at its end.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[str] = []
@@ -40,6 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/touchline-scratch"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of bounded bytes also in a session that was not built here; a smaller bound stays."""
+    now = spark.conf.get(BATCH_BYTES, None)
+    size = int(now.rstrip("b")) if now and now.rstrip("b").lstrip("-").isdigit() else -1
+    if not 0 < size <= int(SETTINGS[BATCH_BYTES]):
+        spark.conf.set(BATCH_BYTES, SETTINGS[BATCH_BYTES])
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, remembered for ``discard_scratch``."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
