@@ -65,6 +65,24 @@ def test_folding():
     assert toxicity.fold(None) == toxicity.fold("...") == " "
 
 
+def test_scores_against_a_plain_scan(spark, make):
+    terms = {" bad ": 2.0, " bad": 1.5, " evil": 3.0, " evils ": 0.5, " a ": 1.0}
+    lexicon = toxicity.Lexicon(terms, [" not bad ", " so evil ", " evil a "], (-4.0, 1.0, 0.7))
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["bad", "b4d", "badly", "evil", "3vils", "a", "not", "so", "Évil", "x"]) for _ in range(rng.randint(0, 40)))) for i in range(300)]
+    rows += [(400, "not bad " * 100_000 + "evil"), (401, "evil a so bad " * 50_000), (402, "b" * 300_000)]  # as many exceptions as hits
+    scores = {r.doc_id: r.s for r in make(rows, SCHEMA).select("doc_id", toxicity.score("text", lexicon).alias("s")).collect()}
+    for doc_id, text in rows[:300]:
+        folded, total = toxicity.fold(text), 0.0
+        for at in range(len(folded)):
+            weights = [w for t, w in terms.items() if folded.startswith(t, at)]
+            spared = any(folded.startswith(e, b) for e in lexicon.exceptions for b in range(max(0, at - len(e) + 2), at + 1))  # up to its last space
+            total += max(weights, default=0.0) * (not spared)
+        x = -4.0 + np.log1p(total) + 0.7 * np.log1p(1000 * total / (len(folded.split()) + 21 if folded != " " else 21))
+        assert abs(scores[doc_id] - 1 / (1 + np.exp(-x))) < 1e-9
+    assert scores[400] > scores[402] and scores[401] > 0.5
+
+
 def test_few_or_no_labels(spark, make):
     docs = make([(1, "a b"), (2, None)], SCHEMA)
     for labels, wanted in (([], 0.0), ([(1, 1), (3, 1)], 1.0)):

@@ -7,7 +7,7 @@ are exceptions and cancel the hits inside them. A document's score is a logistic
 same divided by its length, fitted on labelled rows that the lexicon was not learned from.
 
 The model is learned from at most ``SAMPLE_ROWS`` labelled documents, those with the smallest hash of their id, and holds
-at most ``LEXICON_TERMS`` terms; every document is scored over its whole text.
+all their terms that reach ``MIN_GAIN``; every document is scored over its whole text.
 
 Defined cases: null and empty texts have no hits and get the score of a text without hits; labels that are null, or whose
 document is missing, are not used; of several labels of one document the largest counts; repeated rows are scored alike;
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,9 +27,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.session import bound_batches, materialize
+
 SAMPLE_ROWS = 20_000
-LEXICON_TERMS = 5_000
-CANDIDATES = 20_000
 PREFIXES = (4, 5, 6, 7)
 MIN_GAIN = 20.0  # G statistic that a term must reach
 EXCEPTION_ROWS, EXCEPTION_SHARE = 5, 0.25
@@ -61,8 +62,7 @@ def _terms(folded: str) -> set[str]:
     """Words as " word " and word beginnings as " begin"."""
     found = set()
     for word in set(folded.split()):
-        if len(word) <= 24:
-            found.add(f" {word} ")
+        found.add(f" {word} ")
         found.update(f" {word[:n]}" for n in PREFIXES if n < len(word))
     return found
 
@@ -95,7 +95,11 @@ class Lexicon:
                 spared.append((start, end))
             else:
                 found[start] = max(found.get(start, 0.0), weight)
-        return {s: w for s, w in found.items() if not any(a <= s < b for a, b in spared)} if spared else found
+        starts, reach = [], []  # the exceptions by their start, and how far those so far reach
+        for start, end in sorted(spared):
+            starts.append(start)
+            reach.append(max(end, reach[-1]) if reach else end)
+        return {s: w for s, w in found.items() if not (i := bisect_right(starts, s)) or reach[i - 1] <= s}
 
     def features(self, text: str | None, machine) -> tuple[float, float]:
         folded = fold(text)
@@ -137,7 +141,7 @@ def _gain_and_weight(toxic: int, other: int) -> tuple[Column, Column]:
 def _candidates(counts: DataFrame, toxic: int, other: int) -> list[str]:
     gain, weight = _gain_and_weight(toxic, other)
     strong = counts.filter((F.col("t") > 0) & (weight > 1.0) & (gain >= MIN_GAIN))
-    return [r.term for r in strong.orderBy(gain.desc(), "term").limit(CANDIDATES).collect()]
+    return [r.term for r in strong.orderBy(gain.desc(), "term").collect()]
 
 
 def _in_contexts(sample: DataFrame, terms: list[str]) -> DataFrame:
@@ -167,7 +171,7 @@ def _strongest(sample: DataFrame, toxic: int, other: int) -> dict[str, float]:
         return {}
     gain, weight = _gain_and_weight(toxic, other)
     strong = _in_contexts(sample, terms).filter((F.col("t") > 0) & (weight > 1.0) & (gain >= MIN_GAIN))
-    rows = strong.select("term", weight.alias("w"), gain.alias("gain")).orderBy(F.desc("gain"), "term").limit(LEXICON_TERMS).collect()
+    rows = strong.select("term", weight.alias("w")).collect()
     kept = {}
     for row in sorted(rows, key=lambda r: (len(r.term), r.term)):
         shorter = [kept[row.term[:i]] for i in range(2, len(row.term)) if row.term[:i] in kept]
@@ -196,7 +200,7 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon) -> list[str]:
     found = sample.mapInPandas(around, "phrase string, label int, n long").groupBy("phrase")
     rows = found.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("t"))
     harmless = rows.filter((F.col("n") >= EXCEPTION_ROWS) & (F.col("t") <= F.col("n") * EXCEPTION_SHARE))
-    return [r.phrase for r in harmless.orderBy(F.desc("n"), "phrase").limit(LEXICON_TERMS).collect()]
+    return [r.phrase for r in harmless.select("phrase").collect()]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -215,13 +219,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, exceptions: tuple[str, ...] = ()) -> Lexicon:
     """Learns from documents (doc_id, text) whose labels (doc_id, toxic) satisfy ``learn``; four fifths of them give the
     lexicon, the others the coefficients. ``exceptions`` are phrases that never count."""
+    bound_batches(docs.sparkSession)
     chosen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(learn)
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(11))
     chosen = chosen.withColumn("_order", order).orderBy("_order", "doc_id").limit(SAMPLE_ROWS)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"), F.pmod("_order", F.lit(5)).alias("fold"))
     # At most SAMPLE_ROWS ids, so the join needs no shuffle of the texts.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold").persist()
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold")
+    sample = materialize(sample, "labelled")
     sizes = {r.toxic: r["count"] for r in sample.filter("fold > 0").groupBy("toxic").count().collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon(exceptions=[f" {' '.join(fold(p).split())} " for p in exceptions if fold(p).strip()])
@@ -236,7 +242,6 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, exceptions: tuple[s
     elif len(held):
         share = float(held.toxic.mean())
         lexicon.coefficients = (float(np.log((share + 1e-9) / (1 - share + 1e-9))), 0.0, 0.0)
-    sample.unpersist()
     return lexicon
 
 
