@@ -15,14 +15,16 @@ texts' hash, null ids come first; a single row is its own next one; an empty tab
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm.common import text_or_empty
-from touchline.session import materialize
+from touchline.session import bound_batches
 
 K, S = 16, 8
 PART_BYTES = 16 << 20
@@ -133,9 +135,7 @@ def _points(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-_NAMES = ["part", "role", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "text"]
-_DIGITS = ["edited_sha256", "fingerprint", "edited_fingerprint"]
-_DONE, _FIRST, _LAST = 0, 1, 2
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
 def _compare(doc_id, text: str, print_: str, next_text: str, next_print: str) -> tuple:
@@ -147,68 +147,62 @@ def _compare(doc_id, text: str, print_: str, next_text: str, next_print: str) ->
     return doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), print_, own, likeness(print_, own), likeness(print_, next_print)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=object) for i, n in enumerate(_NAMES)})
+def _walk():
+    """Compares the rows of sorted parts with their next ones. A part ends with the first row of the part after it."""
 
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, rows = None, []
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            for part, doc_id, text, guest in zip(*(c.to_pylist() for c in batch.columns)):
+                own = fingerprint_of(_points(text))
+                if before is not None:
+                    rows.append(_compare(*before, text, own))
+                before = None if guest else (doc_id, text, own)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind if n == "doc_id" else None) for n, c in zip(_NAMES, zip(*rows))], _NAMES)
+                rows = []
 
-def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Compares the rows of a sorted part with their next ones; the first and the last row are handed on with their texts."""
-    from pyspark import TaskContext
+    return walk
 
-    part, before, rows = TaskContext.get().partitionId(), None, []
-    for frame in frames:
-        for doc_id, text in zip(frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None), frame["text"]):
-            own = fingerprint_of(_points(text))
-            if before is None:
-                rows.append((part, _FIRST, doc_id, None, None, own, None, None, None, text))
-            else:
-                rows.append((part, _DONE, *_compare(*before, text, own), None))
-            before = (doc_id, text, own)
-        yield _frame(rows)
-        rows = []
-    if before is not None:
-        yield _frame([(part, _LAST, before[0], None, None, before[2], None, None, None, before[1])])
+
+def _part_of(first: list[tuple]):
+    """The part of a row by its key: the last one whose first row has no larger key. Null ids, as zeros that are not known,
+    come before all others."""
+
+    @F.pandas_udf("int")
+    def udf(known: pd.Series, ids: pd.Series, order: pd.Series) -> pd.Series:
+        return pd.Series([max(0, bisect_right(first, key) - 1) for key in zip(known, ids, order)], dtype="int32")
+
+    return udf
 
 
 def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Per row, in the order of ids: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Rows are sorted by ranges of ids and walked part by part; the last row of a part meets the first of the next part in
-    a join of those few rows.
+    The keys of all rows, id and hash of the text, are sorted into parts; the first key of each part, one for some
+    megabytes of text, settles the parts of the texts. A part gets the first row of the part after it as a guest, so that
+    every row meets its next one while its part streams by, and the texts are shuffled once and no fingerprint is kept.
     """
+    bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
+    texts = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("order", F.xxhash64("text"))
     if parts is None:
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = max(1, -(-size // PART_BYTES))
-    ordered = texts.withColumn("_order", F.xxhash64("text")).repartitionByRange(int(parts), "doc_id", "_order")
-    ordered = ordered.sortWithinPartitions("doc_id", "_order").select("doc_id", "text")
-    schema = (
-        f"part int, role int, doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double, text string"
-    )
-    # Written as bytes, half as long as their digits.
-    packed = ordered.mapInPandas(_walk, schema).withColumns({c: F.unhex(c) for c in _DIGITS})
-    walked = materialize(packed, "fingerprints").withColumns({c: F.lower(F.hex(c)) for c in _DIGITS})
-    first = walked.filter(F.col("role") == _FIRST).select("part", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
-    # One row per part: which part with rows comes next, the first after the last.
-    around = Window.orderBy("part")
-    following = first.select("part").withColumn(
-        "next_part", F.coalesce(F.lead("part").over(around), F.first("part").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    )
-    last = walked.filter(F.col("role") == _LAST).select("part", "doc_id", "text", "fingerprint").join(following, "part")
-    pairs = last.join(first.withColumnRenamed("part", "next_part"), "next_part")
-    names = _NAMES[2:-1]
-
-    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids = frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None)
-            rows = [_compare(*row) for row in zip(ids, frame["text"], frame["fingerprint"], frame["next_text"], frame["next_print"])]
-            yield pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=object) for i, n in enumerate(names)})
-
-    wanted = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in walked.select(*names).schema)
-    closed = pairs.select("doc_id", "text", "fingerprint", "next_text", "next_print").mapInPandas(finish, wanted)
-    return walked.filter(F.col("role") == _DONE).select(*names).unionByName(closed)
+    known, number = F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0).cast(kind)).alias("number")
+    least = F.min(F.struct(known, number, "order"))
+    ranged = texts.select("doc_id", "order").repartitionByRange(int(parts), "doc_id", "order")
+    found = ranged.groupBy(F.spark_partition_id()).agg(least.alias("least")).collect()
+    first = sorted(tuple(r.least) for r in found)
+    dealt = texts.withColumn("part", _part_of(first)(known, number, "order"))
+    begins = texts.sparkSession.createDataFrame([(i if k else None, o, (n - 1) % len(first)) for n, (k, i, o) in enumerate(first)], f"_id {kind}, _order long, _part int")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("order") == F.col("_order"))
+    guests = texts.join(begins, same).groupBy("doc_id", "order", F.col("_part").alias("part")).agg(F.min("text").alias("text"))
+    both = dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    ordered = both.repartition(max(1, len(first)), "part").sortWithinPartitions("part", "guest", "doc_id", "order")
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return ordered.select("part", "doc_id", "text", "guest").mapInArrow(_walk(), schema)
 
 
 def anchors(docs: DataFrame) -> DataFrame:
