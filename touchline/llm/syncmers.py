@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.common import text_or_empty
 from touchline.session import bound_batches
@@ -167,12 +167,14 @@ def _walk():
 
 
 def _part_of(first: list[tuple]):
-    """The part of a row by its key: the last one whose first row has no larger key. Null ids, as zeros that are not known,
-    come before all others."""
+    """The part of a row by its key, the last one whose first row has no larger key, and whether the row is that first one.
+    Null ids, as zeros that are not known, come before all others."""
 
-    @F.pandas_udf("int")
-    def udf(known: pd.Series, ids: pd.Series, order: pd.Series) -> pd.Series:
-        return pd.Series([max(0, bisect_right(first, key) - 1) for key in zip(known, ids, order)], dtype="int32")
+    @F.pandas_udf("part int, leads boolean")
+    def udf(known: pd.Series, ids: pd.Series, order: pd.Series) -> pd.DataFrame:
+        keys = list(zip(known, ids, order))
+        parts = [max(0, bisect_right(first, key) - 1) for key in keys]
+        return pd.DataFrame({"part": pd.Series(parts, dtype="int32"), "leads": pd.Series([first[p] == key for p, key in zip(parts, keys)], dtype=bool)})
 
     return udf
 
@@ -195,11 +197,14 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     ranged = texts.select("doc_id", "order").repartitionByRange(int(parts), "doc_id", "order")
     found = ranged.groupBy(F.spark_partition_id()).agg(least.alias("least")).collect()
     first = sorted(tuple(r.least) for r in found)
-    dealt = texts.withColumn("part", _part_of(first)(known, number, "order"))
-    begins = texts.sparkSession.createDataFrame([(i if k else None, o, (n - 1) % len(first)) for n, (k, i, o) in enumerate(first)], f"_id {kind}, _order long, _part int")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("order") == F.col("_order"))
-    guests = texts.join(begins, same).groupBy("doc_id", "order", F.col("_part").alias("part")).agg(F.min("text").alias("text"))
-    both = dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    dealt = texts.withColumn("_p", _part_of(first)(known, number, "order"))
+
+    def place(part: Column, guest: bool) -> Column:
+        return F.struct(part.cast("int").alias("part"), F.lit(guest).alias("guest"))
+
+    own, before = place(F.col("_p.part"), False), place(F.pmod(F.col("_p.part") - 1, F.lit(max(1, len(first)))), True)
+    places = F.explode(F.when(F.col("_p.leads"), F.array(own, before)).otherwise(F.array(own))).alias("_at")
+    both = dealt.select("doc_id", "text", "order", places).select("doc_id", "text", "order", "_at.part", "_at.guest")
     ordered = both.repartition(max(1, len(first)), "part").sortWithinPartitions("part", "guest", "doc_id", "order")
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.select("part", "doc_id", "text", "guest").mapInArrow(_walk(), schema)
