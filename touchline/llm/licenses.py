@@ -1,11 +1,13 @@
 """Licence scans over a positional index of rare template words, with DataFrame functions only.
 
-Templates are licence notices. Of each template the words with the highest inverse document frequency over the scanned
-documents are indexed with their positions. A document's words are looked up there; every hit votes for the place where
-the template would begin. A template is found where enough of its rare words stand in their relative positions (up to
-``SLACK`` words apart) and the document holds its mandatory key phrase. Besides, plain mentions of licences are counted.
+Templates are licence notices. Their words that at most one document in ``COMMON`` holds are indexed with their positions.
+Of a document's words that a template has, those with the highest inverse document frequency over the scanned documents, at
+most ``RARE_WORDS``, are looked up there; every hit votes for the place where the template would begin. A template is found
+where enough of the words looked up stand in their relative positions (up to ``SLACK`` words apart) and the document holds its
+mandatory key phrase, which is verified last. As only words that the document has are looked up, a notice that breaks off is
+found like a whole one. Besides, plain mentions of licences are counted.
 
-Words are runs of a-z, 0-9 and characters beyond ASCII, of the lower-cased text.
+Words are runs of a-z, 0-9 and characters beyond ASCII, of the text with A-Z in lower case.
 
 Defined cases: null and empty texts have no words, no labels and score 0; rows that agree in id and text get equal results;
 of templates that fit at several places the best counts; an empty table gives no rows; other columns are not read.
@@ -17,10 +19,12 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import row_key, text_or_empty
+from touchline.llm.common import ascii_lower, row_key, text_or_empty
 from touchline.session import materialize
 
 RARE_WORDS = 16
+LEAST_WORDS = 6  # in their place
+COMMON = 4
 SLACK = 4
 COVERAGE = 0.5
 MENTION_SCORE = 0.5
@@ -71,12 +75,12 @@ either in source code form or as a compiled binary, for any purpose, commercial
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in re.split(SEPARATORS, text.lower()) if w]
+    return [w for w in re.split(SEPARATORS, re.sub("[A-Z]+", lambda m: m[0].lower(), text)) if w]
 
 
 def spaced(text: Column | str) -> Column:
     """The words of a text, each between two spaces of its own: " a  b " for two words, empty for none."""
-    wide = F.regexp_replace(F.concat(F.lit(" "), F.lower(text_or_empty(text)), F.lit(" ")), SEPARATORS, "  ")
+    wide = F.regexp_replace(F.concat(F.lit(" "), ascii_lower(text_or_empty(text)), F.lit(" ")), SEPARATORS, "  ")
     return F.substring(wide, F.lit(2), F.length(wide) - 2)
 
 
@@ -92,6 +96,12 @@ def _split(words: Column) -> Column:
     return F.split(F.substring(words, F.lit(2), F.length(words) - 2), "  ")
 
 
+def _with_words(docs: DataFrame, *others: Column | str) -> DataFrame:
+    """The words of every row as ``_words``, beside ``others``. They come out of a generator, through which Spark pushes no
+    filter and into which it folds no expression, so that the text is split once however often its words are asked for."""
+    return docs.select(*others, F.explode(F.array(spaced("text"))).alias("_words"))
+
+
 def mentions(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Per row: doc_id, key, n_words, n_base, first_word, last_word, base (labels of the phrases found, sorted)."""
     words, found = F.col("_words"), []
@@ -102,7 +112,7 @@ def mentions(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
         last = _count(words) - _count(F.substring_index(words, _spaced(phrase), -1)) - len(phrase.split())
         place = F.struct(times.alias("n"), first.alias("first"), last.alias("last"), F.lit(label).alias("label"))
         found.append(F.when(F.contains(words, wanted), place))
-    rows = docs.select("doc_id", row_key().alias("key"), spaced("text").alias("_words"))
+    rows = _with_words(docs, "doc_id", row_key().alias("key"))
     rows = rows.select("doc_id", "key", _count(words).alias("n_words"), F.array_compact(F.array(*found)).alias("_found"))
     total = F.aggregate(F.transform("_found", lambda f: f["n"]), F.lit(0).cast("long"), lambda a, n: a + n)
     return rows.select(
@@ -113,44 +123,49 @@ def mentions(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
     )
 
 
-def rare_words(docs: DataFrame, templates=TEMPLATES) -> dict[int, list[str]]:
-    """Per template its words that the fewest documents hold. The vocabulary is that of the templates."""
+def rare_words(docs: DataFrame, templates=TEMPLATES) -> list[str]:
+    """The words of the templates that some but few of the documents hold, the rarest first."""
     vocabulary = sorted({w for _, _, text in templates for w in words_of(text)})
     held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), _split(F.col("_words")))
-    counts = docs.select(spaced("text").alias("_words")).select(F.explode(held).alias("word")).groupBy("word").count()
-    documents = {r.word: r["count"] for r in counts.collect()}  # no more rows than template words
-    return {
-        i: sorted(set(words_of(text)), key=lambda w: (documents.get(w, 0), w))[:RARE_WORDS]
-        for i, (_, _, text) in enumerate(templates)
-    }
+    rows = _with_words(docs).select(F.explode(F.array_append(held, F.lit(""))).alias("word"))  # "" counts the documents
+    documents = {r.word: r["count"] for r in rows.groupBy("word").count().collect()}  # no more rows than template words
+    total = documents.pop("", 0)
+    return sorted((w for w, n in documents.items() if n * COMMON <= total), key=lambda w: (documents[w], w))
 
 
 def template_matches(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """Templates found: key, template (its number), begin (about the word where it starts), coverage (share of its rare
-    words in place)."""
-    chosen = rare_words(docs, templates)
-    postings = [
-        (word, i, at, 1.0 / len(chosen[i]))
-        for i, (_, _, text) in enumerate(templates)
-        for at, word in enumerate(words_of(text))
-        if word in chosen[i]
-    ]
+    """Templates found: key, template (its number), begin (about the word where it starts), coverage (share of the words
+    looked up that are in place)."""
+    rare = rare_words(docs, templates)
+    own = [words_of(text) for _, _, text in templates]
+    postings = [(i, word, at) for i, words in enumerate(own) for at, word in enumerate(words) if word in rare]
     spark = docs.sparkSession
-    index = spark.createDataFrame(postings, "word string, template int, at int, share double")
-    rare = F.array(*[F.lit(w) for w in sorted({p[0] for p in postings})])
-    keys = F.array_compact(F.array(*[F.when(F.contains("_words", F.lit(_spaced(k))), F.lit(i)) for i, (_, k, _) in enumerate(templates)]))
-    rows = docs.select(row_key().alias("key"), spaced("text").alias("_words")).withColumn("phrases", keys)
-    # A template needs its key phrase wherever its words stand, so texts without any go first.
-    rows = rows.filter(F.size("phrases") > 0).select("key", "phrases", _split(F.col("_words")).alias("words"))
-    rows = rows.filter(F.arrays_overlap("words", rare)).select("key", "phrases", F.posexplode("words").alias("place", "word"))
-    # The index has one row per template word: a fixed table.
-    hits = rows.join(F.broadcast(index), "word").filter(F.array_contains("phrases", F.col("template")))
-    begin = F.col("place") - F.col("at")
-    width = 2 * SLACK
+    index = spark.createDataFrame(postings, "template int, word string, at int")  # a row per template word: a fixed table
+    order = [[w for w in rare if w in words] for words in own]
+    held = F.array_intersect(_split(F.col("_words")), F.array(*[F.lit(w) for w in rare]).cast("array<string>"))
+    rows = _with_words(docs, row_key().alias("key")).withColumn("held", held).filter(F.size("held") >= LEAST_WORDS)
+
+    def chosen(i: int) -> Column:
+        """The rarest words of template ``i`` that the document has."""
+        of_both = F.array_intersect(F.array(*[F.lit(w) for w in order[i]]).cast("array<string>"), F.col("held"))
+        return F.struct(F.lit(i).alias("template"), F.slice(of_both, 1, RARE_WORDS).alias("words"))
+
+    wanted = F.filter(F.array(*[chosen(i) for i in range(len(templates))]), lambda c: F.size(c["words"]) >= LEAST_WORDS)
+    rows = rows.withColumn("wanted", wanted).filter(F.size("wanted") > 0)
+    rows = materialize(rows.select("key", "_words", "wanted").dropDuplicates(["key"]), "licence-words")
+    placed = rows.select("key", "wanted", F.posexplode(_split(F.col("_words"))).alias("place", "word"))
+    hits = placed.filter(F.col("word").isin(rare)).join(F.broadcast(index), "word")
+    looked_up = F.filter("wanted", lambda c: (c["template"] == F.col("template")) & F.array_contains(c["words"], F.col("word")))
+    begin, width = F.col("place") - F.col("at"), 2 * SLACK
     windows = F.array_distinct(F.array(F.floor(begin / width) * width, F.floor((begin + SLACK) / width) * width - SLACK))
-    votes = hits.select("key", "template", "word", "share", F.explode(windows).alias("begin")).distinct()
-    aligned = votes.groupBy("key", "template", "begin").agg(F.sum("share").alias("coverage")).filter(F.col("coverage") >= COVERAGE)
-    return aligned.groupBy("key", "template").agg(F.max("coverage").alias("coverage"), F.min("begin").alias("begin"))
+    hits = hits.withColumn("_n", F.size(F.get(looked_up, F.lit(0))["words"])).filter("_n > 0")
+    votes = hits.select("key", "template", "word", "_n", F.explode(windows).alias("begin")).distinct()
+    aligned = votes.groupBy("key", "template", "begin").agg(F.count(F.lit(1)).alias("_in_place"), F.min("_n").alias("_n"))
+    aligned = aligned.filter((F.col("_in_place") >= LEAST_WORDS) & (F.col("_in_place") >= COVERAGE * F.col("_n")))
+    best = aligned.groupBy("key", "template").agg(F.max(F.col("_in_place") / F.col("_n")).alias("coverage"), F.min("begin").alias("begin"))
+    phrases = F.array(*[F.lit(_spaced(k)) for _, k, _ in templates])
+    verified = best.join(rows.select("key", "_words"), "key").filter(F.contains("_words", F.get(phrases, F.col("template"))))
+    return verified.select("key", "template", "begin", "coverage")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES) -> DataFrame:

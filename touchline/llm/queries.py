@@ -89,7 +89,7 @@ def _quoted(text: str) -> str:
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP5_SQL = f"""
-WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORDS}') AS ws FROM documents),
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws FROM documents),
 words AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM texts),
 runs AS (SELECT r, p, w, lead(w) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY r ORDER BY p)),
 places AS (SELECT r, p, CASE WHEN w = 'gnu' AND w1 = 'general' AND w2 = 'public' AND w3 = 'license' THEN 'gpl' WHEN w = 'apache' AND w1 = 'license' THEN 'apache'
@@ -99,12 +99,13 @@ base AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word
 notices(i, label, key, text) AS (VALUES {", ".join(f"({i}, {_quoted(label)}, {_quoted(key)}, {_quoted(text)})" for i, (label, key, text) in enumerate(licenses.TEMPLATES))}),
 own AS (SELECT i, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS q FROM (SELECT i, regexp_extract_all(lower(text), '{_WORDS}') AS ws FROM notices)),
 held AS (SELECT w, count(DISTINCT r) AS n FROM words WHERE w IN (SELECT w FROM own) GROUP BY w),
-rare AS (SELECT i, w FROM (SELECT i, w, row_number() OVER (PARTITION BY i ORDER BY coalesce(n, 0), w) AS k FROM (SELECT DISTINCT i, w FROM own) LEFT JOIN held USING (w)) WHERE k <= 16),
-sizes AS (SELECT i, count(*) AS c FROM rare GROUP BY i),
-keyed AS (SELECT r, i FROM texts JOIN notices ON contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || key || ' ')),
-hits AS (SELECT keyed.r, own.i, own.w, p - q AS d FROM keyed JOIN rare USING (i) JOIN own USING (i, w) JOIN words ON words.r = keyed.r AND words.w = own.w),
-votes AS (SELECT DISTINCT r, i, w, unnest([floor(d / 8.0) * 8, floor((d + 4) / 8.0) * 8 - 4]) AS b FROM hits),
-cover AS (SELECT r, i, max(share) AS share FROM (SELECT r, i, b, count(*) / max(c) AS share FROM votes JOIN sizes USING (i) GROUP BY r, i, b) WHERE share >= 0.5 GROUP BY r, i),
+rare AS (SELECT w, n FROM held WHERE n * 4 <= (SELECT count(*) FROM texts)),
+ranked AS (SELECT r, i, w, row_number() OVER (PARTITION BY r, i ORDER BY n, w) AS k FROM (SELECT DISTINCT r, w FROM words WHERE w IN (SELECT w FROM rare)) JOIN (SELECT DISTINCT i, w FROM own) USING (w) JOIN rare USING (w)),
+chosen AS (SELECT r, i, w, count(*) OVER (PARTITION BY r, i) AS c FROM ranked WHERE k <= 16),
+hits AS (SELECT chosen.r, own.i, own.w, c, p - q AS d FROM chosen JOIN own USING (i, w) JOIN words ON words.r = chosen.r AND words.w = own.w WHERE c >= 6),
+votes AS (SELECT DISTINCT r, i, w, c, unnest([floor(d / 8.0) * 8, floor((d + 4) / 8.0) * 8 - 4]) AS b FROM hits),
+cover AS (SELECT r, i, max(share) AS share FROM (SELECT r, i, b, count(*) AS in_place, count(*) / max(c) AS share FROM votes GROUP BY r, i, b) JOIN notices USING (i) JOIN texts USING (r)
+  WHERE in_place >= 6 AND share >= 0.5 AND contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || key || ' ') GROUP BY r, i),
 every AS (SELECT r, label FROM places WHERE label IS NOT NULL UNION SELECT r, label FROM cover JOIN notices USING (i)),
 labelled AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM every GROUP BY r),
 best AS (SELECT r, max(share) AS share FROM cover GROUP BY r)
