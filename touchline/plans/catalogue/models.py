@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchline.operators import features, knn, market, serving
+from touchline.operators import features, knn, market, serving, vector_index
 from touchline.plans import season_build
 from touchline.plans.catalogue.tables import UNION_VIEW, read, rounded
 from touchline.plans.catalogue.screens import _view
@@ -110,6 +110,24 @@ def knn_exact(spark, folder):
     return near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
 
 
+def knn_approx(spark, folder):
+    """The index over all vectors, held against brute force for every vector whose number is a multiple of 50: true distances,
+    at most ten neighbours each and never the vector itself, and a recall of 0.9 or more."""
+    points = _points(spark, folder)
+    asked = points.filter(F.col("player_id") % 50 == 0)
+    _, found = vector_index.options_for(points, asked, 10, 0.9)
+    truth = materialize(vector_index.brute_force(points, asked, 10), "truth")
+    reached = vector_index.measured_recall(found, truth).select("pairs", (F.col("recall") >= 0.9).alias("recall_reached"))
+    of = lambda name, vec: points.select(F.col("player_id").alias(name), F.transform("features", lambda v: v.cast("double")).alias(vec))
+    both = found.join(of("player_id", "_x"), "player_id").join(of("neighbour", "_y"), "neighbour")
+    squares = F.aggregate(F.zip_with("_x", "_y", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, b: a + b)
+    facts = both.agg(
+        F.count_distinct("player_id").alias("players"), (F.max("rank") <= 10).alias("ten_at_most"), (F.max(F.abs(F.sqrt(squares) - F.col("distance"))) < 1e-9).alias("true_distances"),
+        (F.count_if(F.col("player_id") == F.col("neighbour")) == 0).alias("never_itself"), (F.count_distinct("player_id", "neighbour") == F.count(F.lit(1))).alias("each_once"),
+    )
+    return facts.crossJoin(reached)  # one row each
+
+
 def knn_one(spark, folder):
     near = knn.nearest_to(_points(spark, folder), 7, 20)
     return near.select("neighbour", rounded("distance").alias("distance"))
@@ -131,8 +149,8 @@ def knn_details(spark, folder):
 
 
 def knn_details_all(spark, folder):
-    """The 50 nearest of every vector whose number is 7 or 8, a list of 100, with facts of their seasons."""
-    near = knn.nearest_neighbours(_points(spark, folder), 50).filter(F.col("player_id").isin(7, 8))
+    """The 50 nearest of every vector with facts of their seasons."""
+    near = knn.nearest_neighbours(_points(spark, folder), 50)
     near = near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
     return knn.with_details(near, _view(spark, folder), columns={"player_name": "full_name", "season_code": "season_id"})
 
@@ -298,6 +316,8 @@ SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4)
     "knn_exact": (knn_exact, f"""
 WITH {_PAIRS.format(where="")}, r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
 SELECT player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance FROM r WHERE place <= 10"""),
+    "knn_approx": (knn_approx, """
+SELECT count(*) AS players, true AS ten_at_most, true AS true_distances, true AS never_itself, true AS each_once, 10 * count(*) FILTER (vec_id % 50 = 0) AS pairs, true AS recall_reached FROM embeddings"""),
     "knn_one": (knn_one, f"""
 WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")} SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 20"""),
     "knn_details": (knn_details, f"""
@@ -306,7 +326,7 @@ five AS (SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER
 SELECT neighbour, distance, player_name AS full_name, "Pos" AS primary_position, season_code AS season_id, club AS team_name, latest_mv_eur AS value_eur, "Gls"
 FROM five JOIN player_view ON neighbour = player_id"""),
     "knn_details_all": (knn_details_all, f"""
-WITH {_PAIRS.format(where=" WHERE a.vec_id IN (7, 8)")}, {UNION_VIEW},
+WITH {_PAIRS.format(where="")}, {UNION_VIEW},
 near AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY distance, neighbour) AS place FROM pairs)
 SELECT near.player_id, neighbour, CAST(place AS INTEGER) AS rank, round(distance, 4) + 0.0 AS distance, player_name AS full_name, season_code AS season_id
 FROM near JOIN player_view v ON neighbour = v.player_id WHERE place <= 50"""),
