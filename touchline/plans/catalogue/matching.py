@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from touchline.functions.similarity import token_set_ratio
 from touchline.functions.text import club_key, first_last, match_text
-from touchline.operators import resolve
+from touchline.operators import closure, resolve, stable
 from touchline.operators.resolve import STAGES
 from touchline.plans.catalogue.tables import read, rounded
+from touchline.session import materialize
 
 
 def _key(name):
@@ -99,10 +100,36 @@ def resolve_one_to_one(spark, folder):
     return resolve.resolve(_left(spark, folder), _right(spark, folder), fuzzy=False, one_to_one=True).select(*_OUT)
 
 
+def resolve_stable(spark, folder):
+    """One to one; a part that loses its candidate gets the next one of the key."""
+    return stable.resolve_stable(_left(spark, folder), _right(spark, folder)).select(*_OUT)
+
+
 def crosswalk(spark, folder):
     return resolve.crosswalk(_exact(spark, folder), "row_id")
 
 
+def _pairs(spark, folder):
+    """Pairs of three sources: what the exact cascade found, and two lists that tie some ids to those of a third source, in which
+    neighbouring numbers share an id."""
+    both = _exact(spark, folder).filter(F.col("player_id").isNotNull())
+    pair = lambda a, i, b, j: [F.lit(a).alias("source_a"), F.col(i).alias("id_a"), F.lit(b).alias("source_b"), j.cast("long").alias("id_b")]
+    first = both.select(*pair("left", "row_id", "right", F.col("player_id")))
+    part = read(spark, folder, "part")
+    second = part.filter(F.col("p_partkey") % 7 == 0).select(*pair("left", "p_partkey", "third", F.floor(F.col("p_partkey") / 2)))
+    third = part.filter(F.col("p_partkey") % 5 == 1).select(*pair("right", "p_partkey", "third", F.floor(F.col("p_partkey") / 3)))
+    return materialize(first.unionByName(second).unionByName(third), "pairs")
+
+
+def crosswalk_closure(spark, folder):
+    return closure.crosswalk_closure(_pairs(spark, folder))
+
+
+def crosswalk_contradictions(spark, folder):
+    pairs = _pairs(spark, folder)
+    return closure.contradictions(materialize(closure.crosswalk_closure(pairs), "crosswalk"), pairs)
+
+
 def resolve_by_type(spark, folder):
     """The cascade within each part type, as for one run over many leagues."""
     kind = read(spark, folder, "part").select(F.col("p_partkey").alias("key"), F.col("p_type").alias("league"))
@@ -192,6 +219,41 @@ def score_sql(a: str, b: str) -> str:
                   100.0 * (1 - (g + length(y)) / (length(s) + lb))) END FROM c)"""
 
 
+_CLOSED = f"""{_EXACT.replace("WITH ", "WITH RECURSIVE ", 1)},
+pairs AS (SELECT 'left' AS source_a, row_id AS id_a, 'right' AS source_b, player_id AS id_b FROM resolved WHERE player_id IS NOT NULL
+  UNION ALL SELECT 'left', p_partkey, 'third', p_partkey // 2 FROM part WHERE p_partkey % 7 = 0
+  UNION ALL SELECT 'right', p_partkey, 'third', p_partkey // 3 FROM part WHERE p_partkey % 5 = 1),
+links AS (SELECT source_a || ':' || id_a AS a, source_b || ':' || id_b AS b FROM pairs),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(id, other) AS (SELECT DISTINCT a, a FROM ways UNION SELECT ways.b, other FROM reached JOIN ways ON id = a),
+roots AS (SELECT id, min(other) AS root FROM reached GROUP BY id),
+closed AS (SELECT sha256(root) AS player_uuid, split_part(id, ':', 1) AS source, split_part(id, ':', 2) AS source_player_id FROM roots)"""
+
+
+def _stable_sql() -> str:
+    """The steps in a row: rows not matched so far, numbered on both sides within each key, meet by number."""
+    steps = [
+        (10, "key+birth_year", ["norm", "club", "yr"], 0, False), (20, "first+last+club+birth_year", ["fl", "club", "yr"], 0, False),
+        (21, "first+last+club+birth_year±1", ["fl", "club", "yr"], 1, True), (22, "first+last+club+birth_year±1", ["fl", "club", "yr"], -1, True),
+        (30, "first+last+dob", ["fl", "dob"], 0, False), (40, "first+last+birth_year", ["fl", "yr"], 0, False),
+        (41, "first+last+birth_year±1(unique)", ["fl", "yr"], 1, True), (42, "first+last+birth_year±1(unique)", ["fl", "yr"], -1, True),
+        (50, "key_no_year", ["norm", "club"], 0, False),
+    ]
+    parts, done = [], ["SELECT NULL AS row_id, NULL AS player_id WHERE false"]
+    for stage, label, cols, shift, once in steps:
+        key, matched = ", ".join(cols), " UNION ALL ".join(done)
+        own = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        on = " AND ".join(f"a.{c}{f' + {shift}' if c == 'yr' else ''} = b.{c}" for c in cols)
+        parts.append(f"""m{stage} AS MATERIALIZED (SELECT a.id AS row_id, {stage} AS stage, '{label}' AS join_method, b.id AS player_id, b.val AS market_value_eur
+  FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY id) AS nth FROM l WHERE {own} AND id NOT IN (SELECT row_id FROM ({matched}))) a
+  JOIN (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY val DESC, id) AS nth FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM r WHERE {own})
+        WHERE id NOT IN (SELECT player_id FROM ({matched})){" AND n = 1" if once else ""}) b ON {on} AND a.nth = b.nth)""")
+        done.append(f"SELECT row_id, player_id FROM m{stage}")
+    union = " UNION ALL ".join(f"SELECT * FROM m{stage}" for stage, *_ in steps)
+    return f"""WITH {_RIGHT}, {_LEFT}, {", ".join(parts)}, matched AS ({union})
+SELECT l.id AS row_id, stage, join_method, player_id, market_value_eur FROM l LEFT JOIN matched ON l.id = row_id"""
+
+
 _MISSPELLED = """CASE WHEN p_partkey % 2 = 0 THEN substr(p_name, 1, p_partkey % 3 + 1) || substr(p_name, p_partkey % 3 + 3) ELSE p_name || 'x' END"""
 _MISSPELLED_NORM = f"trim(regexp_replace({_MISSPELLED}, '\\s+', ' ', 'g'))"
 _LABEL = "round(score, 1) || ')'"
@@ -204,10 +266,16 @@ QUERIES = {
     "resolve_one_to_one": (resolve_one_to_one, f"""{_EXACT},
 kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY stage, row_id) AS turn FROM best) WHERE turn = 1)
 SELECT l.id AS row_id, stage, join_method, player_id, market_value_eur FROM l LEFT JOIN kept ON l.id = kept.row_id"""),
+    "resolve_stable": (resolve_stable, _stable_sql()),
     "crosswalk": (crosswalk, f"""{_EXACT},
 u AS (SELECT row_id, player_id, sha256(CASE WHEN player_id IS NOT NULL THEN 'transfermarkt:' || player_id ELSE 'fbref:' || row_id END) AS player_uuid FROM resolved)
 SELECT player_uuid, 'fbref' AS source, CAST(row_id AS VARCHAR) AS source_player_id FROM u
 UNION SELECT player_uuid, 'transfermarkt', CAST(player_id AS VARCHAR) FROM u WHERE player_id IS NOT NULL"""),
+    "crosswalk_closure": (crosswalk_closure, f"{_CLOSED} SELECT * FROM closed"),
+    "crosswalk_contradictions": (crosswalk_contradictions, f"""{_CLOSED},
+several AS (SELECT player_uuid, source, count(DISTINCT source_player_id) AS n_ids, min(source_player_id) AS first_id, max(source_player_id) AS last_id FROM closed GROUP BY ALL HAVING n_ids > 1),
+tied AS (SELECT player_uuid, count(*) AS n_pairs FROM pairs JOIN closed ON source = source_a AND source_player_id = CAST(id_a AS VARCHAR) GROUP BY 1)
+SELECT several.*, n_pairs FROM several JOIN tied USING (player_uuid)"""),
     "resolve_by_type": (resolve_by_type, f"{_exact_sql(('league',))} SELECT league, row_id, stage, join_method, player_id, market_value_eur FROM resolved"),
     "resolve_fuzzy_club": (resolve_fuzzy_club, f"""
 WITH {_RIGHT}, l AS (SELECT p_partkey AS id, {_MISSPELLED_NORM} AS norm, replace(lower(p_brand), '#', ' ') AS club FROM part),
