@@ -9,8 +9,8 @@ from touchline.operators import columns, consolidate
 from touchline.operators.columns import conform, ensure_columns
 from touchline.plans.catalogue.tables import read
 from touchline.schemas import FIELD_PLAYERS
-from touchline.session import scratch_path
-from touchline.sources import pages, readers, writers
+from touchline.session import materialize, scratch_path
+from touchline.sources import pages, readers, snapshots, writers
 
 
 def _orders_by_season(spark, folder):
@@ -97,6 +97,34 @@ def refresh_both(spark, folder):
     return back[0].unionByName(back[1])
 
 
+def refresh_atomic(spark, folder):
+    """Two tables in versions: a first load, a load that fails in its second table, a load of some seasons with higher prices. The
+    state after the failure and the newest one, with what the first version still shows."""
+    root = scratch_path(spark, "versions")
+    orders = _orders_by_season(spark, folder)
+
+    def frames(df, second=F.col("o_totalprice")):
+        finished = F.col("league_code") == "f"
+        return {"finished": df.filter(finished), "others": df.filter(~finished).withColumn("o_totalprice", second)}
+
+    def state(label, number=None):
+        back = [snapshots.read_table(spark, root, name, number).withColumn("kind", F.lit(name)) for name in ("finished", "others")]
+        both = back[0].unionByName(back[1])
+        return both.select(F.lit(label).alias("state"), "kind", "o_orderkey", "o_totalprice", "season_code")
+
+    first = snapshots.commit(root, frames(orders))
+    doubled = orders.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    try:
+        snapshots.commit(root, frames(doubled, F.raise_error(F.lit("the source broke off")).cast("double")))
+    except Exception as error:  # the load of the second table
+        if "the source broke off" not in str(error):
+            raise
+    failed = materialize(state("after the failure"), "after-failure")
+    recent = doubled.filter(F.col("season_code") >= "1997")
+    snapshots.commit(root, frames(recent), recent)
+    return failed.unionByName(state("now")).unionByName(state("first", first))
+
+
 def config_work(spark, folder):
     """Seasons to load, by source: a season per supplier of each nation, as a configuration of leagues."""
     suppliers = read(spark, folder, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("league"))
@@ -299,6 +327,10 @@ WITH {_ORDERS} SELECT o_orderkey, CASE WHEN league_code = 'p' THEN 0.0 ELSE o_to
 FROM orders_by_season WHERE NOT (league_code = 'p' AND season_code = '1995')"""),
     "refresh_both": (refresh_both, f"""
 WITH {_ORDERS} SELECT CASE WHEN league_code = 'f' THEN 'finished' ELSE 'others' END AS kind, o_orderkey, o_totalprice * 3 AS o_totalprice FROM orders_by_season"""),
+    "refresh_atomic": (refresh_atomic, f"""
+WITH {_ORDERS}, t AS (SELECT CASE WHEN league_code = 'f' THEN 'finished' ELSE 'others' END AS kind, o_orderkey, o_totalprice, CAST(season_code AS VARCHAR) AS season_code FROM orders_by_season)
+SELECT state, kind, o_orderkey, CASE WHEN state = 'now' AND season_code >= '1997' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, season_code
+FROM t, (VALUES ('after the failure'), ('now'), ('first')) s(state)"""),
     "config_work": (config_work, """
 SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS league, CAST(2000 + s_suppkey % 20 AS VARCHAR) AS season, CAST(2000 + s_suppkey % 20 AS INTEGER) AS season_start, source
 FROM supplier, (VALUES ('fbref'), ('transfermarkt')) s(source)"""),
