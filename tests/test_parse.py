@@ -77,3 +77,8 @@ def test_every_two_decimal_amount_is_exact(spark):
 def test_exact_amounts(one):
     written = {"€8.2m": 8_200_000, "€32.05m": 32_050_000, "€2.01m": 2_010_000, "€1.001m": 1_001_000, "0,0000015m": 1, "-5m": -5_000_000, "m": None}
     assert one(parse.money_to_eur, list(written)) == list(written.values())
+
+
+def test_money_loose_marks(one):
+    cases = {"1,200,300": 1200300.0, "1.200,5": 1200.5, "12.": 12.0, ".5": 0.5, ",": None, "1.2.3": 123.0, "€ 7": 7.0, "": None}
+    assert one(parse.money_loose, list(cases)) == list(cases.values())

@@ -59,3 +59,20 @@ def test_goalkeeper(one):
     positions = ["GK", "df, gk", "GKX", "DF", None, ""]
     assert one(text.is_goalkeeper_text, positions) == [True, True, True, False, False, False]
     assert one(text.is_goalkeeper_token, positions) == [True, True, False, False, None, False]
+
+
+def test_match_text_prefixes_and_brackets(one):
+    cases = {
+        "Club (x) Atlético Tucumán": "tucuman",
+        "club c.a. atletico": "club atletico",
+        "C.A.Lanús": "lanus",
+        "ca. x c a": "x c a",
+        "c..a a.c": "c a a c",
+        "a (b (c) d": "a d",
+        "open ( x": "open x",
+        "Atlético Club": "atletico club",
+        "1.5 m.": "1 5 m",
+        "1." * 30_000: " ".join("1" * 30_000),
+        "": "",
+    }
+    assert one(text.match_text, list(cases)) == list(cases.values())

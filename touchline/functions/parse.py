@@ -152,17 +152,17 @@ def money_to_eur(c: Column) -> Column:
 
 
 def money_loose(c: Column) -> Column:
-    """Joined-file money: keep digits and separators; a lone comma is decimal, with both dots are thousands."""
+    """Joined-file money: the digits of the text, whatever stands between them.
+
+    The decimal mark is the comma where there is one, else the dot, if it occurs once; all other separators mark thousands.
+    """
     raw = F.trim(F.replace(c.cast("string"), F.lit(HARD_SPACE), F.lit(" ")))
-    kept = F.regexp_replace(raw, r"[^0-9.,]", "")
-    comma, dot = F.contains(kept, F.lit(",")), F.contains(kept, F.lit("."))
-    decimal = (
-        F.when(comma & ~dot, F.replace(kept, F.lit(","), F.lit(".")))
-        .when(comma & dot, F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-        .otherwise(kept)
-    )
-    value = F.coalesce(number_or_null(decimal), number_or_null(F.regexp_replace(kept, r"[^0-9]", "")))
-    return F.when(~is_blank(raw), value)
+    digits = lambda part: F.regexp_replace(part, r"[^0-9]", "")
+    mark = F.when(F.contains(raw, F.lit(",")), ",").otherwise(".")
+    whole, fraction = (digits(F.call_function("substring_index", raw, mark, F.lit(n))) for n in (1, -1))
+    once = F.length(raw) - F.length(F.replace(raw, mark, F.lit(""))) == 1
+    amount = F.when(once, F.concat(whole, F.lit("."), fraction)).otherwise(digits(raw))
+    return F.when(~is_blank(raw), number_or_null(amount))
 
 
 def is_blank(c: Column) -> Column:

@@ -131,11 +131,51 @@ def name_key(c: Column, spell_out: bool = True, expand: bool = False) -> Column:
 
 
 def match_text(c: Column) -> Column:
-    """Name or club text for matching: romanised, brackets and "club atletico" / "c.a." removed, words only."""
-    text = romanise(F.coalesce(c.cast("string"), F.lit("")))
-    for pattern in (r"\([^)]*\)", r"\bclub\s+atletico\b", r"\bc\.?a\.?\b", r"[^a-z0-9]+"):
-        text = F.regexp_replace(text, pattern, " ")
-    return F.trim(text)
+    """Name or club text for matching: the romanised words outside brackets, without "club atletico" and "c.a."."""
+
+    def matched(text: Column) -> Column:
+        plain = F.trim(F.regexp_replace(text, r"[^a-z0-9]+", " "))
+        return F.when(F.rlike(text, F.lit(_NEEDS_CARE)), _careful_words(text)).otherwise(plain)
+
+    # the one-element array binds the text, so that it is romanised once per row
+    return F.element_at(F.transform(F.array(romanise(F.coalesce(c.cast("string"), F.lit("")))), matched), 1)
+
+
+# Texts without any of these are nothing but words.
+_NEEDS_CARE = r"\(|\bc(?:lub|\.?a)\b"
+# A part in brackets, or a word with the dots inside and behind it.
+_BRACKET_OR_WORD = r"\([^)]*\)|[a-z0-9][a-z0-9.]*"
+
+
+def _careful_words(text: Column) -> Column:
+    found = F.regexp_extract_all(text, F.lit(_BRACKET_OR_WORD), 0)
+    words = F.flatten(F.transform(F.filter(found, lambda w: ~w.startswith("(")), _spelled_apart))
+    return F.array_join(F.element_at(F.transform(F.array(words), _without_club_prefix), 1), " ")
+
+
+def _next_to(words: Column, i: Column, step: int, word: str) -> Column:
+    return F.get(words, i + step).eqNullSafe(F.lit(word))
+
+
+def _spelled_apart(word: Column) -> Column:
+    """The parts of a word between its dots; "ca" and "c.a" become an empty part."""
+    parts = F.split(word, r"\.")
+
+    def kept(p: Column, i: Column) -> Column:
+        initials = ((p == "c") & _next_to(parts, i, 1, "a")) | ((p == "a") & _next_to(parts, i, -1, "c"))
+        return F.when((p == "ca") | initials, "").otherwise(p)
+
+    return F.when(word == "ca", F.array(F.lit(""))).when(F.contains(word, F.lit(".")), F.transform(parts, kept)).otherwise(F.array(word))
+
+
+def _without_club_prefix(words: Column) -> Column:
+    """Words that are not empty, without each "club" that "atletico" follows and that "atletico"."""
+
+    def kept(w: Column, i: Column) -> Column:
+        prefix = ((w == "club") & _next_to(words, i, 1, "atletico")) | ((w == "atletico") & _next_to(words, i, -1, "club"))
+        return (w != "") & ~prefix
+
+    return F.filter(words, kept)
 
 
 def first_last(c: Column) -> Column:

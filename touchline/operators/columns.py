@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, count
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -30,17 +31,12 @@ def flatten(df: DataFrame) -> DataFrame:
 
 def unique_names(names: Sequence[str]) -> list[str]:
     """Repeated names get ``__dup1``, ``__dup2``, ... skipping names already taken."""
-    taken: set[str] = set()
-    repeats: Counter[str] = Counter()
-    result = []
+    numbers: dict[str, Iterator[int]] = defaultdict(lambda: count(1))
+    given: dict[str, None] = {}  # in order
     for name in names:
-        new = name
-        while new in taken:
-            repeats[name] += 1
-            new = f"{name}__dup{repeats[name]}"
-        taken.add(new)
-        result.append(new)
-    return result
+        numbered = (f"{name}__dup{i}" for i in numbers[name])
+        given[next(n for n in chain([name], numbered) if n not in given)] = None
+    return list(given)
 
 
 def ensure_unique(df: DataFrame) -> DataFrame:

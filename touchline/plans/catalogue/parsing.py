@@ -11,21 +11,21 @@ from touchline.plans.catalogue.tables import read, rounded
 _SPECIAL = r"[\p{C}\p{Zl}\p{Zp}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
 
 
+# Fixed values of the SQL, stated apart from the code that it checks.
+_SPELLED = {
+    "ł": "l", "ø": "o", "đ": "d", "ı": "i", "ħ": "h", "ŧ": "t", "ð": "d", "ĸ": "k",
+    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ŋ": "ng", "ĳ": "ij",
+}
+
+
 def _folded(c: str) -> str:
     """SQL for lower-case ASCII text."""
     sql = f"lower({c})"
-    for letter, plain in (text.SINGLE_LETTERS | text.DOUBLE_LETTERS).items():
+    for letter, plain in _SPELLED.items():
         sql = f"replace({sql}, '{letter}', '{plain}')"
     return f"regexp_replace(strip_accents({sql}), '[^\\x00-\\x7F]', '', 'g')"
 
 
-def _matched(c: str) -> str:
-    sql = _folded(c)
-    for pattern in (r"\([^)]*\)", r"\bclub\s+atletico\b", r"\bc\.?a\.?\b", r"[^a-z0-9\s]", r"\s+"):
-        sql = f"regexp_replace({sql}, '{pattern}', ' ', 'g')"
-    return f"trim({sql})"
-
-
 def norm_key(spark, folder):
     talk = read(spark, folder, "conversations")
     return talk.select("conv_id", "turn", text.name_key(F.col("text")).alias("name_key"))
@@ -58,9 +58,6 @@ def club_names(spark, folder):
 
 
 _CLUBS = ["Boca", "River Plate", "Vélez Sarsfield", "Lanús", "Newell's Old Boys", "Club Atlético Platense", "Huracán", "Unión"]
-_PAIRS = [(s, club) for club, others in text.CLUB_SPELLINGS.items() for s in others]
-_CLUB_CASE = "CASE k " + " ".join(f"WHEN '{s}' THEN '{club}'" for s, club in _PAIRS) + " ELSE k END"
-_CLUB_LIST = "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in _CLUBS) + "]"
 
 
 def parse_money(spark, folder):
@@ -217,15 +214,21 @@ FROM documents"""),
 SELECT doc_id, md5(trim(regexp_replace(lower(regexp_replace(strip_accents(regexp_replace(text, '{_SPECIAL}', '', 'g')), '[^\\x00-\\x7F]', '', 'g')), '\\s+', ' ', 'g'))) AS name_key
 FROM documents"""),
     "norm_name_fl": (norm_name_fl, f"""
-WITH n AS (SELECT doc_id, {_matched('text')} AS norm FROM documents),
-w AS (SELECT doc_id, norm, list_filter(string_split(norm, ' '), lambda t: t <> '' AND NOT list_contains({text.NAME_PARTICLES}, t)) AS words FROM n)
+WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all({_folded('text')}, '\\([^)]*\\)|[a-z0-9]+|[^a-z0-9]')) AS token FROM documents),
+numbered AS (SELECT doc_id, token, row_number() OVER () AS i FROM tokens WHERE token[1] <> '('),
+near AS (SELECT *, lag(token) OVER w AS p1, lag(token, 2) OVER w AS p2, lead(token) OVER w AS n1, lead(token, 2) OVER w AS n2 FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+kept AS (SELECT * FROM near WHERE regexp_matches(token, '^[a-z0-9]') AND token <> 'ca'
+  AND NOT coalesce((token = 'c' AND n1 = '.' AND n2 = 'a') OR (token = 'a' AND p1 = '.' AND p2 = 'c'), false)
+  AND NOT coalesce((token = 'club' AND n1 IN (' ', chr(10)) AND n2 = 'atletico') OR (token = 'atletico' AND p1 IN (' ', chr(10)) AND p2 = 'club'), false)),
+n AS (SELECT d.doc_id, coalesce(string_agg(token, ' ' ORDER BY i), '') AS norm FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id GROUP BY d.doc_id),
+w AS (SELECT doc_id, norm, list_filter(string_split(norm, ' '), lambda t: t <> '' AND t NOT IN ('de', 'del', 'da', 'do', 'das', 'dos', 'la', 'las', 'los', 'san', 'santa', 'club', 'atletico')) AS words FROM n)
 SELECT doc_id, md5(norm) AS norm_md5,
        CASE len(words) WHEN 0 THEN norm WHEN 1 THEN words[1] ELSE words[1] || ' ' || words[-1] END AS first_last FROM w"""),
-    "club_names": (club_names, f"""
-WITH s AS (SELECT p_partkey, p_brand, p_type, {_CLUB_LIST}[p_partkey % {len(_CLUBS)} + 1] AS club FROM part),
-t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'C.A. ' || club WHEN 1 THEN club || ' (' || p_brand || ')' ELSE club || ' ' || p_type END AS spelled FROM s),
-u AS (SELECT p_partkey, {_matched('spelled')} AS k FROM t)
-SELECT p_partkey, {_CLUB_CASE} AS club FROM u"""),
+    "club_names": (club_names, """
+SELECT p_partkey, CASE WHEN p_partkey % 3 < 2
+    THEN ['boca juniors', 'river plate', 'velez sarsfield', 'lanus', 'newells old boys', 'platense', 'huracan', 'union'][p_partkey % 8 + 1]
+    ELSE ['boca', 'river plate', 'velez sarsfield', 'lanus', 'newell s old boys', 'platense', 'huracan', 'union'][p_partkey % 8 + 1] || ' ' || lower(p_type) END AS club
+FROM part"""),
     "parse_money": (parse_money, """
 SELECT o_orderkey, CAST(CASE o_orderkey % 9
   WHEN 0 THEN CAST(round(o_totalprice / 1000, 2) AS DECIMAL(18,2)) * 1000000 WHEN 1 THEN floor(o_totalprice) * 1000 WHEN 2 THEN o_custkey * 1000000 + (o_orderkey % 1000) * 1000
