@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions.parse import season_start
-from touchline.operators import serving, views
+from touchline.operators import paging, serving, views
 from touchline.operators.features import goals_prevented, per_90, ratio
 from touchline.plans.catalogue.tables import SEASON_FACTS, UNION_VIEW, consolidated, read, rounded, season_facts
+from touchline.session import scratch_path
 
 SUMS = {"goals": "goals_3y", "assists": "assists_3y", "minutes": "minutes_3y"}
 MEANS = {"xg_per90": "xg_per90_avg_3y", "xa_per90": "xa_per90_avg_3y"}
@@ -98,6 +99,15 @@ def page_list(spark, folder):
     return serving.page(players, order, number=3, size=25).withColumn("total", F.col("total").cast("long"))
 
 
+def page_seek(spark, folder):
+    """The last page of all players by value."""
+    players = _view(spark, folder).select("player_id", "player_name", "Pos", "latest_mv_eur")
+    order = [F.col("latest_mv_eur").desc_nulls_last(), F.col("player_id"), F.col("player_name")]
+    path = scratch_path(spark, "ranks")
+    paging.store_ranks(players, order, path, range_rows=500)
+    return paging.page_seek(spark, path, players.schema, paging.page_count(spark, path, 25), 25)
+
+
 def totals_rollup(spark, folder):
     facts = season_facts(spark, folder).withColumn("matches", F.lit(1))
     return serving.competition_totals(facts, "player_uuid", "competition_id", ["matches", "minutes", "goals", "assists"])
@@ -195,6 +205,11 @@ WHERE player_id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)"""
 WITH {UNION_VIEW} SELECT player_id, player_name, "Pos", latest_mv_eur, 3 AS page, 25 AS page_size,
   (SELECT count(*) FROM player_view) AS total
 FROM player_view ORDER BY latest_mv_eur DESC NULLS LAST, player_id, player_name LIMIT 25 OFFSET 50"""),
+    "page_seek": (page_seek, f"""
+WITH {UNION_VIEW}, placed AS (SELECT player_id, player_name, "Pos", latest_mv_eur, count(*) OVER () AS total,
+  row_number() OVER (ORDER BY latest_mv_eur DESC NULLS LAST, player_id, player_name) AS place FROM player_view)
+SELECT player_id, player_name, "Pos", latest_mv_eur, CAST((total + 24) // 25 AS INTEGER) AS page, 25 AS page_size, total
+FROM placed WHERE (place - 1) // 25 = (total - 1) // 25"""),
     "totals_rollup": (totals_rollup, f"""
 WITH {SEASON_FACTS}
 SELECT player_uuid, CASE WHEN grouping(competition_id) = 1 THEN 'Total' ELSE competition_id END AS competition_id,
