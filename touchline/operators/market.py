@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.operators.columns import col
 from touchline.operators.skew import skew_join
-from touchline.session import materialize
+from touchline.session import materialize, scratch_path
 
 TREES, SEED, KEPT = 100, 42, 200
 LEAST_MATCHES, LEAST_VALUE = 5, 100_000
@@ -125,6 +125,60 @@ def attributions(rows: DataFrame, model: RandomForestRegressionModel, names: Seq
     )
 
 
+# A walk broadcasts the nodes up to this number, some 50 bytes each; larger forests are joined by a shuffle.
+BROADCAST_NODES = 500_000
+
+
+def forest_nodes(spark, model: RandomForestRegressionModel) -> DataFrame:
+    """The forest as a table, a row per node: tree, node (0 is the root), its mean as ``value``, and where it splits."""
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    node = F.col("nodeData")
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"), node["prediction"].alias("value"), node["leftChild"].alias("below"),
+        node["rightChild"].alias("above"), node["split"]["featureIndex"].alias("feature"), F.get(node["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"),
+    )
+
+
+def _node_credits(nodes: DataFrame, depth: int, n_features: int) -> DataFrame:
+    """Per leaf the change of the mean on the way from the root, by the feature that each split asks for.
+
+    The ways grow by one split per join; those that have come to a leaf stay there, where nothing changes.
+    """
+    ways = nodes.filter("node = 0").select("*", F.col("value").alias("base"), F.array_repeat(F.lit(0.0), n_features).alias("credits"))
+    for _ in range(depth):
+        following = F.when(F.col("below") < 0, F.array("node")).otherwise(F.array("below", "above"))
+        steps = ways.select("tree", "base", "credits", F.col("value").alias("_from"), F.col("feature").alias("_by"), F.explode(following).alias("node"))
+        change = F.transform("credits", lambda v, i: F.when(i == F.col("_by"), v + F.col("value") - F.col("_from")).otherwise(v))
+        ways = steps.join(nodes, ["tree", "node"]).select(*nodes.columns, "base", change.alias("credits"))
+    return ways.select("tree", "node", "base", "credits")
+
+
+def path_attributions(
+    rows: DataFrame, model: RandomForestRegressionModel, names: Sequence[str], keys: Sequence[str], features: str = "features"
+) -> DataFrame:
+    """``keys, feature, contribution, base``: a row's contributions and ``base`` add up to its prediction.
+
+    Each row walks down every tree, a level per join with the nodes; a split's change of the mean counts for its feature. ``base``
+    is the mean of the roots. ``keys`` must tell the rows apart.
+    """
+    spark, trees = rows.sparkSession, model.getNumTrees
+    nodes = materialize(forest_nodes(spark, model), "forest-nodes")
+    depth = max(t.depth for t in model.trees)
+    small = F.broadcast if model.totalNumNodes <= BROADCAST_NODES else lambda table: table
+    credits = small(materialize(_node_credits(nodes, depth, len(names)), "node-credits"))
+    splits = small(nodes.select("tree", "node", "below", "above", "feature", "threshold"))
+    walk = rows.select(*keys, features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(depth):
+        goes_below = F.get(F.col(features), F.col("feature")) <= F.col("threshold")
+        following = F.when(F.col("below") < 0, F.col("node")).when(goes_below, F.col("below")).otherwise(F.col("above"))
+        walk = walk.join(splits, ["tree", "node"]).select(*keys, features, "tree", following.alias("node"))
+    means = [F.avg(F.col("credits")[i]).alias(f"_c{i}") for i in range(len(names))]
+    summed = walk.join(credits, ["tree", "node"]).groupBy(*keys).agg(F.avg("base").alias("base"), *means)
+    parts = F.array(*[F.struct(F.lit(name).alias("feature"), F.col(f"_c{i}").alias("contribution")) for i, name in enumerate(names)])
+    return summed.select(*keys, "base", F.explode(parts).alias("p")).select(*keys, "p.feature", "p.contribution", "base")
+
+
 def save_model(model: RandomForestRegressionModel | PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -276,6 +276,17 @@ def value_attributions(spark, folder):
     return found.select("player_id", "feature", (F.abs("contribution") < 10).alias("is_small"))
 
 
+def value_path_attributions(spark, folder):
+    """Per player: a contribution of every feature, and whether they and the base add up to the forest's own prediction."""
+    rows = materialize(_training(spark, folder).select("player_id", "features", "label"), "training-rows")
+    model = market.fit_values(rows)
+    found = market.path_attributions(rows, model, _FEATURES, ["player_id"]).groupBy("player_id").agg(
+        F.count("contribution").alias("n_features"), (F.sum("contribution") + F.first("base")).alias("_sum")
+    )
+    scored = market.predict_values(rows, model).select("player_id", "predicted_log")
+    return found.join(scored, "player_id").select("player_id", "n_features", (F.abs(F.col("_sum") - F.col("predicted_log")) < 1e-9).alias("adds_up"))
+
+
 QUERIES = {
     "rolling_avg": (rolling_avg, """
 SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 4) + 0.0 AS mean_of_5 FROM events"""),
@@ -353,6 +364,8 @@ WITH {_STATS}, {_FACTS} SELECT count(*) AS n_scored, true AS gaps_hold, true AS
 FROM valued JOIN scaled USING (player_id)"""),
     "value_importances": (value_importances, """
 SELECT unnest(['Min', 'MatchesPlayed', 'Gls', 'Shots', 'Tkl']) AS feature, true AS is_share, 1.0::DOUBLE AS total"""),
+    "value_path_attributions": (value_path_attributions, f"""
+WITH {_STATS}, {_FACTS} SELECT player_id, CAST(5 AS BIGINT) AS n_features, true AS adds_up FROM valued JOIN scaled USING (player_id)"""),
     "value_attributions": (value_attributions, f"""
 WITH {_STATS}, {_FACTS} SELECT player_id, feature, true AS is_small FROM valued JOIN scaled USING (player_id), (SELECT unnest(['Min', 'MatchesPlayed', 'Gls', 'Shots', 'Tkl']) AS feature)"""),
 }
