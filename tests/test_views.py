@@ -99,3 +99,27 @@ def test_quality(spark):
     parents = spark.createDataFrame([("a",)], "id string")
     assert rows(quality.orphans(df, parents, "k", "id")) == [("b", 1)]
     assert rows(quality.value_counts(df, "k", 1)) == [("a", 2)]
+
+
+@pytest.mark.parametrize("n", [40, 2000])
+def test_only_touched_players_are_computed_again(spark, n):
+    from touchline.session import scratch_path
+    from touchline.sources import snapshots
+
+    schema = "player_uuid int, season_id int, goals int, league_code string, season_code string"
+    facts = [(i % (n // 4) if i % 11 else None, 2018 + i % 5, i % 7, "ab"[i % 3 == 0], str(2018 + i % 5)) for i in range(n)]
+    compute = lambda rows: views.last_seasons_agg(rows, sums={"goals": "goals"}, means={}, by="seasons")
+    root = scratch_path(spark, "facts")
+    first = snapshots.commit(root, {"t": spark.createDataFrame(facts, schema)})
+    view = compute(snapshots.read_table(spark, root, "t"))
+    assert snapshots.changed_rows(spark, root, "t", first, first).count() == 0
+    part = [r for r in facts if r[3:] == ("b", "2022")]
+    load = [(r[0], r[1], r[2] + 100, *r[3:]) for r in part[1::2]] + [(-5, 2022, 1, "b", "2022")]
+    second = snapshots.commit(root, {"t": spark.createDataFrame(load, schema)}, spark.createDataFrame(part, schema))
+    changed = snapshots.changed_rows(spark, root, "t", first, second)
+    assert changed.count() == len(part) + len(load)
+    now = snapshots.read_table(spark, root, "t")
+    stay, anew = views.recomputed(view, now, changed, compute)
+    touched = {r[0] for r in [*part, *load]}
+    assert rows(stay.unionByName(anew)) == rows(compute(now))
+    assert {r[0] for r in rows(anew)} <= touched and not {r[0] for r in rows(stay)} & touched

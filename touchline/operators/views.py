@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -56,6 +56,20 @@ def last_seasons_agg(
     )
 
 
+def recomputed(
+    view: DataFrame, now: DataFrame, changed: DataFrame, compute: Callable[[DataFrame], DataFrame], player: str = "player_uuid"
+) -> tuple[DataFrame, DataFrame]:
+    """A view per player after a refresh: its rows that stay, and those of the players that the refresh touched.
+
+    ``changed`` holds all rows of the replaced partitions, old and new; ``compute`` makes the view out of facts and sees all
+    facts of the touched players, those of unchanged partitions too. Players without facts now are in neither part.
+    """
+    touched = changed.select(player).distinct()
+    on = view[player].eqNullSafe(touched[player])
+    facts = now.join(touched.withColumnRenamed(player, "_touched"), F.col(player).eqNullSafe(F.col("_touched")), "left_semi")
+    return view.join(touched, on, "left_anti"), compute(facts)
+
+
 def player_view(
     field: DataFrame,
     keepers: DataFrame,

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions.parse import season_start
-from touchline.operators import paging, serving, views
+from touchline.operators import name_index, paging, serving, views
 from touchline.operators.features import goals_prevented, per_90, ratio
 from touchline.plans.catalogue.tables import SEASON_FACTS, UNION_VIEW, consolidated, read, rounded, season_facts
-from touchline.session import scratch_path
+from touchline.session import materialize, scratch_path
+from touchline.sources import snapshots
 
 SUMS = {"goals": "goals_3y", "assists": "assists_3y", "minutes": "minutes_3y"}
 MEANS = {"xg_per90": "xg_per90_avg_3y", "xa_per90": "xa_per90_avg_3y"}
@@ -80,6 +81,28 @@ def search_name(spark, folder):
     return serving.search_players(_view(spark, folder), "ER#00000001", limit=25)
 
 
+def search_indexed(spark, folder):
+    """The search over stored postings, after a refresh that has given the players of one league other names."""
+    players, partition, root = _view(spark, folder), ["league_name", "season_code"], scratch_path(spark, "names")
+    name_index.index_names(players, root, partition=partition)
+    asia = players.filter("league_name = 'ASIA'").withColumn("player_name", F.concat("player_name", F.lit(" Jr")))
+    name_index.index_names(asia, root, partition=partition)
+    return name_index.search_names(spark, root, "er#0000000", 40)
+
+
+def last3_after_refresh(spark, folder):
+    """The view after a load that changes some facts of one team and drops others; ``anew`` marks what had to be computed."""
+    facts = _facts(spark, folder).withColumns({"league_code": F.col("team_id"), "season_code": F.col("season_id").cast("string")})
+    root, compute = scratch_path(spark, "facts"), lambda rows: views.last_seasons_agg(rows, sums=SUMS, means=MEANS, by="seasons")
+    first = snapshots.commit(root, {"facts": facts})
+    view = materialize(compute(snapshots.read_table(spark, root, "facts")), "view")
+    team = facts.filter("team_id = 'P'")
+    second = snapshots.commit(root, {"facts": team.filter("o_orderkey % 4 <> 0").withColumn("goals", F.col("goals") + 10)}, team)
+    changed = snapshots.changed_rows(spark, root, "facts", first, second)
+    stay, anew = views.recomputed(view, snapshots.read_table(spark, root, "facts"), changed, compute)
+    return _rounded_means(stay.withColumn("anew", F.lit(False)).unionByName(anew.withColumn("anew", F.lit(True))))
+
+
 def detail_by_id(spark, folder):
     return serving.player_details(_view(spark, folder), 42)
 
@@ -195,6 +218,14 @@ FROM player_view WHERE lower(club) = 'nation_3'"""),
     "search_name": (search_name, f"""
 WITH {UNION_VIEW} SELECT DISTINCT player_id AS player_uuid, player_name AS full_name, "Pos" AS primary_position
 FROM player_view WHERE player_name ILIKE '%ER#00000001%' ORDER BY full_name, player_uuid LIMIT 25"""),
+    "search_indexed": (search_indexed, f"""
+WITH {UNION_VIEW}, renamed AS (SELECT player_id, player_name || CASE WHEN league_name = 'ASIA' THEN ' Jr' ELSE '' END AS full_name, "Pos" FROM player_view)
+SELECT DISTINCT player_id AS player_uuid, full_name, "Pos" AS primary_position FROM renamed WHERE full_name ILIKE '%ER#0000000%'
+ORDER BY full_name, player_uuid, primary_position LIMIT 40"""),
+    "last3_after_refresh": (last3_after_refresh, f"""
+WITH {SEASON_FACTS}, later AS (SELECT * REPLACE (CASE WHEN team_id = 'P' THEN goals + 10 ELSE goals END AS goals) FROM facts WHERE team_id <> 'P' OR o_orderkey % 4 <> 0),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY player_uuid ORDER BY season_id DESC) AS place FROM later)
+SELECT {_SUMMED}, player_uuid IN (SELECT player_uuid FROM facts WHERE team_id = 'P') AS anew FROM ranked WHERE place <= 3 GROUP BY player_uuid"""),
     "detail_by_id": (detail_by_id, f"WITH {UNION_VIEW} SELECT * FROM player_view WHERE player_id = 42"),
     "detail_of_season": (detail_of_season, f"""
 WITH {UNION_VIEW} SELECT * FROM player_view WHERE player_id = 42 AND season_code = '2022'"""),

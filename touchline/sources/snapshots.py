@@ -112,7 +112,20 @@ def read_table(spark: SparkSession, root: str, name: str, number: int | None = N
     number, tables = manifest(spark, root, number)
     if name not in tables:
         raise KeyError(f"no table {name} in version {number} of {root}")
-    schema, folders = StructType.fromJson(tables[name]["schema"]), tables[name]["folders"]
+    return _rows(spark, root, name, StructType.fromJson(tables[name]["schema"]), tables[name]["folders"])
+
+
+def changed_rows(spark: SparkSession, root: str, name: str, old: int, new: int) -> DataFrame:
+    """All rows of the partitions that loads between two versions have replaced, as they were and as they are."""
+    none = {"folders": {}}
+    was, now = (manifest(spark, root, number)[1].get(name, none) for number in (old, new))
+    schema = StructType.fromJson(now.get("schema") or was["schema"])
+    replaced = {f for f in was["folders"] | now["folders"] if was["folders"].get(f) != now["folders"].get(f)}
+    sides = [_rows(spark, root, name, schema, {f: at for f, at in t["folders"].items() if f in replaced}) for t in (was, now)]
+    return sides[0].unionByName(sides[1])
+
+
+def _rows(spark: SparkSession, root: str, name: str, schema: StructType, folders: dict[str, str]) -> DataFrame:
     if not folders:
         return spark.createDataFrame([], schema)
     base = f"{root.rstrip('/')}/data/{name}"
