@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.functions.parse import season_start
-from touchline.operators.skew import skew_join, top_rows
+from touchline.operators.skew import top_rows
 
 MAX_SIMILAR = 20
 MAX_OPPORTUNITIES = 200
@@ -42,8 +42,8 @@ def player_details(
 
 
 def players_with_ids(view: DataFrame, ids: DataFrame, player: str = "player_id") -> DataFrame:
-    """Rows of the listed players."""
-    return skew_join(view, ids.select(player).distinct(), [player], "left_semi")
+    """Rows of the listed players. A semi join never multiplies rows, so heavy players are left to adaptive execution."""
+    return view.join(ids.select(player).distinct(), player, "left_semi")
 
 
 def page(df: DataFrame, order: Sequence[Column], number: int = 1, size: int = 25) -> DataFrame:

@@ -74,6 +74,16 @@ def feature_matrix(spark, folder):
     return matrix.select("player_id", *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(5)])
 
 
+def feature_matrix_of_season(spark, folder):
+    """One season of a table of two."""
+    season = F.when(F.year("l_shipdate") < 1996, "early").otherwise("late")
+    stats = read(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("player_id"), season.alias("season_code")).agg(
+        F.sum("l_quantity").alias("Min"), F.sum("l_linenumber").alias("Gls")
+    )
+    matrix = features.feature_matrix(stats, ["Min", "Gls"], ["player_id", "season_code"], season="late")
+    return matrix.select("player_id", "season_code", *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(2)])
+
+
 def knn_players(spark, folder):
     near = season_build.build_neighbours(_stat_table(spark, folder), features.FIELD_FEATURES, 5)
     return near.select("player_id", "neighbour", F.col("rank").cast("int").alias("rank"), rounded("distance").alias("distance"))
@@ -305,6 +315,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - a) / b, 4) + 0.0
 FROM lineitem, m"""),
     "feature_matrix": (feature_matrix, f"""
 WITH {_STATS} SELECT player_id, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2, round(f3, 4) + 0.0 AS f3, round(f4, 4) + 0.0 AS f4 FROM scaled"""),
+    "feature_matrix_of_season": (feature_matrix_of_season, """
+WITH s AS (SELECT l_partkey AS player_id, sum(l_quantity) AS m, sum(l_linenumber) AS g FROM lineitem WHERE year(l_shipdate) >= 1996 GROUP BY 1 HAVING m >= 500)
+SELECT player_id, 'late' AS season_code, round((m - avg(m) OVER ()) / stddev_pop(m) OVER (), 4) + 0.0 AS f0, round((g - avg(g) OVER ()) / stddev_pop(g) OVER (), 4) + 0.0 AS f1 FROM s"""),
     "knn_players": (knn_players, f"""
 WITH {_STATS}, pairs AS (SELECT a.player_id, b.player_id AS neighbour,
   sqrt((a.f0 - b.f0) ** 2 + (a.f1 - b.f1) ** 2 + (a.f2 - b.f2) ** 2 + (a.f3 - b.f3) ** 2 + (a.f4 - b.f4) ** 2) AS distance
