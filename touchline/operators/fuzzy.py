@@ -173,9 +173,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
 
 
 def scored_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """Candidates with their score; not stored, since only the best of each name are wanted."""
     pairs = candidate_pairs(left, right, block, threshold)
-    scored = pairs.withColumn("score", token_set_ratio("a", "b")).filter(F.col("score") >= threshold)
-    return materialize(scored, "scored-pairs")
+    return pairs.withColumn("score", token_set_ratio("a", "b")).filter(F.col("score") >= threshold)
 
 
 def _best_first(payload: Sequence[str]) -> Column:
@@ -213,7 +213,7 @@ def similar_in_club(
         .agg(F.min(F.struct((-F.col("score")).alias("less"), "row")).alias("m"))
         .select(*block, "a", (-F.col("m.less")).alias("score"), F.col("m.row").alias("row"))
     )
-    return _with_rows(open_rows.filter(has_club), best, [*block, "a"], payload, "fuzzy_club")
+    return _with_rows(open_rows.filter(has_club), materialize(best, "best-in-club"), [*block, "a"], payload, "fuzzy_club")
 
 
 def similar_near_year(
@@ -256,4 +256,4 @@ def similar_near_year(
         .filter(F.col("second").isNull() | (F.col("score") - F.col("second") >= LEAD))
         .select(*block, "a", "score", "row")
     )
-    return _with_rows(open_rows, best, [*block, "a"], payload, "fuzzy_global")
+    return _with_rows(open_rows, materialize(best, "best-near-year"), [*block, "a"], payload, "fuzzy_global")
