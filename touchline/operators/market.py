@@ -43,6 +43,12 @@ def training_rows(matrix: DataFrame, players: DataFrame, on: Sequence[str] = ("p
     return joined.withColumn("label", F.log1p(F.col("latest_mv_eur")))
 
 
+def training_rows_bucketed(matrix: DataFrame, players: DataFrame, on: Sequence[str] = ("player_id", "season_code", "club")) -> DataFrame:
+    """``training_rows`` of two tables stored by ``write_bucketed`` with the keys ``on``: buckets are merged with each other, nothing is
+    shuffled."""
+    return players.hint("merge").join(matrix, list(on)).withColumn("label", F.log1p(F.col("latest_mv_eur")))
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 

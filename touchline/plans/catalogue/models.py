@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from touchline.operators import features, knn, market, serving, vector_index
@@ -200,6 +202,21 @@ def training_rows(spark, folder):
     return rows.select("player_id", rounded("label").alias("label"), *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(5)])
 
 
+def _bucketed(spark, df, label):
+    """The frame stored in buckets; its name goes at once, its files stay."""
+    table = f"{label}_{uuid.uuid4().hex}"
+    stored = writers.write_bucketed(df, table, scratch_path(spark, label), 16)
+    spark.sql(f"DROP TABLE {table}")
+    return stored
+
+
+def training_rows_bucketed(spark, folder):
+    matrix = features.feature_matrix(_stat_table(spark, folder), features.FIELD_FEATURES, ["player_id", "season_code", "club"])
+    players = market.valued_players(_facts(spark, folder))
+    rows = market.training_rows_bucketed(_bucketed(spark, matrix, "matrix"), _bucketed(spark, players, "players"))
+    return rows.select("player_id", rounded("label").alias("label"), *[rounded(F.col("features")[i]).alias(f"f{i}") for i in range(5)])
+
+
 def _by_group_mean(spark, folder):
     """The simplest value model: the mean log value of the position."""
     rows = market.valued_players(_facts(spark, folder)).withColumn("label", F.log1p("latest_mv_eur"))
@@ -357,6 +374,9 @@ FROM near JOIN player_view v ON neighbour = v.player_id WHERE place <= 50"""),
     "knn_stored": (knn_stored, f"""
 WITH {_PAIRS.format(where=" WHERE a.vec_id = 7")} SELECT neighbour, round(distance, 4) + 0.0 AS distance FROM pairs ORDER BY pairs.distance, neighbour LIMIT 5"""),
     "valued_players": (valued_players, f"WITH {_FACTS} SELECT * FROM valued"),
+    "training_rows_bucketed": (training_rows_bucketed, f"""
+WITH {_STATS}, {_FACTS} SELECT player_id, round(ln(1 + latest_mv_eur), 4) + 0.0 AS label, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2,
+  round(f3, 4) + 0.0 AS f3, round(f4, 4) + 0.0 AS f4 FROM valued JOIN scaled USING (player_id)"""),
     "training_rows": (training_rows, f"""
 WITH {_STATS}, {_FACTS} SELECT player_id, round(ln(1 + latest_mv_eur), 4) + 0.0 AS label, round(f0, 4) + 0.0 AS f0, round(f1, 4) + 0.0 AS f1, round(f2, 4) + 0.0 AS f2,
   round(f3, 4) + 0.0 AS f3, round(f4, 4) + 0.0 AS f4 FROM valued JOIN scaled USING (player_id)"""),

@@ -43,6 +43,17 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str] = ("player_id", "season_code", "club")) -> DataFrame:
+    """Store a table in ``buckets`` files by a hash of the keys, sorted, with a Bloom filter on the first key; returns it as read back.
+
+    Tables of as many buckets join on all these keys without a shuffle. Spark shuffles again where a join has more keys than the
+    buckets, so they are dealt by all; a search for one player passes over the row groups whose filter rules it out.
+    """
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    dealt.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").saveAsTable(table, path=path)
+    return df.sparkSession.table(table)
+
+
 def refresh_partitions(df: DataFrame, path: str, refreshed: DataFrame | None = None, partition: Sequence[str] = PARTITION) -> None:
     """Replace the partitions of ``df`` and leave all others; running it twice equals running it once.
 
