@@ -1,156 +1,198 @@
-"""Scores of texts under a probabilistic suffix tree, beside a unigram base.
+"""Scores of texts under a probabilistic suffix tree over words, beside a unigram base.
 
-Symbols are classes of characters: a letter each, digits, white space, some punctuation, the end of a text, and eight
-classes of characters beyond ASCII. The tree's states are contexts of up to three symbols. All contexts are counted over
-all training texts; one is kept if the distribution of its next symbol diverges from that of its longest kept suffix, by
-the log likelihood that the training texts gain. Distributions are smoothed towards the suffix's. A text is scored symbol by
-symbol with the longest kept suffix of what came before, times the probability of the character in its class.
+Symbols are the words of a text and its end; the mark before the first word counts as an end. A state is a context of any number of
+words. Contexts grow by one word per round, only from states that more than one symbol follows: Spark counts (context,
+next symbol) over all training positions that are still open, sums them before the shuffle, and keeps a context if it is rarer
+than its suffix and its distribution diverges from its suffix's, by the MIN_GAIN nats that its own training positions
+gain. A context that one symbol follows has nothing left to tell, so rounds end where the data end them; there is no longest context, and
+the states are tables that grow with the corpus and are never brought together.
 
-The counts are a table of at most CLASSES ** 4 cells and one cell per character, whatever the corpus; they are summed per task,
-then on Spark, and only the tree is shipped. Word counts of the unigram base are never brought together: words above
-a 300,000th of all tokens, which are at most 300,000, are joined from a broadcast and all others by a shuffle.
+With c of n training positions of a context followed by w, and k different symbols seen there, P(w | context) =
+(max(c - 1, 0) + k P(w | suffix)) / n: one occurrence of each symbol is handed to the suffix, and the distribution of the empty
+context is the base's. A text's score is the base plus, per position, what each state on the way to the longest one changes.
+Symbols seen once need no row for that: they change by k / n whatever the suffix says.
+
+Contexts of words above a 300,000th of all tokens, at most 300,000, are joined from a broadcast, all others by a shuffle. Symbols are
+64-bit hashes of words, longer contexts hash chains of them; the base counts words by 96 bits.
 
 Defined cases: null texts count as empty, and an empty text has one token, its end; rows that agree in id and text have equal
-scores; with no training text the tree is uniform and the base knows no word; an empty table gives no rows; other columns
+scores; with no training text there are no states and the base knows no word; an empty table gives no rows; other columns
 are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.common import ascii_lower, row_key, text_or_empty
-from touchline.session import materialize
+from touchline.session import bound_batches, materialize
 
-DEPTH, CLASSES = 3, 40
-MIN_GAIN = 12.0  # nats of training text that a context must gain
-SMOOTHING = 8.0
+MIN_GAIN = 4.0  # nats of training text that a context must gain
 HEAD_SHARE = 300_000
-# Classes after the 26 letters; the last eight are for characters beyond ASCII.
-_SPACE, _END, _DIGIT, _STOP, _COMMA, _OTHER, _BEYOND = 26, 27, 28, 29, 30, 31, 32
-_CELLS = CLASSES ** (DEPTH + 1)
-
-
-def class_table() -> np.ndarray:
-    """The class of every code point; 0 stands for the end of a text."""
-    table = (_BEYOND + np.arange(0x110000) % 8).astype(np.uint8)
-    table[:128] = _OTHER
-    table[ord("a") : ord("z") + 1] = np.arange(26)
-    table[ord("0") : ord("9") + 1] = _DIGIT
-    table[[ord(" "), 0, ord("."), ord(",")]] = [_SPACE, _END, _STOP, _COMMA]
-    return table
-
-
-def normal(text: str | None) -> str:
-    """Lower-cased A-Z, one space between words, no end mark inside."""
-    words = (text or "").encode("utf-8", "surrogatepass").replace(b"\0", b"\x01").lower().split()
-    return b" ".join(words).decode("utf-8", "surrogatepass")
-
-
-def _coded(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per predicted symbol its cell (context and symbol) and code point; and where each text begins. Every text starts
-    from ends and predicts its own."""
-    pad = "\0" * DEPTH
-    points = np.frombuffer("".join(f"{pad}{t}\0" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1 + DEPTH
-    symbols = table[points].astype(np.int64)
-    cell = symbols[DEPTH:].copy()
-    for back in range(1, DEPTH + 1):
-        cell += symbols[DEPTH - back : len(symbols) - back] * CLASSES**back
-    begins = np.cumsum(sizes) - sizes
-    padding = (begins[1:, None] + np.arange(DEPTH)).ravel() - DEPTH
-    own = np.ones(len(cell), bool)
-    own[padding] = False
-    return cell[own], points[DEPTH:][own], begins - DEPTH * np.arange(len(texts))
-
-
-def _batches(texts: pd.Series, most: int = 1 << 22) -> Iterator[list[str]]:
-    """Normal texts in lists of bounded length; a longer text is alone."""
-    waiting, size = [], 0
+# Words before the context that a position carries; they are fetched anew after as many rounds.
+AHEAD = 4
+_BACK = [f"b{j}" for j in range(AHEAD)]
+
+
+def _symbols(texts: list[str], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of an end, the words and an end of each text, one after the other; and where each text begins."""
+    import xxhash
+
+    words: list[bytes] = []
+    sizes = []
     for text in texts:
-        text = normal(text)
+        own = text.encode("utf-8", "surrogatepass").lower().split()
+        words += [b"", *own, b""]
+        sizes.append(len(own) + 2)
+    if len(known) > 1_000_000:
+        known.clear()
+    for word in set(words).difference(known):
+        known[word] = xxhash.xxh64_intdigest(word, 42)
+    sizes = np.array(sizes, np.int64)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words)).view(np.int64), np.cumsum(sizes) - sizes
+
+
+def _pieces(texts: pd.Series, most: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+    """Texts in lists of bounded length, with the place of the first; a longer text is alone."""
+    first, size, waiting = 0, 0, []
+    for i, text in enumerate(texts):
         if waiting and size + len(text) > most:
-            yield waiting
-            waiting, size = [], 0
+            yield first, waiting
+            first, size, waiting = i, 0, []
         waiting.append(text)
-        size += len(text) + 1 + DEPTH
+        size += len(text)
     if waiting:
-        yield waiting
+        yield first, waiting
+
+
+def following(rows: DataFrame) -> DataFrame:
+    """A row per symbol of the texts of ``rows``: the word before it (ctx) and itself (next)."""
+
+    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
+        for frame in frames:
+            for _, texts in _pieces(frame["text"]):
+                symbols, begins = _symbols(texts, known)
+                own = np.ones(len(symbols), bool)
+                own[begins] = False
+                at = np.flatnonzero(own)
+                yield pd.DataFrame({"ctx": symbols[at - 1], "next": symbols[at]})
 
+    return rows.select("text").mapInPandas(split, "ctx long, next long")
 
-def _counted(training: DataFrame) -> DataFrame:
-    """Counts per cell, and per code point above all cells."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = class_table()
-        cells, points = np.zeros(_CELLS, np.int64), np.zeros(0x110000, np.int64)
+def positions(rows: DataFrame, skip: int = 0) -> DataFrame:
+    """``following`` with the row's ``key`` and ``train``, the place t of the symbol, and AHEAD words before its ``skip`` + 1
+    last ones (0 where the text had not begun)."""
+
+    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
         for frame in frames:
-            for texts in _batches(frame["text"]):
-                cell, point, _ = _coded(texts, table)
-                cells += np.bincount(cell, minlength=_CELLS)
-                seen, times = np.unique(point, return_counts=True)
-                points[seen] += times
-        for base, counts in ((0, cells), (_CELLS, points)):
-            found = np.flatnonzero(counts)
-            yield pd.DataFrame({"cell": found + base, "n": counts[found]})
-
-    return training.select("text").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-
-
-class SuffixTree:
-    """``log_next``: log10 of the probability of a symbol after each context of DEPTH symbols; ``log_point``: of a code
-    point in its class; ``kept``: how many contexts of each length are states."""
-
-    def __init__(self, cells: np.ndarray, points: np.ndarray):
-        counts = [cells.reshape((CLASSES,) * (DEPTH + 1)).astype(np.float64)]
-        while counts[-1].ndim > 1:
-            counts.append(counts[-1].sum(axis=0))
-        counts.reverse()
-        known = (counts[0] + 1) / (counts[0].sum() + CLASSES)
-        self.kept = [1]
-        for table in counts[1:]:
-            total = table.sum(axis=-1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.where(table > 0, table * (np.log(table / total) - np.log(known)), 0.0).sum(axis=-1, keepdims=True)
-            smooth = (table + SMOOTHING * known) / (total + SMOOTHING)
-            self.kept.append(int((gain >= MIN_GAIN).sum()))
-            known = np.where(gain >= MIN_GAIN, smooth, np.broadcast_to(known, table.shape))
-        self.log_next = np.log10(known).ravel()
-        classes = class_table()
-        members = np.bincount(classes, minlength=CLASSES)
-        in_class = np.bincount(classes, weights=points, minlength=CLASSES)
-        self.log_point = np.log10((points + 1) / (in_class + members)[classes])
-
-    def score(self, texts: list[str], table: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each (normal) text and its end."""
-        cell, point, begins = _coded(texts, table)
-        return np.add.reduceat(self.log_next[cell] + self.log_point[point], begins)
-
-
-def learn(training: DataFrame) -> SuffixTree:
-    """The tree over the texts of column ``text``."""
-    rows = _counted(training).toPandas()  # at most _CELLS and one per code point
-    counts = np.zeros(_CELLS + 0x110000, np.int64)
-    counts[rows.cell.to_numpy(np.int64)] = rows.n.to_numpy(np.int64)
-    return SuffixTree(counts[:_CELLS], counts[_CELLS:])
-
-
-def score(text: Column | str, tree: SuffixTree, spark) -> Column:
-    shipped = spark.sparkContext.broadcast((tree.log_next.astype(np.float32), tree.log_point.astype(np.float32)))
-
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table, own = class_table(), SuffixTree.__new__(SuffixTree)
-        own.log_next, own.log_point = (t.astype(np.float64) for t in shipped.value)
-        for batch in batches:
-            parts = [own.score(texts, table) for texts in _batches(batch)]
-            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
-
-    return scored(F.col(text) if isinstance(text, str) else text)
+            keys, train = frame["key"].to_numpy(), frame["train"].to_numpy()
+            for first, texts in _pieces(frame["text"]):
+                symbols, begins = _symbols(texts, known)
+                short = (symbols & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+                text = np.repeat(np.arange(len(texts)), np.diff(np.append(begins, len(symbols))))
+                own = np.ones(len(symbols), bool)
+                own[begins] = False
+                for at in np.array_split(np.flatnonzero(own), len(symbols) // 200_000 + 1):
+                    begin = begins[text[at]]
+                    out = {"key": keys[first + text[at]], "train": train[first + text[at]], "t": (at - begin - 1).astype(np.int32)}
+                    out |= {"ctx": symbols[at - 1], "next": symbols[at]}
+                    for j, name in enumerate(_BACK):
+                        before = at - 2 - skip - j
+                        out[name] = np.where(before >= begin, short[np.maximum(before, 0)], np.int32(0))
+                    yield pd.DataFrame(out)
+
+    backs = ", ".join(f"{name} int" for name in _BACK)
+    return rows.select("key", "train", "text").mapInPandas(split, f"key long, train boolean, t int, ctx long, next long, {backs}")
+
+
+def _folded(counts: DataFrame, label: str, *carried: str) -> DataFrame:
+    """Per context one row for each symbol that follows it more than once, and one (``next`` null) for all others."""
+    several = F.when(F.col("c") > 1, F.col("next")).alias("next")
+    sums = [F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds"), *[F.max(name).alias(name) for name in carried]]
+    return materialize(counts.groupBy("ctx", several).agg(*sums), label)
+
+
+def _states(folded: DataFrame, followers: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The contexts that pass the divergence test (ctx, n, kinds), and how the symbols that follow them more than once
+    change (ctx, next, delta, log_p), given ``followers`` (ctx, next, c and log_p, what their suffixes say)."""
+    sums = folded.groupBy("ctx").agg(
+        F.sum("c").alias("n"), F.sum("kinds").alias("kinds"), F.sum(F.when(F.col("next").isNull(), F.col("c")).otherwise(0)).alias("once"),
+        F.max(F.col("next").isNotNull()).alias("several"), F.max("wider").alias("wider"),
+    )
+    sums = sums.filter("several and (wider is null or n < wider)").drop("several", "wider")
+    p = (F.col("c") - 1 + F.col("kinds") * F.pow(F.lit(10.0), "log_p")) / F.col("n")
+    changed = followers.join(sums, "ctx").withColumn("delta", F.log10(p) - F.col("log_p"))
+    alone = F.max("once") * F.log(F.max("kinds") / F.max("n"))
+    gain = alone + F.sum(F.col("c") * F.col("delta")) * float(np.log(10))
+    kept = changed.groupBy("ctx").agg(F.max("n").alias("n"), F.max("kinds").alias("kinds"), gain.alias("gain"))
+    states = materialize(kept.filter(F.col("gain") >= MIN_GAIN).drop("gain"), f"{label}-states")
+    told = changed.join(states.select("ctx"), "ctx", "left_semi")
+    return states, materialize(told.select("ctx", "next", "delta", (F.col("log_p") + F.col("delta")).alias("log_p")), f"{label}-followers")
+
+
+def _changes(at: DataFrame, followers: DataFrame, label: str) -> DataFrame:
+    """Positions in states with what the state changes there; ``wider`` is the state's count, ``open`` whether it can grow."""
+    rows = at.drop("log_p", "wider").join(followers, ["ctx", "next"], "left")
+    other = F.log10(F.col("kinds") / F.col("n"))
+    return materialize(
+        rows.select(
+            "key", "train", "t", "ctx", "next", *_BACK, F.coalesce("delta", other).alias("delta"), "log_p",
+            F.col("n").alias("wider"), (F.col("kinds") > 1).alias("open"),
+        ),
+        label,
+    )
+
+
+def grow(rows: DataFrame, vocabulary: DataFrame, total: int, kinds: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Per round the states of one more word, and the positions of all texts in them with their changes (key, t, delta).
+
+    ``rows`` has key, text and train; ``vocabulary`` the training counts of all symbols (h, c), ``total`` and ``kinds``
+    their sum and number.
+    """
+    bound_batches(rows.sparkSession)
+    counts = following(rows.filter("train")).groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("c"))
+    folded = _folded(counts.withColumn("wider", F.lit(None).cast("long")), "contexts-1", "wider")
+    symbols = vocabulary.groupBy(F.col("h").alias("next")).agg(F.sum("c").alias("all"))
+    log_p = F.log10((F.col("all") + 1) / F.lit(float(total + kinds + 1)))
+    several = folded.filter("next is not null").select("ctx", "next", "c")
+    followers = several.join(symbols, "next").select("ctx", "next", "c", log_p.alias("log_p"))
+    states, told = _states(folded, followers, "level-1")
+    if states.isEmpty():
+        return
+    often = F.broadcast(vocabulary.filter(F.col("c") * HEAD_SHARE >= total).select(F.col("h").alias("ctx")).distinct())
+    at, heads = positions(rows), F.broadcast(states.join(often, "ctx", "left_semi"))
+    frequent = at.join(heads, "ctx")
+    rare = at.join(often, "ctx", "left_anti").join(states.join(often, "ctx", "left_anti").hint("shuffle_hash"), "ctx")
+    both = frequent.unionByName(rare).withColumns({"log_p": F.lit(None).cast("double"), "wider": F.lit(None).cast("long")})
+    now = _changes(both, told, "level-1")
+    for level in count(2):
+        yield states, now
+        # a context of this many words must lie within the text and the mark before it
+        at = now.filter(F.col("open") & (F.col("t") >= level - 1)).drop("delta", "open")
+        j = (level - 2) % AHEAD
+        if level > 2 and j == 0:
+            texts = rows.join(at.select("key").distinct(), "key", "left_semi")
+            anew = positions(texts.dropDuplicates(["key"]), level - 2).select("key", "t", *_BACK)
+            at = at.drop(*_BACK).join(anew, ["key", "t"])
+        at = at.withColumn("ctx", F.xxhash64("ctx", F.lit(level), _BACK[j]))
+        at = materialize(at, f"level-{level}-open") if level > 2 and j == 0 else at
+        counts = at.filter("train").groupBy("ctx", "next").agg(
+            F.count(F.lit(1)).alias("c"), F.max("log_p").alias("log_p"), F.max("wider").alias("wider")
+        )
+        folded = _folded(counts, f"contexts-{level}", "log_p", "wider")
+        followers = folded.filter("next is not null").select("ctx", "next", "c", "log_p")
+        states, told = _states(folded, followers, f"level-{level}")
+        if states.isEmpty():
+            return
+        now = _changes(at.join(states, "ctx"), told, f"level-{level}")
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
@@ -166,15 +208,20 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return _tokens(rows).groupBy("h", "g").agg(F.count(F.lit(1)).alias("c"))
 
 
-def unigram_scores(rows: DataFrame, training: Column) -> DataFrame:
-    """Per key of ``rows`` (doc_id, key, text): n_tokens, n_known, train_tokens and base_score, with add-one smoothing over the
-    training rows and one more word for all unknown ones. A text's end is a token."""
-    vocabulary = materialize(word_counts(rows.filter(training)), "vocabulary")
-    n_ends = rows.filter(training).count()
+def training_symbols(rows: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """Counts of the words of the training rows, the number of their ends, of all symbols and of different ones."""
+    training = rows.filter("train")
+    vocabulary = materialize(word_counts(training), "vocabulary")
+    ends = training.count()
     words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    total, kinds = words + n_ends, kinds + (n_ends > 0)
-    head = F.broadcast(vocabulary.filter(F.col("c") * HEAD_SHARE >= words))
-    tail = vocabulary.filter(F.col("c") * HEAD_SHARE < words)
+    return vocabulary, ends, words + ends, kinds + (ends > 0)
+
+
+def unigram_scores(rows: DataFrame, vocabulary: DataFrame, n_ends: int, total: int, kinds: int) -> DataFrame:
+    """Per key of ``rows`` (doc_id, key, text): copies, n_tokens, n_known, train_tokens and base_score, with add-one smoothing over
+    the training rows and one more word for all unknown ones. A text's end is a token."""
+    head = F.broadcast(vocabulary.filter(F.col("c") * HEAD_SHARE >= total))
+    tail = vocabulary.filter(F.col("c") * HEAD_SHARE < total)
     tokens = _tokens(rows)
     sums = [F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("logs").alias("logs"), F.sum("copies").alias("copies")]
     one, log = F.lit(1).cast("long"), F.log10(F.coalesce("c", F.lit(0)) + 1)
@@ -191,7 +238,7 @@ def unigram_scores(rows: DataFrame, training: Column) -> DataFrame:
     summed = frequent.unionByName(rest).unionByName(ends).groupBy("key").agg(*sums)
     n = (F.col("n") / F.col("copies")).cast("long")
     return summed.select(
-        "key", n.alias("n_tokens"), (F.col("known") / F.col("copies")).cast("long").alias("n_known"),
+        "key", "copies", n.alias("n_tokens"), (F.col("known") / F.col("copies")).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") / F.col("copies") - n * F.lit(float(np.log10(total + kinds + 1)))).alias("base_score"),
     )
@@ -200,9 +247,20 @@ def unigram_scores(rows: DataFrame, training: Column) -> DataFrame:
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """Scores of all documents, learned from those that are not held out."""
     rows = docs.select("doc_id", row_key().alias("key"), text_or_empty("text").alias("text"), held_out.alias("held_out"))
-    base = materialize(unigram_scores(rows.select("key", "text", "held_out"), ~F.col("held_out")), "unigram-scores")
-    tree = learn(rows.filter(~F.col("held_out")))
-    scored = rows.select("doc_id", F.col("key").alias("_key"), "held_out", score("text", tree, docs.sparkSession).alias("score"))
-    return scored.join(base, F.col("_key") == F.col("key")).select(
+    rows = rows.withColumn("train", ~F.col("held_out"))
+    vocabulary, ends, total, kinds = training_symbols(rows)
+    base = materialize(unigram_scores(rows, vocabulary, ends, total, kinds), "unigram-scores")
+    end = vocabulary.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("h"), F.lit(ends).cast("long").alias("c"))
+    levels = [now.select("key", "delta") for _, now in grow(rows, vocabulary.select("h", "c").unionByName(end), total, kinds)]
+    changes = None
+    for level in levels:
+        changes = level if changes is None else changes.unionByName(level)
+    score = F.col("base_score")
+    if changes is not None:
+        changes = changes.groupBy(F.col("key").alias("_changed")).agg(F.sum("delta").alias("_delta"))
+        base = base.join(changes, F.col("key") == F.col("_changed"), "left")
+        score = score + F.coalesce(F.col("_delta") / F.col("copies"), F.lit(0.0))
+    scored = base.withColumn("score", score)
+    return rows.select("doc_id", F.col("key").alias("_key"), "held_out").join(scored, F.col("_key") == F.col("key")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
