@@ -36,6 +36,8 @@ MIN_GAIN = 4.0  # nats of training text that a context must gain
 HEAD_SHARE = 300_000
 # Words before the context that a position carries; they are fetched anew after as many rounds.
 AHEAD = 4
+# Positions of the first round are sifted by a bit map of 8 MB before they are joined.
+SLOT_BITS = 26
 _BACK = [f"b{j}" for j in range(AHEAD)]
 
 
@@ -86,9 +88,26 @@ def following(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInPandas(split, "ctx long, next long")
 
 
-def positions(rows: DataFrame, skip: int = 0) -> DataFrame:
+def _slots(contexts: DataFrame) -> np.ndarray:
+    """A bit map of SLOT_BITS slots with those of the contexts set: of fixed size, whatever their number."""
+    slot = F.col("ctx").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = contexts.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2 ** SLOT_BITS / 64
+    found = np.zeros(1 << (SLOT_BITS - 6), np.int64)
+    found[rows.word.to_numpy(np.int64)] = rows.bits.to_numpy(np.int64)
+    return found.view(np.uint64)
+
+
+def positions(rows: DataFrame, skip: int = 0, among: DataFrame | None = None) -> DataFrame:
     """``following`` with the row's ``key`` and ``train``, the place t of the symbol, and AHEAD words before its ``skip`` + 1
-    last ones (0 where the text had not begun)."""
+    last ones (0 where the text had not begun). With ``among`` (ctx) only positions after words whose slot one of them has: all
+    that follow one, and the fewer others the fewer slots are set; a join decides."""
+    shipped = rows.sparkSession.sparkContext.broadcast(_slots(among)) if among is not None else None
+
+    def wanted(before: np.ndarray) -> np.ndarray:
+        slot = before & ((1 << SLOT_BITS) - 1)
+        return (shipped.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[bytes, int] = {}
@@ -100,7 +119,10 @@ def positions(rows: DataFrame, skip: int = 0) -> DataFrame:
                 text = np.repeat(np.arange(len(texts)), np.diff(np.append(begins, len(symbols))))
                 own = np.ones(len(symbols), bool)
                 own[begins] = False
-                for at in np.array_split(np.flatnonzero(own), len(symbols) // 200_000 + 1):
+                after = np.flatnonzero(own)
+                if shipped is not None:
+                    after = after[wanted(symbols[after - 1])]
+                for at in np.array_split(after, len(after) // 200_000 + 1):
                     begin = begins[text[at]]
                     out = {"key": keys[first + text[at]], "train": train[first + text[at]], "t": (at - begin - 1).astype(np.int32)}
                     out |= {"ctx": symbols[at - 1], "next": symbols[at]}
@@ -168,9 +190,9 @@ def grow(rows: DataFrame, vocabulary: DataFrame, total: int, kinds: int) -> Iter
     if states.isEmpty():
         return
     often = F.broadcast(vocabulary.filter(F.col("c") * HEAD_SHARE >= total).select(F.col("h").alias("ctx")).distinct())
-    at, heads = positions(rows), F.broadcast(states.join(often, "ctx", "left_semi"))
-    frequent = at.join(heads, "ctx")
-    rare = at.join(often, "ctx", "left_anti").join(states.join(often, "ctx", "left_anti").hint("shuffle_hash"), "ctx")
+    heads, others = states.join(often, "ctx", "left_semi"), states.join(often, "ctx", "left_anti")
+    frequent = positions(rows, among=heads).join(F.broadcast(heads), "ctx")
+    rare = positions(rows, among=others).join(others.hint("shuffle_hash"), "ctx")
     both = frequent.unionByName(rare).withColumns({"log_p": F.lit(None).cast("double"), "wider": F.lit(None).cast("long")})
     now = _changes(both, told, "level-1")
     for level in count(2):
