@@ -77,6 +77,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_step(step: DataFrame) -> None:
+    """Delete the table of a ``materialize``, once all that reads it is written."""
+    spark = step.sparkSession
+    written = {path for path in _written for file in step.inputFiles() if f"/{path.rsplit('/', 1)[-1]}/" in file}
+    for path in written:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _written.remove(path)
+
+
 def discard_scratch(spark: SparkSession) -> int:
     """Delete what ``materialize`` has written so far, once the results that read it are stored; returns the count."""
     removed = 0
