@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.common import ascii_lower, row_key, text_or_empty
-from touchline.session import bound_batches, materialize
+from touchline.session import bound_batches, discard_step, materialize
 
 MIN_GAIN = 4.0  # nats of training text that a context must gain
 HEAD_SHARE = 300_000
@@ -99,15 +99,18 @@ def _slots(contexts: DataFrame) -> np.ndarray:
     return found.view(np.uint64)
 
 
-def positions(rows: DataFrame, skip: int = 0, among: DataFrame | None = None) -> DataFrame:
+def positions(rows: DataFrame, skip: int = 0, states: DataFrame | None = None) -> DataFrame:
     """``following`` with the row's ``key`` and ``train``, the place t of the symbol, and AHEAD words before its ``skip`` + 1
-    last ones (0 where the text had not begun). With ``among`` (ctx) only positions after words whose slot one of them has: all
-    that follow one, and the fewer others the fewer slots are set; a join decides."""
-    shipped = rows.sparkSession.sparkContext.broadcast(_slots(among)) if among is not None else None
-
-    def wanted(before: np.ndarray) -> np.ndarray:
+    last ones (0 where the text had not begun). With ``states`` (ctx, kinds) only positions after words whose slot one of them has: all
+    that follow one, and the fewer others the fewer slots are set; a join decides. Place and words before are left 0 where no state
+    of the slot can grow, since only growing asks for them."""
+    shipped = None
+    if states is not None:
+        shipped = rows.sparkSession.sparkContext.broadcast((_slots(states), _slots(states.filter("kinds > 1"))))
+
+    def wanted(before: np.ndarray, which: int) -> np.ndarray:
         slot = before & ((1 << SLOT_BITS) - 1)
-        return (shipped.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return (shipped.value[which][slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[bytes, int] = {}
@@ -121,14 +124,16 @@ def positions(rows: DataFrame, skip: int = 0, among: DataFrame | None = None) ->
                 own[begins] = False
                 after = np.flatnonzero(own)
                 if shipped is not None:
-                    after = after[wanted(symbols[after - 1])]
+                    after = after[wanted(symbols[after - 1], 0)]
                 for at in np.array_split(after, len(after) // 200_000 + 1):
                     begin = begins[text[at]]
-                    out = {"key": keys[first + text[at]], "train": train[first + text[at]], "t": (at - begin - 1).astype(np.int32)}
+                    grows = wanted(symbols[at - 1], 1) if shipped is not None else np.ones(len(at), bool)
+                    place = np.where(grows, at - begin - 1, 0).astype(np.int32)
+                    out = {"key": keys[first + text[at]], "train": train[first + text[at]], "t": place}
                     out |= {"ctx": symbols[at - 1], "next": symbols[at]}
                     for j, name in enumerate(_BACK):
                         before = at - 2 - skip - j
-                        out[name] = np.where(before >= begin, short[np.maximum(before, 0)], np.int32(0))
+                        out[name] = np.where((before >= begin) & grows, short[np.maximum(before, 0)], np.int32(0))
                     yield pd.DataFrame(out)
 
     backs = ", ".join(f"{name} int" for name in _BACK)
@@ -160,17 +165,32 @@ def _states(folded: DataFrame, followers: DataFrame, label: str) -> tuple[DataFr
     return states, materialize(told.select("ctx", "next", "delta", (F.col("log_p") + F.col("delta")).alias("log_p")), f"{label}-followers")
 
 
-def _changes(at: DataFrame, followers: DataFrame, label: str) -> DataFrame:
-    """Positions in states with what the state changes there; ``wider`` is the state's count, ``open`` whether it can grow."""
+def _changes(at: DataFrame, followers: DataFrame) -> DataFrame:
+    """Positions in states with what the state changes there; ``wider`` is the state's count, ``open`` whether it can grow. The
+    columns that only growing asks for are null where it cannot."""
     rows = at.drop("log_p", "wider").join(followers, ["ctx", "next"], "left")
     other = F.log10(F.col("kinds") / F.col("n"))
-    return materialize(
-        rows.select(
-            "key", "train", "t", "ctx", "next", *_BACK, F.coalesce("delta", other).alias("delta"), "log_p",
-            F.col("n").alias("wider"), (F.col("kinds") > 1).alias("open"),
-        ),
-        label,
-    )
+    grows = F.col("kinds") > 1
+    asked = [F.when(grows, F.col(name)).alias(name) for name in ("train", "t", "ctx", "next", *_BACK, "log_p", "n")]
+    return rows.select("key", *asked, F.coalesce("delta", other).alias("delta"), grows.alias("open")).withColumnRenamed("n", "wider")
+
+
+# Spark's setting that lets a join by two columns use a partitioning by the first one.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def _first_changes(rows: DataFrame, states: DataFrame, followers: DataFrame, often: DataFrame) -> DataFrame:
+    """The changes of single words. Rare words, which are no hot keys, are dealt once, by the word, for both joins."""
+    spark = rows.sparkSession
+    heads, others = states.join(F.broadcast(often), "ctx", "left_semi"), states.join(F.broadcast(often), "ctx", "left_anti")
+    frequent = _changes(positions(rows, states=heads).join(F.broadcast(heads), "ctx"), followers)
+    rare = positions(rows, states=others).join(others.hint("shuffle_hash"), "ctx")
+    before = spark.conf.get(ALL_KEYS)
+    spark.conf.set(ALL_KEYS, "false")
+    try:
+        return materialize(frequent.unionByName(_changes(rare, followers.hint("shuffle_hash"))), "level-1")
+    finally:
+        spark.conf.set(ALL_KEYS, before)
 
 
 def grow(rows: DataFrame, vocabulary: DataFrame, total: int, kinds: int) -> Iterator[tuple[DataFrame, DataFrame]]:
@@ -189,12 +209,9 @@ def grow(rows: DataFrame, vocabulary: DataFrame, total: int, kinds: int) -> Iter
     states, told = _states(folded, followers, "level-1")
     if states.isEmpty():
         return
-    often = F.broadcast(vocabulary.filter(F.col("c") * HEAD_SHARE >= total).select(F.col("h").alias("ctx")).distinct())
-    heads, others = states.join(often, "ctx", "left_semi"), states.join(often, "ctx", "left_anti")
-    frequent = positions(rows, among=heads).join(F.broadcast(heads), "ctx")
-    rare = positions(rows, among=others).join(others.hint("shuffle_hash"), "ctx")
-    both = frequent.unionByName(rare).withColumns({"log_p": F.lit(None).cast("double"), "wider": F.lit(None).cast("long")})
-    now = _changes(both, told, "level-1")
+    discard_step(folded)
+    often = vocabulary.filter(F.col("c") * HEAD_SHARE >= total).select(F.col("h").alias("ctx")).distinct()
+    now = _first_changes(rows, states, told, often)
     for level in count(2):
         yield states, now
         # a context of this many words must lie within the text and the mark before it
@@ -214,7 +231,8 @@ def grow(rows: DataFrame, vocabulary: DataFrame, total: int, kinds: int) -> Iter
         states, told = _states(folded, followers, f"level-{level}")
         if states.isEmpty():
             return
-        now = _changes(at.join(states, "ctx"), told, f"level-{level}")
+        discard_step(folded)
+        now = materialize(_changes(at.join(states, "ctx"), told), f"level-{level}")
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
