@@ -22,6 +22,7 @@ are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import count
 
@@ -88,15 +89,19 @@ def following(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInPandas(split, "ctx long, next long")
 
 
-def _slots(contexts: DataFrame) -> np.ndarray:
-    """A bit map of SLOT_BITS slots with those of the contexts set: of fixed size, whatever their number."""
+def _slots(contexts: DataFrame) -> bytes:
+    """A bit map of SLOT_BITS slots with those of the contexts set, compressed: 8 MB at most, whatever their number."""
     slot = F.col("ctx").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
     words = contexts.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2 ** SLOT_BITS / 64
     found = np.zeros(1 << (SLOT_BITS - 6), np.int64)
     found[rows.word.to_numpy(np.int64)] = rows.bits.to_numpy(np.int64)
-    return found.view(np.uint64)
+    return zlib.compress(found.tobytes(), 1)
+
+
+def _opened(slots: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(slots), np.uint64)
 
 
 def positions(rows: DataFrame, skip: int = 0, states: DataFrame | None = None) -> DataFrame:
@@ -108,12 +113,13 @@ def positions(rows: DataFrame, skip: int = 0, states: DataFrame | None = None) -
     if states is not None:
         shipped = rows.sparkSession.sparkContext.broadcast((_slots(states), _slots(states.filter("kinds > 1"))))
 
-    def wanted(before: np.ndarray, which: int) -> np.ndarray:
+    def wanted(before: np.ndarray, bits: np.ndarray) -> np.ndarray:
         slot = before & ((1 << SLOT_BITS) - 1)
-        return (shipped.value[which][slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[bytes, int] = {}
+        any_state, growing = map(_opened, shipped.value) if shipped is not None else (None, None)
         for frame in frames:
             keys, train = frame["key"].to_numpy(), frame["train"].to_numpy()
             for first, texts in _pieces(frame["text"]):
@@ -124,10 +130,10 @@ def positions(rows: DataFrame, skip: int = 0, states: DataFrame | None = None) -
                 own[begins] = False
                 after = np.flatnonzero(own)
                 if shipped is not None:
-                    after = after[wanted(symbols[after - 1], 0)]
+                    after = after[wanted(symbols[after - 1], any_state)]
                 for at in np.array_split(after, len(after) // 200_000 + 1):
                     begin = begins[text[at]]
-                    grows = wanted(symbols[at - 1], 1) if shipped is not None else np.ones(len(at), bool)
+                    grows = wanted(symbols[at - 1], growing) if shipped is not None else np.ones(len(at), bool)
                     place = np.where(grows, at - begin - 1, 0).astype(np.int32)
                     out = {"key": keys[first + text[at]], "train": train[first + text[at]], "t": place}
                     out |= {"ctx": symbols[at - 1], "next": symbols[at]}
