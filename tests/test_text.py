@@ -31,6 +31,19 @@ def test_nfkd_key_expands_ligatures(one):
     assert one(lambda c: text.name_key(c, spell_out=False, expand=True), NAMES) == [plain_key(n) for n in NAMES]
 
 
+def test_every_expansion_and_its_neighbours(one):
+    """One text of all characters that are spelled out, between others; the class that finds them is short."""
+    pattern, table = text._expansions()
+    assert len(pattern) < 2000
+    # characters that are younger than the JVM's Unicode count as unprintable there
+    old = {char: parts for char, parts in table.items() if unicodedata.ucd_3_2_0.category(char) != "Cn"}
+    plain = "".join(f"{char}é日{char}{char}b " for char in old)
+    spelled = "".join(f"{parts}e{parts}{parts}b ".lower() for parts in old.values())
+    found = one(lambda c: text.name_key(c, spell_out=False, expand=True), [plain, "ﬁ", "ab", None])
+    assert found == [" ".join(spelled.split()), "fi", "ab", ""]
+
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(st.characters(min_codepoint=32, max_codepoint=0x17F), max_size=20), min_size=1, max_size=50))
 def test_latin_text_agrees_with_decomposition(one, names):

@@ -97,21 +97,38 @@ def romanise(c: Column) -> Column:
 @cache
 def _expansions() -> tuple[str, dict[str, str]]:
     """Characters beyond ``_accent_table`` (ligatures, fractions, units, letters of other planes) with their ASCII parts,
-    and a character class that finds them."""
-    found = {}
+    and a character class that finds them: runs of neighbours, and ASCII is told by the first look."""
+    found, runs = {}, []
     for code in [*range(0x80, 0xD800), *range(0xE000, 0x20000)]:
         parts = "".join(p for p in unicodedata.normalize("NFKD", chr(code)) if p.isascii())
         if len(parts) > 1 or parts and code >= 0x10000:
             found[chr(code)] = parts
-    return "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in found) + "]", found
+            if runs and runs[-1][1] == code - 1:
+                runs[-1][1] = code
+            else:
+                runs.append([code, code])
+    return "[\\x{80}-\\x{1FFFF}&&[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]]", found
+
+
+# The stand-ins that ``translate`` gives the characters to be expanded count upwards from here.
+_STAND_INS = 0x3400
 
 
 def _expanded(c: Column) -> Column:
-    """Each character that stands for several ASCII ones, as these; texts without any are passed as they are."""
+    """Each character that stands for several ASCII ones, as these; texts without any are passed as they are.
+
+    A text is cut before these characters only. ``translate`` finds the number of such a character by hashing, whatever the
+    length of the table, and its ASCII parts stand at that place of an array.
+    """
     pattern, table = _expansions()
-    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    spelled = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(lookup, ch), ch)), "")
-    return F.when(F.rlike(c, F.lit(pattern)), spelled).otherwise(c)
+    stand_ins = "".join(chr(_STAND_INS + i) for i in range(len(table)))
+    spelled = F.array(*[F.lit(parts) for parts in table.values()])
+    place = lambda piece: F.ascii(F.translate(F.substring(piece, 1, 1), "".join(table), stand_ins)) - _STAND_INS
+    # a piece begins with such a character or has none
+    rest = lambda piece: F.substring(piece, F.lit(2), F.length(piece))
+    written = lambda piece: F.when(F.rlike(piece, F.lit(f"^{pattern}")), F.concat(F.get(spelled, place(piece)), rest(piece))).otherwise(piece)
+    pieces = F.split(c, f"(?={pattern})")
+    return F.when(F.rlike(c, F.lit(pattern)), F.array_join(F.transform(pieces, written), "")).otherwise(c)
 
 
 def name_key(c: Column, spell_out: bool = True, expand: bool = False) -> Column:
@@ -122,7 +139,8 @@ def name_key(c: Column, spell_out: bool = True, expand: bool = False) -> Column:
     """
     text = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), _UNPRINTABLE, "")
     if expand:
-        text = _expanded(text)
+        # the one-element array binds the text, so that it is cleaned once per row
+        text = F.element_at(F.transform(F.array(text), _expanded), 1)
     if spell_out:
         text = romanise(text)
     else:
