@@ -147,3 +147,10 @@ def test_one_join_equals_step_by_step(spark, seed):
 def test_exact_steps_stay_in_the_jvm(cascade):
     plan = resolve.resolve(*cascade, fuzzy=False)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_no_side_that_grows_is_broadcast(cascade):
+    """The keys of the left rows, and what was found for them, are merged by a shuffle whatever Spark takes their size for."""
+    left, right = cascade
+    plan = resolve.resolve(left, right, fuzzy=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") == 2

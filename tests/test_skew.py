@@ -65,3 +65,15 @@ def test_rows_at_max_and_unique(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "k int, v int, x string")
     assert rows(skew.rows_at_max(df, ["k"], "v").select("k", "x")) == [(1, "a"), (1, "b"), (2, "d")]
     assert rows(skew.keep_unique(df, ["k"])) == [(2, 1, "d")]
+
+
+def test_large_joins_are_merged_and_rows_dealt(spark):
+    """Tables that Spark takes for small by their files are not broadcast where both grow; rows are dealt by their number."""
+    df = spark.range(1000).selectExpr("id % 10 as k", "id as v")
+    right = spark.range(10).selectExpr("id as k", "id as w")
+    joined = skew.skew_join(df, right, ["k"], "inner", large=True)
+    assert "strategy=merge" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, skew.skew_join(df, right, ["k"], "inner").collect()))
+    dealt = skew.spread_rows(df, 100)
+    assert dealt.rdd.getNumPartitions() == 10 and sorted(map(tuple, dealt.collect())) == sorted(map(tuple, df.collect()))
+    assert skew.spread_rows(df, 1000) is df

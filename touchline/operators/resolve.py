@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.functions.parse import birth_year, iso_date_or_null
 from touchline.functions.text import club_key, first_last, match_text
 from touchline.operators.fuzzy import similar_in_club, similar_near_year
-from touchline.operators.skew import skew_join, top_rows
+from touchline.operators.skew import skew_join, spread_rows, top_rows
 from touchline.session import materialize
 
 # stage -> (key family, year shift on the left side, label); families 21 and 41 accept unique right keys only
@@ -79,7 +79,7 @@ def _left_keys(left: DataFrame, scope: Sequence[str], null_safe_year: bool) -> D
         F.struct(F.lit(stage).alias("stage"), F.lit(family).alias("family"), _key(family, scope, shift, null_safe_year).alias("key"))
         for stage, family, shift, _ in STAGES
     ]
-    keyed = _key_parts(left, scope, "row_id").select("row_id", F.explode(F.array(*entries)).alias("e"))
+    keyed = spread_rows(_key_parts(left, scope, "row_id")).select("row_id", F.explode(F.array(*entries)).alias("e"))
     return keyed.select("row_id", "e.stage", "e.family", "e.key").filter(F.col("key").isNotNull())
 
 
@@ -92,7 +92,7 @@ def _right_keys(right: DataFrame, scope: Sequence[str], null_safe_year: bool) ->
     payload = F.struct((-F.col("market_value_eur")).alias("by_value"), F.col("player_id").alias("by_id"), *PAYLOAD)
     match = F.when(F.col("market_value_eur").isNotNull(), payload).alias("match")
     best = (
-        _key_parts(right, scope, match)
+        spread_rows(_key_parts(right, scope, match))
         .select(F.explode(F.array(*entries)).alias("e"), "match")
         .select("e.family", "e.key", "match")
         .filter(F.col("key").isNotNull())
@@ -107,7 +107,7 @@ def exact_matches(left: DataFrame, right: DataFrame, scope: Sequence[str] = (),
     """``row_id, stage, method`` and the matched payload for every left row that some exact step resolves."""
     hits = skew_join(
         _left_keys(left, scope, null_safe_year), _right_keys(right, scope, null_safe_year), ["family", "key"],
-        "inner", spread=["row_id"],
+        "inner", spread=["row_id"], large=True,
     )
     first = hits.groupBy("row_id").agg(F.min(F.struct("stage", "match")).alias("hit"))
     labels = F.create_map(*[F.lit(x) for stage, _, _, label in STAGES for x in (stage, label)])
@@ -121,7 +121,7 @@ def exact_matches(left: DataFrame, right: DataFrame, scope: Sequence[str] = (),
 
 def attach(left: DataFrame, matches: DataFrame) -> DataFrame:
     """Left rows with what was found for them; exactly one output row per input row."""
-    return left.join(matches, "row_id", "left")
+    return left.join(matches.hint("merge"), "row_id", "left")
 
 
 def resolve(
@@ -145,11 +145,11 @@ def resolve(
         # every step works on what the steps before left open, so each result is written once
         found = materialize(found, "exact-matches")
         keys = left.select("row_id", *scope, *KEYS)
-        open_rows = materialize(keys.join(found.select("row_id"), "row_id", "left_anti"), "open-rows")
+        open_rows = materialize(keys.join(found.select("row_id").hint("merge"), "row_id", "left_anti"), "open-rows")
         valued = materialize(right.select(*scope, *KEYS, *[c for c in PAYLOAD if c not in KEYS]), "roster")
         in_club = similar_in_club(open_rows, valued, PAYLOAD, scope, club_threshold).withColumn("stage", F.lit(CLUB_STAGE))
         in_club = materialize(in_club, "club-matches")
-        still_open = materialize(open_rows.join(in_club.select("row_id"), "row_id", "left_anti"), "still-open")
+        still_open = materialize(open_rows.join(in_club.select("row_id").hint("merge"), "row_id", "left_anti"), "still-open")
         anywhere = similar_near_year(still_open, valued, PAYLOAD, scope, global_threshold).withColumn(
             "stage", F.lit(GLOBAL_STAGE)
         )
