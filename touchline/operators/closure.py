@@ -27,17 +27,17 @@ def groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = materialize(down, "ways-down")
         while True:  # pointers of pointers, until none moves
             further = down.select(F.col("a").alias("to"), F.col("to").alias("_next"))
-            jumped = skew_join(down, further, ["to"], "left", spread=["a"])
+            jumped = skew_join(down, further, ["to"], "left", spread=["a"], large=True)
             jumped = jumped.select("a", F.coalesce("_next", "to").alias("_to"), (F.col("_next") < F.col("to")).alias("_moved"))
             jumped = materialize(jumped, "ways-down")
             down = jumped.select("a", F.col("_to").alias("to"))
             if jumped.filter("_moved").isEmpty():
                 break
         way = down.select(F.col("a").alias("root"), "to")
-        points = materialize(skew_join(points, way, ["root"], "left", spread=["id"]).select("id", F.coalesce("to", "root").alias("root")), "roots")
-        from_a = skew_join(links, down, ["a"], "left", spread=["b"]).select(F.coalesce("to", "a").alias("a"), "b")
+        points = materialize(skew_join(points, way, ["root"], "left", spread=["id"], large=True).select("id", F.coalesce("to", "root").alias("root")), "roots")
+        from_a = skew_join(links, down, ["a"], "left", spread=["b"], large=True).select(F.coalesce("to", "a").alias("a"), "b")
         by_b = down.select(F.col("a").alias("b"), "to")
-        moved = skew_join(from_a, by_b, ["b"], "left", spread=["a"]).select("a", F.coalesce("to", "b").alias("b"))
+        moved = skew_join(from_a, by_b, ["b"], "left", spread=["a"], large=True).select("a", F.coalesce("to", "b").alias("b"))
         links = materialize(moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     return points
 
@@ -68,5 +68,5 @@ def contradictions(crosswalk: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     ends = crosswalk.select("player_uuid", F.col("source").alias("source_a"), F.col("source_player_id").alias("id_a"))
     used = pairs.filter("source_b is not null and id_b is not null").select(F.col("source_a"), F.col("id_a").cast("string").alias("id_a"))
-    tied = skew_join(used, ends, ["source_a", "id_a"], "inner").groupBy("player_uuid").agg(F.count(F.lit(1)).alias("n_pairs"))
-    return several.filter("n_ids > 1").join(tied, "player_uuid")
+    tied = skew_join(used, ends, ["source_a", "id_a"], "inner", large=True).groupBy("player_uuid").agg(F.count(F.lit(1)).alias("n_pairs"))
+    return several.filter("n_ids > 1").join(tied.hint("merge"), "player_uuid")
