@@ -133,8 +133,8 @@ def crosswalk_contradictions(spark, folder):
 def resolve_by_type(spark, folder):
     """The cascade within each part type, as for one run over many leagues."""
     kind = read(spark, folder, "part").select(F.col("p_partkey").alias("key"), F.col("p_type").alias("league"))
-    left = _left(spark, folder).join(kind, F.col("row_id") == F.col("key")).drop("key")
-    right = _right(spark, folder).join(kind, F.col("player_id") == F.col("key")).drop("key")
+    left = _left(spark, folder).join(kind.hint("merge"), F.col("row_id") == F.col("key")).drop("key")
+    right = _right(spark, folder).join(kind.hint("merge"), F.col("player_id") == F.col("key")).drop("key")
     return resolve.resolve(left, right, ["league"], fuzzy=False).select("league", *_OUT)
 
 
