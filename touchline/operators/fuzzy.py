@@ -84,7 +84,7 @@ def _cover_pairs(x: DataFrame, y: DataFrame, block: Sequence[str], cover: float)
     common = y_words.groupBy(*block, "word").agg(F.count(F.lit(1)).alias("names_with"))
     x_words = x.withColumn("word", F.explode("words"))
     # words unknown to y can be no shared word, but their width counts
-    ranked = skew_join(x_words, common, [*block, "word"], "left")
+    ranked = skew_join(x_words, common, [*block, "word"], "left", large=True)
     rarest = Window.partitionBy(*block, "name").orderBy(F.coalesce("names_with", F.lit(0)), "word")
     left_over = F.sum(F.length("word") + 1).over(rarest.rowsBetween(0, Window.unboundedFollowing)) - 1
     probes = (
@@ -98,7 +98,7 @@ def _cover_pairs(x: DataFrame, y: DataFrame, block: Sequence[str], cover: float)
         .drop("names_with", "left_over")
     )
     probes = materialize(probes, "probe-words")
-    pairs = skew_join(_sided(probes, "x", block, "word"), _sided(y_words, "y", block, "word"), [*block, "word"], "inner", both=True)
+    pairs = skew_join(_sided(probes, "x", block, "word"), _sided(y_words, "y", block, "word"), [*block, "word"], "inner", both=True, large=True)
     first_hit = ~F.arrays_overlap("earlier_x", "words_y")
     return pairs.filter(first_hit & _covered(F.col("words_x"), F.col("words_y"), F.col("width_x"), cover)).drop(
         "word", "earlier_x"
@@ -126,7 +126,7 @@ def _triple_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], miss:
         )
 
     x, y = materialize(rarest(l_all), "left-triples"), materialize(rarest(r_all), "right-triples")
-    pairs = skew_join(_sided(x, "x", block, "triple"), _sided(y, "y", block, "triple"), [*block, "triple"], "inner", both=True)
+    pairs = skew_join(_sided(x, "x", block, "triple"), _sided(y, "y", block, "triple"), [*block, "triple"], "inner", both=True, large=True)
     wide_x, wide_y = F.col("width_x"), F.col("width_y")
     edits = F.floor(F.lit(miss) * (wide_x + wide_y) + 1e-9)
 
@@ -189,7 +189,7 @@ def _label(kind: str) -> Column:
 
 def _with_rows(open_rows: DataFrame, best: DataFrame, on: Sequence[str], payload: Sequence[str], kind: str) -> DataFrame:
     rows = open_rows.select("row_id", *on[:-1], F.col("player_norm").alias("a"))
-    hit = skew_join(rows, best, on, "inner", spread=["row_id"])
+    hit = skew_join(rows, best, on, "inner", spread=["row_id"], large=True)
     return hit.select(
         "row_id", _label(kind).alias("join_method"), "score", *[F.col(f"row.{c}").alias(c) for c in payload]
     )
