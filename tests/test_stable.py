@@ -90,3 +90,8 @@ def test_contradictions(spark):
     assert closed.count() == 6 and closed.select("player_uuid").distinct().count() == 2
     found = [tuple(r)[1:] for r in closure.contradictions(closed, pairs).collect()]
     assert found == [("x", 2, "1", "2", 3)]
+
+
+def test_numbers_are_joined_by_a_shuffle(spark):
+    df = spark.range(20).selectExpr("id % 2 as k", "id as v")
+    assert "strategy=merge" in stable.numbered(df, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.operators.resolve import PAYLOAD, STAGES, _PARTS, _key, _key_parts, _left_keys, attach
-from touchline.operators.skew import skew_join
+from touchline.operators.skew import skew_join, spread_rows
 from touchline.session import materialize
 
 SCORED_STAGE = 80
@@ -39,7 +39,7 @@ def stable_pairs(
         held = materialize(best.groupBy("r").agg(F.min("ro").alias("held"), F.count(F.lit(1)).alias("proposals")), "proposals")
         if held.filter("proposals > 1").isEmpty():
             return best.select(F.col("l").alias(left), F.col("r").alias(right))
-        kept = skew_join(now, held.select("r", "held"), ["r"], "left", spread=["l"])
+        kept = skew_join(now, held.select("r", "held"), ["r"], "left", spread=["l"], large=True)
         now = materialize(kept.filter(F.col("held").isNull() | (F.col("ro") <= F.col("held"))).drop("held"), "candidates")
 
 
@@ -52,7 +52,7 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
     bases = counts.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    joined = ranged.withColumn("_local", F.row_number().over(local)).join(bases, [*keys, "_range"])
+    joined = ranged.withColumn("_local", F.row_number().over(local)).join(bases.hint("merge"), [*keys, "_range"])
     return joined.select(*df.columns, (F.col("_base") + F.col("_local")).alias(out))
 
 
@@ -60,10 +60,10 @@ def _offers(right: DataFrame, scope: Sequence[str]) -> DataFrame:
     """family, key, player_id, by_value, match: one row per family of each valued right row, the most valuable of an id."""
     entries = [F.struct(F.lit(f).alias("family"), _key(f, scope, 0, False).alias("key")) for f in _PARTS]
     payload = F.struct((-F.col("market_value_eur")).alias("by_value"), *PAYLOAD).alias("match")
-    rows = _key_parts(right, scope, payload).select(F.explode(F.array(*entries)).alias("e"), "match").select("e.family", "e.key", "match")
+    rows = spread_rows(_key_parts(right, scope, payload)).select(F.explode(F.array(*entries)).alias("e"), "match").select("e.family", "e.key", "match")
     rows = rows.filter(F.col("key").isNotNull())
     once = rows.filter(F.col("family").endswith("_once")).groupBy("family", "key").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    single = skew_join(rows, once.select("family", "key"), ["family", "key"], "left_anti", spread=["match"])
+    single = skew_join(rows, once.select("family", "key"), ["family", "key"], "left_anti", spread=["match"], large=True)
     best = single.filter(F.col("match.market_value_eur").isNotNull()).groupBy("family", F.col("match.player_id").alias("player_id"))
     best = best.agg(F.min(F.struct("match", "key")).alias("b"))
     return best.select("family", "b.key", "player_id", F.col("b.match.by_value").alias("by_value"), "b.match")
@@ -83,28 +83,28 @@ def resolve_stable(left: DataFrame, right: DataFrame, scope: Sequence[str] = (),
         open_left = wanted.filter(F.col("stage") == stage).select("row_id", "key")
         open_right = offered.filter(F.col("family") == family).select("key", "player_id", "by_value", "match")
         if found is not None:
-            open_left = open_left.join(found.select("row_id"), "row_id", "left_anti")
-            open_right = open_right.join(found.select("player_id"), "player_id", "left_anti")
+            open_left = open_left.join(found.select("row_id").hint("merge"), "row_id", "left_anti")
+            open_right = open_right.join(found.select("player_id").hint("merge"), "player_id", "left_anti")
         # only keys that both sides have need numbers
-        both = materialize(open_left.select("key").distinct().join(open_right.select("key").distinct(), "key"), "shared-keys")
+        both = materialize(open_left.select("key").distinct().join(open_right.select("key").distinct().hint("merge"), "key"), "shared-keys")
         if both.isEmpty():
             continue
-        left_n = numbered(open_left.join(both, "key", "left_semi"), ["key"], ["row_id"])
-        right_n = numbered(open_right.join(both, "key", "left_semi"), ["key"], ["by_value", "player_id"])
-        pairs = left_n.join(right_n, ["key", "nth"]).select(
+        left_n = numbered(open_left.join(both.hint("merge"), "key", "left_semi"), ["key"], ["row_id"])
+        right_n = numbered(open_right.join(both.hint("merge"), "key", "left_semi"), ["key"], ["by_value", "player_id"])
+        pairs = left_n.join(right_n.hint("merge"), ["key", "nth"]).select(
             "row_id", F.lit(stage).alias("stage"), F.lit(label).alias("join_method"), F.lit(None).cast("double").alias("score"), *[F.col(f"match.{c}").alias(c) for c in PAYLOAD]
         )
         found = materialize(pairs if found is None else found.unionByName(pairs), "stable-matches")
     if scored is not None:
         open_pairs = scored.filter(F.col("score").isNotNull()).select("row_id", "player_id", "score")
         if found is not None:
-            open_pairs = open_pairs.join(found.select("row_id"), "row_id", "left_anti").join(found.select("player_id"), "player_id", "left_anti")
+            open_pairs = open_pairs.join(found.select("row_id").hint("merge"), "row_id", "left_anti").join(found.select("player_id").hint("merge"), "player_id", "left_anti")
         value = offered.groupBy("player_id").agg(F.min("match").alias("match"))
-        open_pairs = open_pairs.join(value, "player_id").withColumn("_value", F.col("match.by_value"))
+        open_pairs = open_pairs.join(value.hint("merge"), "player_id").withColumn("_value", F.col("match.by_value"))
         order = -F.col("score")
         matched = stable_pairs(open_pairs, "row_id", "player_id", [order.alias("_s"), F.col("_value")], [order.alias("_s")])
         best = open_pairs.groupBy("row_id", "player_id").agg(F.max("score").alias("score"), F.min("match").alias("match"))
-        pairs = matched.join(best, ["row_id", "player_id"]).select(
+        pairs = matched.join(best.hint("merge"), ["row_id", "player_id"]).select(
             "row_id", F.lit(SCORED_STAGE).alias("stage"), F.lit("scored").alias("join_method"), "score", *[F.col(f"match.{c}").alias(c) for c in PAYLOAD]
         )
         found = pairs if found is None else found.unionByName(pairs)
