@@ -1,9 +1,11 @@
 import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions import parse
+from touchline.sources import pages
 
 
 def test_money_to_eur(one):
@@ -82,3 +84,13 @@ def test_exact_amounts(one):
 def test_money_loose_marks(one):
     cases = {"1,200,300": 1200300.0, "1.200,5": 1200.5, "12.": 12.0, ".5": 0.5, ",": None, "1.2.3": 123.0, "€ 7": 7.0, "": None}
     assert one(parse.money_loose, list(cases)) == list(cases.values())
+
+
+def test_squad_rows_are_handed_over_in_frames(monkeypatch):
+    """A batch of pages becomes frames of bounded length, whatever the number of its rows."""
+    monkeypatch.setattr(pages, "FRAME_ROWS", 2)
+    row = '<tr><td><a href="/n/profil/spieler/{0}">P {0}</a></td><td class="rechts hauptlink">x{0}</td></tr>'
+    html = [f'<table class="items">{"".join(row.format(10 * p + i) for i in range(n))}</table>' for p, n in enumerate((3, 0, 2))]
+    frames = list(pages._squad_rows(iter([pd.DataFrame({"page_id": [0, 1, 2], "html": html})])))
+    assert [len(f) for f in frames] == [2, 2, 1]
+    assert [(r.page_id, r.row, r.player_id) for f in frames for r in f.itertuples()] == [(0, 0, "0"), (0, 1, "1"), (0, 2, "2"), (2, 0, "20"), (2, 1, "21")]

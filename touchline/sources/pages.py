@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.functions.parse import iso_date_strict, money_to_eur
 from touchline.operators.skew import top_rows
+from touchline.session import bound_batches
 
 # League code -> (slug, code) in the value source's addresses.
 VALUE_LEAGUES = {
@@ -148,6 +149,10 @@ class _SquadTable(HTMLParser):
             self.cell["text"].append(data)
 
 
+# Rows of a frame that a worker hands over, each with the dictionaries of its cells.
+FRAME_ROWS = 2000
+
+
 def _squad_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["page_id", "row", "player_name", "club_name", "value_text", "player_id", "cells"]
     for batch in batches:
@@ -163,6 +168,9 @@ def _squad_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 cells = [{"text": " ".join("".join(c["text"]).split()), "sort": c["sort"]} for c in row["cells"]]
                 text = " ".join("".join(values[0]["text"]).split())
                 out.append((page_id, at, row["link"], parser.club, text, found.group(1) if found else "", cells))
+                if len(out) == FRAME_ROWS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
         yield pd.DataFrame(out, columns=columns)
 
 
@@ -171,6 +179,7 @@ def squad_rows(pages: DataFrame) -> DataFrame:
 
     Only pages that have such a table go through the HTML parser; values, dates and ages are parsed in the JVM.
     """
+    bound_batches(pages.sparkSession)
     with_table = pages.filter(F.contains("html", F.lit("/profil/spieler/"))).select("page_id", "html")
     raw = with_table.mapInPandas(_squad_rows, SQUAD_SCHEMA)
     ages = F.filter(F.transform("cells", lambda c: F.regexp_extract(c["text"], r"\((\d{1,2})\)", 1)), lambda a: a != "")
