@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -134,3 +135,12 @@ def test_out_of_fold_scores_every_row_worse(valued):
 def test_population(spark):
     df = spark.createDataFrame([("FW", 5, 100001.0), ("GK", 9, 9e9), (None, 9, 9e9), ("FW", 4, 9e9), ("FW", 9, 100000.0), ("FW", 9, None)], "pos string, MatchesPlayed int, latest_mv_eur double")
     assert market.valued_players(df).count() == 1
+
+
+def test_probes_carry_places_but_no_vectors():
+    """What a block asks of another cell are places of its rows, one short row per cell; the vectors follow by a join."""
+    x, pivots = np.array([[0.0, 0.1], [0.2, 0.0]]), np.array([[0.0, 0.0], [1.0, 0.0], [50.0, 0.0]])
+    block = pd.DataFrame({"cell": [0], "chunk": [0], "x": [list(x)], "limit": [[0.1, 2.0]]})
+    found = pd.concat(knn._probe(pivots, np.array([0.3, 0.3, 0.3]))(iter([block])))
+    assert list(found.columns) == ["cell", "chunk", "target", "at"]
+    assert [(r.target, list(r.at)) for r in found.itertuples(index=False)] == [(1, [1])]

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from touchline.operators.serving import check_similar_count
 from touchline.operators.skew import skew_join, top_rows
-from touchline.session import materialize
+from touchline.session import bound_batches, materialize
+
 BLOCK_ROWS = 1024
 HEAVY_BLOCKS = 256
 _SLACK = 1e-7
@@ -101,12 +102,10 @@ def _probe(pivots: np.ndarray, radius: np.ndarray):
                 open_cells[:, row.cell] = False
                 open_cells[:, radius < 0] = False
                 targets = np.nonzero(open_cells.any(0))[0]
-                out = []
-                for target in targets:
-                    at = np.nonzero(open_cells[:, target])[0]
-                    out.append((row.cell, row.chunk, int(target), at.tolist(), x[at].tolist(), limit[at].tolist()))
+                # places only: the vectors themselves follow by a join, so that a worker never holds them once per cell
+                out = [(row.cell, row.chunk, int(t), np.nonzero(open_cells[:, t])[0].astype("int32")) for t in targets]
                 if out:
-                    yield pd.DataFrame(out, columns=["cell", "chunk", "target", "at", "x", "limit"])
+                    yield pd.DataFrame(out, columns=["cell", "chunk", "target", "at"])
 
     return step
 
@@ -128,6 +127,7 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
     and are left out on both sides; ``unusable`` lists them.
     """
     spark = points.sparkSession
+    bound_batches(spark)
     id_type = points.schema[player].dataType
     rows = points.select(F.col(player).alias("id"), F.transform(F.col(features), lambda v: v.cast("double") + F.lit(0.0)).alias("vec"))
     # the k + 1 lowest ids stand for all players with the same vector: one of them may be the player itself
@@ -188,9 +188,12 @@ def nearest_neighbours(points: DataFrame, k: int = 10, player: str = "player_id"
     known = blocks.join(limits, ["cell", "chunk"]).select("cell", "chunk", "x", F.col("l.limit").alias("limit"))
     more = known.mapInPandas(
         _probe(pivots, radius),
-        "cell int, chunk int, target int, at array<int>, x array<array<double>>, limit array<double>",
+        "cell int, chunk int, target int, at array<int>",
     )
-    more = materialize(more, "knn-probes")
+    at_places = lambda c: F.transform("at", lambda i: F.get(F.col(c), i)).alias(c)
+    asking = blocks.select("cell", "chunk", "x").join(limits, ["cell", "chunk"]).withColumn("limit", F.col("l.limit"))
+    more = materialize(more, "knn-probes").join(asking, ["cell", "chunk"])
+    more = more.select("cell", "chunk", "target", "at", at_places("x"), at_places("limit"))
     found = first.select("cell", "chunk", "at", F.explode("near").alias("n")).select("cell", "chunk", "at", "n.id", "n.distance")
     final = nearest(found.unionByName(searched(more)))
     by_vector = blocks.select("cell", "chunk", F.posexplode("x").alias("at", "vec")).join(final, ["cell", "chunk", "at"])
