@@ -75,8 +75,10 @@ def feature_matrix(df: DataFrame, candidates: Sequence[str], keys: Sequence[str]
         if season_col:
             df = df.filter(F.col(season_col[0]) == season)
     names = model_features(df, candidates)
-    ready = filled(enough_minutes(df, minutes), names)
-    return standardise(ready, names, "features").select(*[k for k in keys if k in df.columns], "features")
+    # written once: the moments and the scaled rows would each work the table out
+    kept = [k for k in keys if k in df.columns]
+    ready = materialize(filled(enough_minutes(df, minutes), names).select(*dict.fromkeys([*kept, *names])), "feature-rows")
+    return standardise(ready, names, "features").select(*kept, "features")
 
 
 def per_90(total: Column, minutes: Column) -> Column:

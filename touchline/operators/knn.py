@@ -3,7 +3,8 @@
 Equal vectors are searched once. Every distinct vector belongs to the nearest of a bounded set of pivots; first the
 pivot's own cell is searched, which bounds how far a neighbour can be, and then only the cells that the triangle
 inequality and the bisecting plane cannot rule out. Cells are cut into blocks of bounded size, and one task step
-compares two blocks.
+compares two blocks. Within a block boxes around ever smaller parts rule out most of its vectors, so that the work of a row
+does not grow with the cells.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from touchline.operators.serving import check_similar_count
 from touchline.operators.skew import skew_join, top_rows
 from touchline.session import bound_batches, materialize
 
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 8192
 HEAVY_BLOCKS = 256
+PROBE_ROWS = 512  # of a block whose distances to all pivots are held at a time
+BOX_ROWS = 64  # of a block that are compared without looking closer
+MATRIX = 1 << 20  # distances held at a time
 _SLACK = 1e-7
 
 
@@ -29,29 +33,104 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _matrix(rows) -> np.ndarray:
-    return np.array([np.asarray(r, dtype="float64") for r in rows], dtype="float64")
+    rows = list(rows)
+    if len({len(r) for r in rows}) > 1:
+        raise ValueError("vectors of several lengths")
+    return np.concatenate(rows).astype("float64").reshape(len(rows), len(rows[0])) if rows else np.zeros((0, 0))
 
 
-def _nearest(x: np.ndarray, y: np.ndarray, ids: list, k: int, limit: np.ndarray) -> tuple[np.ndarray, list, np.ndarray]:
-    """For each row of ``x`` the ``k`` nearest ids among ``y`` not farther than ``limit``: positions, ids, distances.
+def _slack(x: np.ndarray, y: np.ndarray) -> float:
+    """More than the rounding of ``_distances``."""
+    return _SLACK * (1 + np.abs(x).max(initial=0) + np.abs(y).max(initial=0)) * np.sqrt(x.shape[1])
+
 
-    The matrix product picks the rows that can be among the nearest, with slack for its rounding; their distances
-    are then taken from the differences.
+def _offer(x: np.ndarray, y: np.ndarray, rows: np.ndarray, members: np.ndarray, best: np.ndarray, limit: np.ndarray, slack: float) -> Iterator[tuple]:
+    """Pairs of ``rows`` and ``members`` that can be among the nearest: positions in ``x`` and ``y``, distances. ``best`` holds the
+    shortest distances of each row so far and ``limit`` the longest that counts; both are kept up. No pair may be offered twice.
+
+    The matrix product picks the pairs, with slack for its rounding; their distances are then taken from the differences.
+    """
+    k, size = best.shape[1], max(1, MATRIX // max(1, len(members)))
+    theirs = y[members]
+    for part in (rows[i : i + size] for i in range(0, len(rows), size)):
+        own = x[part]
+        rough = _distances(own, theirs)
+        close = rough <= limit[part][:, None] + slack
+        if close.sum() > 2 * len(part):
+            new = np.partition(rough, k - 1, axis=1)[:, :k] if rough.shape[1] > k else rough
+            best[part] = np.partition(np.concatenate([best[part], new], axis=1), k - 1, axis=1)[:, :k]
+            limit[part] = np.minimum(limit[part], best[part, k - 1])
+            close = rough <= limit[part][:, None] + slack
+        at, other = np.nonzero(close)
+        yield part[at], members[other], np.sqrt(((own[at] - theirs[other]) ** 2).sum(1))
+
+
+def _boxes(y: np.ndarray, members: np.ndarray, least: int) -> dict:
+    """Vectors halved at the median of their widest side until ``least`` are left, each part with the box around it."""
+    low, high = y[members].min(0), y[members].max(0)
+    node = {"members": members, "low": low, "high": high}
+    if len(members) > 2 * least and (high > low).any():
+        side = int((high - low).argmax())
+        values = y[members, side]
+        value = np.partition(values, len(values) // 2)[len(values) // 2]
+        value = value if value > low[side] else values[values > value].min()
+        below = values < value
+        node |= {"side": side, "value": value, "parts": [_boxes(y, members[below], least), _boxes(y, members[~below], least)]}
+    return node
+
+
+def _near_pairs(x: np.ndarray, y: np.ndarray, k: int, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that can be among the ``k`` nearest of each row of ``x`` and not farther than ``limit``: positions, distances.
+
+    Boxes within ``y`` are looked into only by the rows that can have near ones there. Where most rows look into both halves,
+    as in many dimensions, the halves are compared in one go.
     """
-    rough = _distances(x, y)
-    cut = np.full(len(x), np.inf) if y.shape[0] <= k else np.partition(rough, k - 1, axis=1)[:, k - 1]
-    bound = np.minimum(cut, limit)
-    scale = _SLACK * (1 + np.abs(x).max(initial=0) + np.abs(y).max(initial=0)) * np.sqrt(x.shape[1])
-    at, other = np.nonzero(rough <= bound[:, None] + scale)
-    exact = np.sqrt(((x[at] - y[other]) ** 2).sum(1))
-    spread = np.repeat(np.arange(len(at)), [len(ids[j]) for j in other])
-    found = pd.DataFrame(
-        {"at": at[spread], "distance": exact[spread], "id": [i for j in other for i in ids[j]]}
-    ).sort_values(["at", "distance", "id"], kind="stable")
+    slack, limit, best = _slack(x, y), np.array(limit, dtype="float64"), np.full((len(x), k), np.inf)
+    root, found = _boxes(y, np.arange(len(y)), max(BOX_ROWS, k)), []
+
+    def bound(node: dict, rows: np.ndarray) -> None:
+        """The k-th distance within the row's own box bounds what counts."""
+        if "parts" in node:
+            below = x[rows, node["side"]] < node["value"]
+            bound(node["parts"][0], rows[below])
+            bound(node["parts"][1], rows[~below])
+        elif len(rows) and len(node["members"]) >= k:
+            limit[rows] = np.partition(_distances(x[rows], y[node["members"]]), k - 1, axis=1)[:, k - 1] + slack
+
+    def look(node: dict, rows: np.ndarray) -> None:
+        if "parts" in node and len(rows):
+            gaps = [np.maximum(np.maximum(part["low"] - x[rows], x[rows] - part["high"]), 0) for part in node["parts"]]
+            both = [rows[np.sqrt((gap**2).sum(1)) <= limit[rows] + slack] for gap in gaps]
+            if sum(map(len, both)) <= 1.5 * len(rows):
+                for part, inside in zip(node["parts"], both):
+                    look(part, inside)
+                return
+        found.extend(_offer(x, y, rows, node["members"], best, limit, slack))
+
+    if "parts" in root:
+        bound(root, np.flatnonzero(np.isinf(limit)))
+    look(root, np.arange(len(x)))
+    return tuple(np.concatenate(c) if found else np.zeros(0, dtype=t) for c, t in zip(zip(*found) if found else [()] * 3, ("int64", "int64", "float64")))
+
+
+def _first_ids(at: np.ndarray, other: np.ndarray, distance: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, list, np.ndarray]:
+    """Of pairs with vectors that stand for ``ids``, the ``k`` nearest ids of each row."""
+    counts = np.array([len(i) for i in ids], dtype="int64")
+    flat = np.array([i for listed in ids for i in listed] or [0], dtype=object)
+    spread = np.repeat(np.arange(len(at)), counts[other])
+    within = np.arange(len(spread)) - np.repeat(np.cumsum(counts[other]) - counts[other], counts[other])
+    place = (np.cumsum(counts) - counts)[other][spread] + within
+    found = pd.DataFrame({"at": at[spread], "distance": distance[spread], "id": flat[place]}).infer_objects()
+    found = found.sort_values(["at", "distance", "id"], kind="stable")
     found = found[found.groupby("at").cumcount() < k]
     return found["at"].to_numpy(), found["id"].tolist(), found["distance"].to_numpy()
 
 
+def _nearest(x: np.ndarray, y: np.ndarray, ids: list, k: int, limit: np.ndarray) -> tuple[np.ndarray, list, np.ndarray]:
+    """For each row of ``x`` the ``k`` nearest ids among ``y`` not farther than ``limit``: positions, ids, distances."""
+    return _first_ids(*_near_pairs(x, y, k, limit), ids, k)
+
+
 def _compare(k: int):
     """Block against block; in: own place, ``at``, ``x``, ``limit``, ``y``, ``ids``; out: one row per near id."""
 
@@ -86,21 +165,23 @@ def _assign(pivots: np.ndarray):
 def _probe(pivots: np.ndarray, radius: np.ndarray):
     """Which other cells a block must look into, given each row's distance to its k-th neighbour so far."""
 
+    def opened(x: np.ndarray, cell: int, limit: np.ndarray) -> np.ndarray:
+        far = _distances(x, pivots)
+        own = far[:, cell][:, None]
+        between = _distances(pivots[cell][None, :], pivots)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.nan_to_num((far**2 - own**2) / (2 * between), nan=0.0, posinf=0.0, neginf=0.0)
+        least = np.maximum(far - radius[None, :], plane)
+        open_cells = least <= limit[:, None] + _slack(x, pivots)
+        open_cells[:, cell] = False
+        open_cells[:, radius < 0] = False
+        return open_cells
+
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                x = _matrix(row.x)
-                far = _distances(x, pivots)
-                own = far[:, row.cell][:, None]
-                between = _distances(pivots[row.cell][None, :], pivots)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = np.nan_to_num((far**2 - own**2) / (2 * between), nan=0.0, posinf=0.0, neginf=0.0)
-                least = np.maximum(far - radius[None, :], plane)
-                limit = np.asarray(row.limit, dtype="float64")
-                scale = _SLACK * (1 + np.abs(x).max(initial=0) + np.abs(pivots).max(initial=0)) * np.sqrt(x.shape[1])
-                open_cells = least <= limit[:, None] + scale
-                open_cells[:, row.cell] = False
-                open_cells[:, radius < 0] = False
+                x, limits = _matrix(row.x), np.asarray(row.limit, dtype="float64")
+                open_cells = np.concatenate([opened(x[i : i + PROBE_ROWS], row.cell, limits[i : i + PROBE_ROWS]) for i in range(0, len(x), PROBE_ROWS)])
                 targets = np.nonzero(open_cells.any(0))[0]
                 # places only: the vectors themselves follow by a join, so that a worker never holds them once per cell
                 out = [(row.cell, row.chunk, int(t), np.nonzero(open_cells[:, t])[0].astype("int32")) for t in targets]
