@@ -37,3 +37,25 @@ def test_contributions_add_up(spark, monkeypatch, n, trees, depth, limit):
         credits, base = walked(model, v)
         assert [got[i][c] for c in NAMES] == pytest.approx(credits, abs=1e-9) and got[i]["base"] == pytest.approx(base)
         assert sum(got[i].values()) == pytest.approx(predicted[i], abs=1e-9) and got[i]["z"] == 0
+
+
+def test_rows_are_not_multiplied_by_trees_and_levels(spark):
+    """A forest that a task can hold is walked inside it: no join, and one shuffle, of a row per key."""
+    rnd = random.Random(5)
+    rows = spark.createDataFrame([(i, [rnd.random(), rnd.random()], rnd.random()) for i in range(200)], "id int, features array<double>, label double")
+    found = market.path_attributions(rows, market.fit_values(rows, trees=3, depth=3), ["x", "y"], ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_rows_without_numbers_and_repeated_keys(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = spark.createDataFrame([(i, [rnd.random(), rnd.random()], rnd.random()) for i in range(200)], "id int, features array<double>, label double")
+    model = market.fit_values(rows, trees=3, depth=3)
+    odd = spark.createDataFrame([(1, None), (2, [None, 0.3]), (3, [float("nan"), 0.1]), (4, [0.2, 0.4]), (4, [0.9, 0.1]), (None, [0.1, 0.2])], "id int, features array<double>")
+    both = []
+    for limit in (500_000, 0):
+        monkeypatch.setattr(market, "BROADCAST_NODES", limit)
+        both.append({(r["id"], r["feature"]): (r["contribution"], r["base"]) for r in market.path_attributions(odd, model, ["x", "y"], ["id"]).collect()})
+    assert both[0].keys() == both[1].keys() and len(both[0]) == 10
+    assert all(both[0][key] == pytest.approx(both[1][key]) for key in both[0])

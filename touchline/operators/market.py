@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from touchline.operators.columns import col
 from touchline.operators.skew import skew_join
-from touchline.session import materialize, scratch_path
+from touchline.session import bound_batches, materialize, scratch_path
 
 TREES, SEED, KEPT = 100, 42, 200
 LEAST_MATCHES, LEAST_VALUE = 5, 100_000
@@ -131,7 +133,7 @@ def attributions(rows: DataFrame, model: RandomForestRegressionModel, names: Seq
     )
 
 
-# A walk broadcasts the nodes up to this number, some 50 bytes each; larger forests are joined by a shuffle.
+# Up to this number of nodes, some 50 bytes each, a task holds the forest and walks its rows down; larger forests are joined by a shuffle.
 BROADCAST_NODES = 500_000
 
 
@@ -160,27 +162,60 @@ def _node_credits(nodes: DataFrame, depth: int, n_features: int) -> DataFrame:
     return ways.select("tree", "node", "base", "credits")
 
 
+def _walk(forest: pd.DataFrame, depth: int, n_features: int):
+    """Rows with the mean over the trees of ``base`` and of the credits of the leaf that they come to. ``forest`` has the nodes in
+    order, those of a tree numbered from 0."""
+    starts = np.searchsorted(forest["tree"].to_numpy(), np.unique(forest["tree"]))
+    first, own = starts[np.unique(forest["tree"], return_inverse=True)[1]], np.arange(len(forest))
+    leaf = forest["below"].to_numpy() < 0
+    below, above = (np.where(leaf, own, first + forest[c].to_numpy()) for c in ("below", "above"))
+    by, threshold = np.where(leaf, 0, forest["feature"].to_numpy()).astype("int64"), forest["threshold"].fillna(0.0).to_numpy("float64")
+    # nodes that are no leaf have no credits, and no row ends there
+    credits = np.array([c if c is not None else [0.0] * n_features for c in forest["credits"]], dtype="float64")
+    base = float(forest["value"].to_numpy()[starts].mean())
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.array([v if v is not None else np.full(n_features, np.nan) for v in batch["_features"]], dtype="float64").reshape(len(batch), -1)
+            total, row = np.zeros((len(batch), n_features)), np.arange(len(batch))
+            for start in starts if len(batch) else []:
+                at = np.full(len(batch), start)
+                for _ in range(depth):
+                    at = np.where(x[row, by[at]] <= threshold[at], below[at], above[at])
+                total += credits[at]
+            yield batch.drop(columns="_features").assign(base=base, credits=list(total / len(starts)))
+
+    return step
+
+
 def path_attributions(
     rows: DataFrame, model: RandomForestRegressionModel, names: Sequence[str], keys: Sequence[str], features: str = "features"
 ) -> DataFrame:
     """``keys, feature, contribution, base``: a row's contributions and ``base`` add up to its prediction.
 
-    Each row walks down every tree, a level per join with the nodes; a split's change of the mean counts for its feature. ``base``
-    is the mean of the roots. ``keys`` must tell the rows apart.
+    Each row walks down every tree; a split's change of the mean counts for its feature. ``base`` is the mean of the roots.
+    ``keys`` must tell the rows apart.
     """
     spark, trees = rows.sparkSession, model.getNumTrees
     nodes = materialize(forest_nodes(spark, model), "forest-nodes")
     depth = max(t.depth for t in model.trees)
-    small = F.broadcast if model.totalNumNodes <= BROADCAST_NODES else lambda table: table
-    credits = small(materialize(_node_credits(nodes, depth, len(names)), "node-credits"))
-    splits = small(nodes.select("tree", "node", "below", "above", "feature", "threshold"))
-    walk = rows.select(*keys, features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
-    for _ in range(depth):
-        goes_below = F.get(F.col(features), F.col("feature")) <= F.col("threshold")
-        following = F.when(F.col("below") < 0, F.col("node")).when(goes_below, F.col("below")).otherwise(F.col("above"))
-        walk = walk.join(splits, ["tree", "node"]).select(*keys, features, "tree", following.alias("node"))
+    credits = materialize(_node_credits(nodes, depth, len(names)), "node-credits")
     means = [F.avg(F.col("credits")[i]).alias(f"_c{i}") for i in range(len(names))]
-    summed = walk.join(credits, ["tree", "node"]).groupBy(*keys).agg(F.avg("base").alias("base"), *means)
+    if model.totalNumNodes <= BROADCAST_NODES:
+        bound_batches(spark)
+        forest = nodes.join(credits, ["tree", "node"], "left").orderBy("tree", "node").toPandas()
+        wanted = rows.select(*keys, F.col(features).cast("array<double>").alias("_features"))
+        schema = T.StructType([*wanted.drop("_features").schema.fields, T.StructField("base", T.DoubleType()), T.StructField("credits", T.ArrayType(T.DoubleType()))])
+        reached = wanted.mapInPandas(_walk(forest, depth, len(names)), schema)
+    else:
+        splits = nodes.select("tree", "node", "below", "above", "feature", "threshold")
+        walk = rows.select(*keys, features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+        for _ in range(depth):
+            goes_below = F.get(F.col(features), F.col("feature")) <= F.col("threshold")
+            following = F.when(F.col("below") < 0, F.col("node")).when(goes_below, F.col("below")).otherwise(F.col("above"))
+            walk = walk.join(splits, ["tree", "node"]).select(*keys, features, "tree", following.alias("node"))
+        reached = walk.join(credits, ["tree", "node"])
+    summed = reached.groupBy(*keys).agg(F.avg("base").alias("base"), *means)
     parts = F.array(*[F.struct(F.lit(name).alias("feature"), F.col(f"_c{i}").alias("contribution")) for i, name in enumerate(names)])
     return summed.select(*keys, "base", F.explode(parts).alias("p")).select(*keys, "p.feature", "p.contribution", "base")
 
