@@ -23,13 +23,16 @@ BLOCK_ROWS = 8192
 HEAVY_BLOCKS = 256
 PROBE_ROWS = 512  # of a block whose distances to all pivots are held at a time
 BOX_ROWS = 64  # of a block that are compared without looking closer
-MATRIX = 1 << 20  # distances held at a time
+MATRIX = 1 << 17  # distances held at a time, few enough for the processor's cache
+LEAST_ROWS = 64  # compared with a block at a time, however large it is
 _SLACK = 1e-7
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    squares = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
-    return np.sqrt(np.maximum(squares, 0))
+    squares = (-2 * x) @ y.T  # one matrix, changed in place
+    squares += (x * x).sum(1)[:, None]
+    squares += (y * y).sum(1)[None, :]
+    return np.sqrt(np.maximum(squares, 0, out=squares), out=squares)
 
 
 def _matrix(rows) -> np.ndarray:
@@ -50,7 +53,7 @@ def _offer(x: np.ndarray, y: np.ndarray, rows: np.ndarray, members: np.ndarray,
 
     The matrix product picks the pairs, with slack for its rounding; their distances are then taken from the differences.
     """
-    k, size = best.shape[1], max(1, MATRIX // max(1, len(members)))
+    k, size = best.shape[1], max(LEAST_ROWS, MATRIX // max(1, len(members)))
     theirs = y[members]
     for part in (rows[i : i + size] for i in range(0, len(rows), size)):
         own = x[part]

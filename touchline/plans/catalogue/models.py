@@ -127,8 +127,8 @@ def knn_approx(spark, folder):
     at most ten neighbours each and never the vector itself, and a recall of 0.9 or more."""
     points = _points(spark, folder)
     asked = points.filter(F.col("player_id") % 50 == 0)
-    _, found = vector_index.options_for(points, asked, 10, 0.9)
     truth = materialize(vector_index.brute_force(points, asked, 10), "truth")
+    _, found = vector_index.options_for(points, asked, 10, 0.9, truth=truth)
     reached = vector_index.measured_recall(found, truth).select("pairs", (F.col("recall") >= 0.9).alias("recall_reached"))
     of = lambda name, vec: points.select(F.col("player_id").alias(name), F.transform("features", lambda v: v.cast("double")).alias(vec))
     both = found.join(of("player_id", "_x"), "player_id").join(of("neighbour", "_y"), "neighbour")
