@@ -172,9 +172,12 @@ _PAIRS = """pairs AS (
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id{where})"""
 
 
-def _facts(spark, folder):
-    """Parts as valued players: type as position, brand as club, sold lines as matches."""
-    sold = read(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("MatchesPlayed"))
+def _facts(spark, folder, stats=None):
+    """Parts as valued players: type as position, brand as club, sold lines as matches, from ``stats`` where they are counted already."""
+    if stats is None:
+        sold = read(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("MatchesPlayed"))
+    else:
+        sold = stats.select(F.col("player_id").alias("p_partkey"), "MatchesPlayed")
     part = read(spark, folder, "part").join(sold, "p_partkey", "left")
     return part.select(
         F.col("p_partkey").alias("player_id"), F.col("p_name").alias("player_name"),
@@ -249,9 +252,11 @@ _FEATURES = ["Min", "MatchesPlayed", "Gls", "Shots", "Tkl"]
 
 
 def _training(spark, folder):
+    """Written, as a forest passes over its rows several times; the sold lines are read once for features and facts."""
     on = ["player_id", "season_code", "club"]
-    matrix = features.feature_matrix(_stat_table(spark, folder), features.FIELD_FEATURES, on)
-    return market.training_rows(matrix, market.valued_players(_facts(spark, folder)), on)
+    stats = materialize(_stat_table(spark, folder), "stat-rows")
+    matrix = features.feature_matrix(stats, features.FIELD_FEATURES, on)
+    return materialize(market.training_rows(matrix, market.valued_players(_facts(spark, folder, stats)), on), "training-rows")
 
 
 def _as_facts(scored, listed, rmse_bound=None):
@@ -278,14 +283,14 @@ def _as_facts(scored, listed, rmse_bound=None):
 
 def value_opportunities_in_sample(spark, folder):
     """Facts of the list that scores the rows its forest was trained on."""
-    rows = materialize(_training(spark, folder), "training-rows")
+    rows = _training(spark, folder)
     scored = materialize(market.predict_values(rows, market.fit_values(rows)), "scored")
     return _as_facts(scored, market.undervalued(market.value_gaps(scored)))
 
 
 def value_opportunities_out_of_fold(spark, folder):
     """Facts of the list whose players are scored by forests that have not seen them."""
-    scored = materialize(market.predict_out_of_fold(materialize(_training(spark, folder), "training-rows"), F.col("player_id")), "scored")
+    scored = materialize(market.predict_out_of_fold(_training(spark, folder), F.col("player_id")), "scored")
     return _as_facts(scored, market.undervalued(market.value_gaps(scored))).drop("better_than_mean")
 
 
@@ -305,7 +310,7 @@ def value_attributions(spark, folder):
 
 def value_path_attributions(spark, folder):
     """Per player: a contribution of every feature, and whether they and the base add up to the forest's own prediction."""
-    rows = materialize(_training(spark, folder).select("player_id", "features", "label"), "training-rows")
+    rows = _training(spark, folder).select("player_id", "features", "label")
     model = market.fit_values(rows)
     found = market.path_attributions(rows, model, _FEATURES, ["player_id"]).groupBy("player_id").agg(
         F.count("contribution").alias("n_features"), (F.sum("contribution") + F.first("base")).alias("_sum")
