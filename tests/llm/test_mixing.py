@@ -91,3 +91,14 @@ def test_mixed_documents_hold_the_words_taken(make):
 def test_empty_table(make):
     docs = make([], SCHEMA)
     assert mixing.taken_words(mixing.mix(docs, mixing.cyclic_weights((5, 2, 1)), 1.5, 2)).count() == 0
+
+
+def test_slots_and_documents_are_not_broadcast(make):
+    docs = make([*ROWS, *[(10 + i, f"some words of {i} " * 9, f"s{i % 3}") for i in range(40)]], SCHEMA)
+    result = mixing.mix(docs, mixing.cyclic_weights((5, 2, 1)), 1.5, 2, 4)
+    for found, keys in ((mixing.taken_words(result), ("block", "start")), (mixing.mixed_documents(docs, result), ("block", "start", "_key"))):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        joins = re.findall(r"(\w+Join) \[([^]]*)\]", plan)
+        for key in keys:
+            assert {kind for kind, on in joins if re.search(rf"\b{key}#", on)} == {"SortMergeJoin"}, (key, joins)

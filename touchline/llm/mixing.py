@@ -40,14 +40,18 @@ class Mix:
     block_words: int
 
     def pieces(self) -> DataFrame:
-        """A row per slot and document that the slot's block holds words of: the words as positions in the document."""
+        """A row per slot and document that the slot's block holds words of: the words as positions in the document.
+
+        Spark judges slots by the few rows that they are exploded from and would broadcast all of them, so joins with what grows
+        with them are merged by a shuffle, here and below.
+        """
         size = F.lit(self.block_words)
         spread = self.documents.filter("size > 0").withColumn(
             "block", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("size") - 1) / size)))
         )
         first = F.greatest(F.col("start"), F.col("block") * size)
         end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * size)
-        return self.slots.join(spread, ["source_no", "block"]).select(
+        return self.slots.hint("merge").join(spread, ["source_no", "block"]).select(
             "shard", "slot", "pass_no", "source_no", "block", "key", "doc_id", "start",
             (first - F.col("start")).alias("first_word"), (end - first).alias("n_words"),
         )
@@ -176,12 +180,12 @@ def taken_words(result: Mix) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("size") - 1) / size))).alias("block"),
     )
     words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * size) - F.greatest(F.col("start"), F.col("block") * size)
-    taken = spread.join(times, ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(words * F.col("times")).alias("_taken"))
+    taken = spread.join(times.hint("merge"), ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(words * F.col("times")).alias("_taken"))
     taken = taken.select(F.col("source_no").alias("_no"), F.col("start").alias("_start"), "_taken")
     same = (F.col("source_no") == F.col("_no")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0)
     sources = result.sources.select("source_no", "source_size", "target")
     return (
-        result.documents.join(taken, same, "left")
+        result.documents.join(taken.hint("merge"), same, "left")
         .join(sources, "source_no")
         .select("doc_id", "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"))
     )
@@ -199,7 +203,7 @@ def mixed_documents(docs: DataFrame, result: Mix) -> DataFrame:
         .withColumn("_run", F.sum("_run").over(in_document))
         .groupBy("key", "source_no", "start", "pass_no", "_run")
         .agg(F.min("first_word").alias("first"), F.sum("n_words").alias("n"))
-        .join(sizes.filter("size > 0"), ["source_no", "start"])
+        .join(sizes.filter("size > 0").hint("merge"), ["source_no", "start"])
         .groupBy(F.col("key").alias("_key"))
         .agg(F.collect_list(F.struct("first", "n", (F.col("n") == F.col("size")).alias("whole"))).alias("_spans"))
     )
@@ -216,7 +220,7 @@ def mixed_documents(docs: DataFrame, result: Mix) -> DataFrame:
     cut = F.when(F.forall("_spans", lambda s: s["whole"]), F.transform("_spans", lambda _: F.col("_doc.text"))).otherwise(
         F.transform(F.array(split), runs)[0]
     )
-    fixed = one_each.join(covered, "_key").select("_doc", F.explode(cut).alias("_text"))
+    fixed = one_each.join(covered.hint("merge"), "_key").select("_doc", F.explode(cut).alias("_text"))
     changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
